@@ -42,7 +42,12 @@ def parse_timestamp(text: Column) -> Column:
 
 def time_bucket(instant: Column, seconds: int) -> Column:
     """Number of the fixed-width slice the instant lies in, counted from the epoch."""
-    return F.floor(F.unix_micros(instant) / F.lit(seconds * _MICROS)).cast("bigint")
+    return micros_bucket(F.unix_micros(instant), seconds)
+
+
+def micros_bucket(micros: Column, seconds: int) -> Column:
+    width = F.lit(seconds * _MICROS)
+    return F.call_function("div", micros - F.pmod(micros, width), width)
 
 
 def bucket_date(bucket: Column, seconds: int) -> Column:

@@ -44,6 +44,7 @@ def hourly_activity(facts: DataFrame) -> DataFrame:
     reading = F.struct(*_GAUGES)
     earlier = F.lag(reading).over(station_hour)
     later = F.lead(F.lit(1)).over(station_hour)
+    opens, closes = F.col("_earlier").isNull(), F.col("_later").isNull()
     rows = (
         facts.select(
             "station_key",
@@ -64,18 +65,20 @@ def hourly_activity(facts: DataFrame) -> DataFrame:
                 {name: F.col("_earlier")[name] for name in _GAUGES},
             )
         ).alias("_inner"),
-        F.first(F.when(F.col("_earlier").isNull(), reading), ignorenulls=True).alias("_opening"),
-        F.first(F.when(F.col("_later").isNull(), reading), ignorenulls=True).alias("_closing"),
+        *[F.max(F.when(opens, F.col(name))).alias(f"_opening_{name}") for name in _GAUGES],
+        *[F.max(F.when(closes, F.col(name))).alias(f"_closing_{name}") for name in _GAUGES],
+        F.bool_or(closes).alias("_closes"),
     )
     past_hours = (
         Window.partitionBy("station_key")
         .orderBy("_hour")
         .rangeBetween(Window.unboundedPreceding, -1)
     )
-    carried = F.last("_closing", ignorenulls=True).over(past_hours)
+    closing = F.when(F.col("_closes"), F.struct(*[f"_closing_{name}" for name in _GAUGES]))
+    carried = F.last(closing, ignorenulls=True).over(past_hours)
     edge = _movement(
-        {name: F.col("_opening")[name] for name in _GAUGES},
-        {name: F.col("_carried")[name] for name in _GAUGES},
+        {name: F.col(f"_opening_{name}") for name in _GAUGES},
+        {name: F.col("_carried")[f"_closing_{name}"] for name in _GAUGES},
     )
     return (
         summaries.withColumn("_carried", carried)

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.operators.timeline import (
-    previous_per_key,
+    bucketed_rolling_avg,
+    flag_rises,
     rolling_at_latest,
     rolling_utilization,
 )
@@ -94,23 +95,21 @@ def alert_history(
 
 def alert_transitions(facts: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Snapshots at which a station becomes empty or critical, not those at which it stays so."""
-    states = {EMPTY: "_is_empty", CRITICAL: "_is_critical"}
-    flagged = rolling_utilization(facts, params).withColumns(
-        {"_is_empty": is_empty(), "_is_critical": is_critical(params)}
-    )
-    compared = previous_per_key(
-        flagged,
+    states = {EMPTY: "_empty", CRITICAL: "_critical"}
+    flagged = bucketed_rolling_avg(
+        facts,
         "station_key",
         "snapshot_timestamp",
-        list(states.values()),
-        params.lag_bucket_seconds,
+        "utilization_rate",
+        "rolling_15m_utilization",
+        params.rolling_window_seconds,
+        params.rolling_bucket_seconds,
+    ).withColumns({"_empty": is_empty(), "_critical": is_critical(params)})
+    rises = flag_rises(flagged, "station_key", list(states.values()))
+    entered = F.array_compact(
+        F.array(*[F.when(F.col(f"rises_{flag}"), kind) for kind, flag in states.items()])
     )
-    entered = [
-        F.when(F.col(flag) & ~F.coalesce(f"prev_{flag}", F.lit(False)), kind)
-        for kind, flag in states.items()
-    ]
-    opened = compared.withColumn("_kind", F.explode(F.array_compact(F.array(*entered))))
-    return as_alerts(opened, F.col("_kind"))
+    return as_alerts(rises.withColumn("_kind", F.explode(entered)), F.col("_kind"))
 
 
 def stamp(alerts: DataFrame, created_at: Column) -> DataFrame:

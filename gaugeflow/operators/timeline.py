@@ -3,18 +3,25 @@
 A window partitioned by the key alone puts the whole history of a busy key into one task. Every
 operator here slices the history into time buckets first, so the unit of work is (key, bucket),
 and repairs the bucket edges exactly: ``previous_per_key`` hands the closing state of a bucket to
-the next one, ``rolling_time_avg`` copies the last rows of a bucket forward as context.
+the next one, ``rolling_time_avg`` copies the last rows of a bucket forward as context, and
+``flag_rises`` compares the edge rows of neighbouring buckets.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.timestamps import bucket_date, seconds_before, time_bucket
+from gaugeflow.functions.timestamps import (
+    bucket_date,
+    micros_bucket,
+    seconds_before,
+    time_bucket,
+)
 from gaugeflow.params import DEFAULTS, Params
 
 _MICROS = 1_000_000
@@ -48,11 +55,11 @@ def previous_per_key(
     inside = Window.partitionBy(key, "_bucket").orderBy(ts)
     carried = (
         bucketed.groupBy(key, "_bucket")
-        .agg(F.max_by(state, F.col(ts)).alias("_closing"))
+        .agg(*[F.max_by(name, ts).alias(name) for name in columns])
         .select(
             key,
             "_bucket",
-            F.lag("_closing").over(Window.partitionBy(key).orderBy("_bucket")).alias("_carried"),
+            F.lag(state).over(Window.partitionBy(key).orderBy("_bucket")).alias("_carried"),
         )
     )
     before = F.coalesce("_lagged", "_carried")
@@ -73,15 +80,31 @@ def rolling_time_avg(
     window_seconds: int = DEFAULTS.rolling_window_seconds,
     bucket_seconds: int = DEFAULTS.rolling_bucket_seconds,
 ) -> DataFrame:
-    """Adds the mean of ``value`` over [t - window, t] along each key, both ends included.
+    """Adds the mean of ``value`` over [t - window, t] along each key, both ends included."""
+    return bucketed_rolling_avg(
+        df, key, ts, value, output, window_seconds, bucket_seconds
+    ).drop("_bucket", "_micros")
+
+
+def bucketed_rolling_avg(
+    df: DataFrame,
+    key: str,
+    ts: str,
+    value: str,
+    output: str,
+    window_seconds: int = DEFAULTS.rolling_window_seconds,
+    bucket_seconds: int = DEFAULTS.rolling_bucket_seconds,
+) -> DataFrame:
+    """``rolling_time_avg`` with the ``_bucket`` its rows are partitioned by and the ``_micros``
+    they are sorted by, for operators that go on in the same layout.
 
     Rows less than one window before a bucket's end are copied into the following bucket as
     context and removed after the window ran.
     """
     own = time_bucket(F.col(ts), bucket_seconds)
-    reach = F.floor(
-        (F.unix_micros(ts) + F.lit(window_seconds * _MICROS)) / F.lit(bucket_seconds * _MICROS)
-    ).cast("bigint")
+    reach = micros_bucket(
+        F.unix_micros(ts) + F.lit(window_seconds * _MICROS), bucket_seconds
+    )
     frame = (
         Window.partitionBy(key, "_bucket")
         .orderBy("_micros")
@@ -93,7 +116,41 @@ def rolling_time_avg(
         .withColumn("_bucket", F.explode(F.sequence("_own", reach)))
         .withColumn(output, F.avg(value).over(frame))
         .filter(F.col("_bucket") == F.col("_own"))
-        .select(*df.columns, output)
+        .select(*df.columns, output, "_bucket", "_micros")
+    )
+
+
+def flag_rises(bucketed: DataFrame, key: str, flags: Sequence[str]) -> DataFrame:
+    """Rows at which some flag turns on, with ``rises_<flag>``; on a key's first row a set flag
+    counts as turning on.
+
+    ``bucketed`` comes in the layout of ``bucketed_rolling_avg``, so the lag inside a bucket needs
+    no shuffle or sort. A bucket's first row is compared with the last row of the bucket before it: only the edge
+    rows of all buckets meet per key, and everything else has been filtered or stays in its
+    bucket, so the input is read once and needs no join.
+    """
+    state = F.struct(*flags)
+    inside = Window.partitionBy(key, "_bucket").orderBy("_micros")
+    opens, closes = F.col("_before").isNull(), F.col("_after").isNull()
+    edge = opens | closes
+    edges = Window.partitionBy(key, F.when(~edge, F.col("_bucket"))).orderBy("_micros")
+
+    def rises(flag: str) -> Column:
+        return F.col(flag) & ~F.coalesce(F.col(f"_before.{flag}"), F.lit(False))
+
+    def some_rise() -> Column:
+        return reduce(Column.__or__, [rises(flag) for flag in flags])
+
+    return (
+        bucketed.withColumn("_before", F.lag(state).over(inside))
+        .withColumn("_after", F.lead(F.lit(1)).over(inside))
+        .filter(edge | some_rise())
+        .withColumn(
+            "_before", F.coalesce("_before", F.when(opens, F.lag(state).over(edges)))
+        )
+        .filter(some_rise())
+        .withColumns({f"rises_{flag}": rises(flag) for flag in flags})
+        .drop("_bucket", "_micros", "_before", "_after")
     )
 
 

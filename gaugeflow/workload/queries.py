@@ -330,11 +330,15 @@ def hourly_activity(spark, sf_dir):
 
 @register
 def activity_incremental(spark, sf_dir):
-    first, second = _halves(spark, sf_dir)
-    fresh = second.join(first, list(dedupe.FACT_KEY), "left_anti")
-    return activity.fold_activity(
-        activity.hourly_activity(first), fresh, timeline.latest_status(first), first
-    )
+    """The second half of the arrivals folded into the activity of the first, as stored batches."""
+    store = StationStore(spark, fresh_dir(spark, "activity"))
+    first, fresh = [
+        store.append_facts(half, "run", number)
+        for number, half in enumerate(_halves(spark, sf_dir))
+    ]
+    latest = timeline.latest_status(first)
+    history = first if activity.has_late_facts(fresh, latest) else None
+    return activity.fold_activity(activity.hourly_activity(first), fresh, latest, history)
 
 
 @register
