@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -23,6 +28,13 @@ from gaugeflow.schema import conform
 from gaugeflow.sources.store import PUBLISHED, StationStore
 
 
+def together(spark: SparkSession, *tasks: Callable[[], Any]) -> list[Any]:
+    """Run independent Spark jobs side by side: most are small and leave executors idle."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+        return [future.result() for future in futures]
+
+
 def recent_history(latest: DataFrame, facts: DataFrame, params: Params) -> DataFrame:
     """Facts of the dates that the rolling windows of these latest rows touch."""
     since = seconds_before(F.col("snapshot_timestamp"), params.rolling_window_seconds)
@@ -51,18 +63,28 @@ def _write_gold(
     def write(table: str, df: DataFrame) -> DataFrame:
         return store.write_version(version, table, conform(df, PUBLISHED[table]))
 
-    latest = write("latest_station_status", latest)
-    activity = write("hourly_activity", activity)
-    write("daily_usage_peaks", daily_usage_peaks(activity))
-    ranked = dense_rank_global(
-        latest, UTILIZATION_ORDER, "utilization_rank", scratch=f"{version}/ranked_keys"
+    latest, activity = together(
+        store.spark,
+        lambda: write("latest_station_status", latest),
+        lambda: write("hourly_activity", activity),
     )
-    write("top_utilization_stations", ranked)
-    write("low_availability_zones", low_availability_zones(latest, params))
-    write("geographic_imbalance", geographic_imbalance(latest))
-    scarce = latest.filter(F.col("bikes_available") <= params.critical_bikes_threshold)
-    history = recent_history(scarce, facts, params)
-    return write("critical_stations", critical_stations(latest, history, params))
+
+    def rank() -> DataFrame:
+        keys = f"{version}/ranked_keys"
+        return dense_rank_global(latest, UTILIZATION_ORDER, "utilization_rank", scratch=keys)
+
+    def critical() -> DataFrame:
+        scarce = latest.filter(F.col("bikes_available") <= params.critical_bikes_threshold)
+        return critical_stations(latest, recent_history(scarce, facts, params), params)
+
+    return together(
+        store.spark,
+        lambda: write("critical_stations", critical()),
+        lambda: write("top_utilization_stations", rank()),
+        lambda: write("daily_usage_peaks", daily_usage_peaks(activity)),
+        lambda: write("low_availability_zones", low_availability_zones(latest, params)),
+        lambda: write("geographic_imbalance", geographic_imbalance(latest)),
+    )[0]
 
 
 def refresh_all(
@@ -97,8 +119,11 @@ def refresh_batch(
     """
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        store.append_archive(batch, run_id, batch_id)
-        fresh = store.append_facts(batch, run_id, batch_id)
+        _, fresh = together(
+            store.spark,
+            lambda: store.append_archive(batch, run_id, batch_id),
+            lambda: store.append_facts(batch, run_id, batch_id),
+        )
     finally:
         batch.unpersist()
     latest = store.gold_before("latest_station_status", run_id, batch_id)

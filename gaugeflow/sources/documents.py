@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeflow.operators.networks import normalize_payload
-from gaugeflow.schema import CATALOG_DOCUMENT, SNAPSHOT_DOCUMENT
+from gaugeflow.schema import CATALOG_DOCUMENT, NETWORK_TARGET, SNAPSHOT_DOCUMENT, conform
+from gaugeflow.sources import files
 
 
 def read_documents(
@@ -48,3 +49,14 @@ def explode_catalog(documents: DataFrame) -> DataFrame:
         F.col("network.location.city").alias("city"),
         F.col("network.location.country").alias("country"),
     )
+
+
+def save_targets(targets: DataFrame, path: str) -> None:
+    """Keep resolved networks for a run in which discovery fails; one row per requested city."""
+    conform(targets, NETWORK_TARGET).coalesce(1).write.mode("overwrite").json(path)
+
+
+def saved_targets(spark: SparkSession, path: str) -> DataFrame | None:
+    if not files.exists(spark, path):
+        return None
+    return spark.read.schema(NETWORK_TARGET).json(path)

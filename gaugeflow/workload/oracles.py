@@ -69,8 +69,8 @@ BLOCKS = {
         JOIN (SELECT station_key, max(snapshot_timestamp) AS newest FROM facts GROUP BY 1) n
           ON f.station_key = n.station_key AND f.snapshot_timestamp = n.newest""",
     "ranked": """
-        SELECT *, dense_rank() OVER (ORDER BY utilization_rate DESC, bikes_available,
-                                              station_name) AS utilization_rank
+        SELECT *, CAST(dense_rank() OVER (ORDER BY utilization_rate DESC, bikes_available,
+                                                   station_name) AS INTEGER) AS utilization_rank
         FROM latest""",
     "zones": """
         SELECT city, zone_id, max(snapshot_timestamp) AS snapshot_timestamp,
@@ -102,8 +102,9 @@ BLOCKS = {
                sum(usage_proxy) AS estimated_activity
         FROM moves GROUP BY 1, 2, 3""",
     "peaks": """
-        SELECT *, dense_rank() OVER (PARTITION BY city, usage_date
-                                     ORDER BY estimated_activity DESC, usage_hour) AS peak_rank
+        SELECT *, CAST(dense_rank() OVER (PARTITION BY city, usage_date
+                                          ORDER BY estimated_activity DESC, usage_hour)
+                       AS INTEGER) AS peak_rank
         FROM activity""",
     "rolling": """
         SELECT *, avg(utilization_rate) OVER (
@@ -323,7 +324,7 @@ STATEMENTS = {
     ),
     "archive_roundtrip": f"SELECT {_FACT} FROM facts",
     "fact_upsert": f"""
-        SELECT {_FACT}, CASE WHEN arrival_id * 2 > newest THEN 1 ELSE 0 END AS batch_id
+        SELECT {_FACT}, CAST(arrival_id * 2 > newest AS BIGINT) AS batch_id
         FROM arrived CROSS JOIN half""",
     "alert_upsert": f"""
         SELECT DISTINCT {_ALERT} FROM (

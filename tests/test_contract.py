@@ -34,6 +34,7 @@ def test_query_equals_sql(spark, database, name):
     result = database.execute(contract.oracle_sql()[name])
     names = [part[0] for part in result.description]
     found_rows = [tuple(row) for row in found.collect()]
+    assert compare.type_differences(found, result.description) == ""
     assert compare.differences(found_rows, found.columns, result.fetchall(), names) == ""
 
 

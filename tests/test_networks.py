@@ -63,8 +63,12 @@ def test_best_match_order(catalog):
 
 def test_saved_targets_stand_in_for_a_failed_discovery(catalog, spark, tmp_path):
     targets = resolve_targets(catalog(NETWORKS), ["Paris"])
-    targets.write.parquet(str(tmp_path / "targets"))
-    saved = spark.read.schema(NETWORK_TARGET).parquet(str(tmp_path / "targets"))
+    path = str(tmp_path / "targets")
+    assert documents.saved_targets(spark, path) is None
+    for _ in range(2):
+        documents.save_targets(targets, path)
+    saved = documents.saved_targets(spark, path)
+    assert saved.schema == NETWORK_TARGET
     for broken in (None, catalog(NETWORKS[2:])):
         assert rows(resolve_targets(broken, ["Paris"], saved)) == rows(targets)
     with pytest.raises(RuntimeError):

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from gaugeflow.operators import activity, alerts, timeline
 from gaugeflow.operators.dedupe import transform_snapshots
 from gaugeflow.params import Params
+from gaugeflow.plans.dashboard import dashboard_frames
+from gaugeflow.schema import FRAMES
 from gaugeflow.session import fresh_dir
 from gaugeflow.sources.records import stream_json_folder
 from gaugeflow.sources.store import StationStore
-from gaugeflow.streaming import ingest
+from gaugeflow.streaming import ingest, job
 from gaugeflow.streaming.transitions import stream_transitions
 
 PARAMS = Params(critical_utilization_threshold=0.5)
@@ -73,6 +75,31 @@ def test_stream_equals_batch_and_survives_a_restart(spark, frame, tmp_path, arri
     assert rows(store.gold("hourly_activity")) == rows(activity.hourly_activity(batch))
 
 
+def test_job_and_dashboard(spark, tmp_path):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    _land(landing, "0", [reading("1", 0, 0, 5), reading("2", 1, 2, 0, "Lyon")])
+    root = fresh_dir(spark, "job")
+    job.main(
+        ["--folder", str(landing), "--root", root, "--checkpoint", str(tmp_path / "c"),
+         "--run-id", "r", "--available-now"]
+    )
+    as_of = F.lit("2026-04-21 09:02:00").cast("timestamp")
+    shown = dashboard_frames(
+        StationStore(spark, root), as_of, selected_cities=["Lyon"], focus="tension"
+    )
+    for name, schema in FRAMES.items():
+        assert shown[name].columns == schema.names
+        assert rows(shown[name].select("city").distinct()) == [("Lyon",)], name
+    assert shown["map"].count() == 1
+    row = shown["metrics"].first()
+    assert (row.total_stations, row.tracked_cities, row.empty_stations) == (2, 2, 1)
+    assert shown["freshness"].first().age_seconds == 60
+    empty = dashboard_frames(StationStore(spark, fresh_dir(spark, "none")), as_of)
+    assert all(empty[name].count() == 0 for name in FRAMES)
+    assert empty["freshness"].first().level == "info"
+
+
 def test_rows_behind_the_watermark_are_dropped_and_counted(spark, tmp_path):
     landing = tmp_path / "in"
     landing.mkdir()
