@@ -3,30 +3,54 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Beyond these numbers of dates the filters would grow too long; the result stays the same.
+_MAX_SPANS = 31
 _MAX_DATES = 400
 
 
-def restrict_to_dates(stored: DataFrame, incoming: DataFrame, date: str) -> DataFrame:
-    """``stored`` cut to the dates that occur in ``incoming``, as a literal filter.
+def restrict_to_spans(
+    stored: DataFrame, incoming: DataFrame, date: str, ts: str
+) -> DataFrame:
+    """``stored`` cut to the dates of ``incoming`` and, per date, to its first and last time.
 
-    Literal dates prune partitions before the scan. A batch that touches more dates than fit a
-    filter is compared with everything.
+    Literal filters: dates prune partitions before the scan and times skip row groups by their
+    statistics. One short row per date comes to the driver. A batch with more dates than fit a
+    filter is compared by date only, or with everything.
     """
-    days = [row[0] for row in incoming.select(date).distinct().take(_MAX_DATES + 1)]
-    if len(days) > _MAX_DATES:
+    spans = (
+        incoming.groupBy(date)
+        .agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
+        .take(_MAX_DATES + 1)
+    )
+    if not spans:
+        return stored.limit(0)
+    if len(spans) > _MAX_DATES:
         return stored
-    return stored.filter(F.col(date).isin(days))
+    dates = stored.filter(F.col(date).isin([span[date] for span in spans]))
+    if len(spans) > _MAX_SPANS:
+        return dates
+
+    def inside(span) -> Column:
+        return (F.col(date) == span[date]) & F.col(ts).between(span["first"], span["last"])
+
+    return dates.filter(reduce(Column.__or__, map(inside, spans)))
 
 
 def absent_rows(incoming: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``incoming`` whose key is not stored yet; ``incoming`` is unique on the key."""
-    return incoming.join(stored.select(*keys), list(keys), "left_anti").select(
-        *incoming.columns
-    )
+    """Rows of ``incoming`` whose key is not stored yet; ``incoming`` is unique on the key.
+
+    The stored rows are first reduced to the keys that come in. That side of the join is the
+    incoming batch, so while the batch is small enough to be broadcast the stored table is scanned
+    without a shuffle; the anti join then meets no more rows than the batch has.
+    """
+    keys = list(keys)
+    known = stored.select(*keys).join(incoming.select(*keys), keys, "left_semi")
+    return incoming.join(known, keys, "left_anti").select(*incoming.columns)
 
 
 def append_if_absent(

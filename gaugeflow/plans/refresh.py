@@ -21,7 +21,7 @@ from gaugeflow.operators.activity import (
 from gaugeflow.operators.alerts import critical_stations, current_alerts, stamp
 from gaugeflow.operators.ranking import UTILIZATION_ORDER, dense_rank_global
 from gaugeflow.operators.timeline import fold_latest, latest_status
-from gaugeflow.operators.upsert import restrict_to_dates
+from gaugeflow.operators.upsert import restrict_to_spans
 from gaugeflow.operators.zones import geographic_imbalance, low_availability_zones
 from gaugeflow.params import DEFAULTS, Params
 from gaugeflow.schema import conform
@@ -36,14 +36,20 @@ def together(spark: SparkSession, *tasks: Callable[[], Any]) -> list[Any]:
 
 
 def recent_history(latest: DataFrame, facts: DataFrame, params: Params) -> DataFrame:
-    """Facts of the dates that the rolling windows of these latest rows touch."""
-    since = seconds_before(F.col("snapshot_timestamp"), params.rolling_window_seconds)
-    dates = latest.select(
-        F.explode(F.array_distinct(F.array(F.to_date(since), F.col("event_date")))).alias(
-            "event_date"
-        )
+    """Facts of the dates, and the times on them, that these rows' rolling windows cover."""
+    until = F.col("snapshot_timestamp")
+    windows = latest.select(
+        seconds_before(until, params.rolling_window_seconds).alias("since"), until.alias("until")
+    ).withColumn("event_date", F.explode(F.sequence(F.to_date("since"), F.to_date("until"))))
+    midnight = F.col("event_date").cast("timestamp")
+    next_midnight = F.date_add("event_date", 1).cast("timestamp")
+    covered = windows.select(
+        "event_date",
+        F.explode(
+            F.array(F.greatest("since", midnight), F.least("until", next_midnight))
+        ).alias("snapshot_timestamp"),
     )
-    return restrict_to_dates(facts, dates, "event_date")
+    return restrict_to_spans(facts, covered, "event_date", "snapshot_timestamp")
 
 
 def _write_gold(

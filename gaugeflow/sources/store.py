@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeflow.operators.upsert import absent_rows, restrict_to_dates
+from gaugeflow.operators.upsert import absent_rows, restrict_to_spans
 from gaugeflow.schema import ALERT_KEY, FACT, FACT_KEY, GOLD
 from gaugeflow.sources import files
 
@@ -73,9 +73,10 @@ class StationStore:
     def append_facts(self, batch: DataFrame, run_id: str, batch_id: int) -> DataFrame:
         """Store the rows whose key is new and return them; the first writer of a key wins.
 
-        ``batch`` is unique on the key. Only dates that occur in it are compared.
+        ``batch`` is unique on the key and read twice, so persist it when it is costly to make.
         """
-        known = restrict_to_dates(self.facts_without(run_id, batch_id), batch, "event_date")
+        others = self.facts_without(run_id, batch_id)
+        known = restrict_to_spans(others, batch, "event_date", "snapshot_timestamp")
         fresh = absent_rows(batch.drop("batch_id"), known, FACT_KEY)
         write_partitioned(
             fresh.withColumns(
@@ -109,7 +110,8 @@ class StationStore:
         """Store the alerts whose (station, snapshot, type) is new."""
         dated = alerts.withColumn("alert_date", F.to_date("snapshot_timestamp"))
         others = self._alerts().filter(~self._own(run_id, batch_id))
-        fresh = absent_rows(dated, restrict_to_dates(others, dated, "alert_date"), ALERT_KEY)
+        known = restrict_to_spans(others, dated, "alert_date", "snapshot_timestamp")
+        fresh = absent_rows(dated, known, ALERT_KEY)
         write_partitioned(
             fresh.withColumns(
                 {"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")}

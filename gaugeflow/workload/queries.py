@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,6 +107,18 @@ def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
+@contextmanager
+def _persisted(*batches: DataFrame) -> Iterator[None]:
+    """Batches that are written at once, so that their source is read once."""
+    for batch in batches:
+        batch.persist()
+    try:
+        yield
+    finally:
+        for batch in batches:
+            batch.unpersist()
+
+
 # -- cleaning and deduplication ------------------------------------------------------------
 
 
@@ -217,8 +230,9 @@ def normalize_payload(spark, sf_dir):
 def archive_roundtrip(spark, sf_dir):
     store = StationStore(spark, fresh_dir(spark, "archive"))
     batch = stations.facts(spark, sf_dir).withColumn("batch_id", F.lit(0))
-    for _ in range(2):
-        store.append_archive(batch, "run", 0)
+    with _persisted(batch):
+        for _ in range(2):
+            store.append_archive(batch, "run", 0)
     return store.archive().drop("batch_id")
 
 
@@ -227,9 +241,10 @@ def fact_upsert(spark, sf_dir):
     """Both halves of the arrivals as batches 0 and 1, the second one written twice."""
     store = StationStore(spark, fresh_dir(spark, "facts"))
     first, second = _halves(spark, sf_dir)
-    store.append_facts(first, "run", 0)
-    for _ in range(2):
-        store.append_facts(second, "run", 1)
+    with _persisted(first, second):
+        store.append_facts(first, "run", 0)
+        for _ in range(2):
+            store.append_facts(second, "run", 1)
     return store.facts()
 
 
@@ -238,12 +253,15 @@ def alert_upsert(spark, sf_dir):
     """Alerts at the end of the first half, then those of every snapshot, written twice."""
     store = StationStore(spark, fresh_dir(spark, "alerts"))
     first, _ = _halves(spark, sf_dir)
-    latest = timeline.latest_status(first)
-    critical = alerts.critical_stations(latest, first, PARAMS)
-    current = alerts.current_alerts(latest, critical)
-    store.append_alerts(alerts.stamp(current, _as_of()), "run", 0)
-    for _ in range(2):
-        store.append_alerts(_alert_log(spark, sf_dir), "run", 1)
+    with _persisted(first):
+        latest = timeline.latest_status(first)
+        critical = alerts.critical_stations(latest, first, PARAMS)
+        current = alerts.current_alerts(latest, critical)
+        store.append_alerts(alerts.stamp(current, _as_of()), "run", 0)
+    log = _alert_log(spark, sf_dir)
+    with _persisted(log):
+        for _ in range(2):
+            store.append_alerts(log, "run", 1)
     return store.alerts().drop("created_at")
 
 
@@ -258,7 +276,8 @@ def refresh_gold(spark, sf_dir):
     """Rows per published table after the arrivals' two halves went through as batches."""
     store = StationStore(spark, fresh_dir(spark, "gold"))
     for number, half in enumerate(_halves(spark, sf_dir)):
-        store.append_facts(half, "run", number)
+        with _persisted(half):
+            store.append_facts(half, "run", number)
     refresh.refresh_all(store, "run", 1, PARAMS, created_at=_as_of())
     tables = {name: store.gold(name) for name in PUBLISHED}
     tables["station_alerts"] = store.alerts()
@@ -332,10 +351,11 @@ def hourly_activity(spark, sf_dir):
 def activity_incremental(spark, sf_dir):
     """The second half of the arrivals folded into the activity of the first, as stored batches."""
     store = StationStore(spark, fresh_dir(spark, "activity"))
-    first, fresh = [
-        store.append_facts(half, "run", number)
-        for number, half in enumerate(_halves(spark, sf_dir))
-    ]
+    halves = _halves(spark, sf_dir)
+    with _persisted(*halves):
+        first, fresh = [
+            store.append_facts(half, "run", number) for number, half in enumerate(halves)
+        ]
     latest = timeline.latest_status(first)
     history = first if activity.has_late_facts(fresh, latest) else None
     return activity.fold_activity(activity.hourly_activity(first), fresh, latest, history)

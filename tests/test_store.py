@@ -5,9 +5,10 @@ from conftest import random_readings, reading, rows
 from pyspark.sql import functions as F
 
 from gaugeflow.operators import activity, alerts, timeline
-from gaugeflow.operators.upsert import append_if_absent, restrict_to_dates
+from gaugeflow.operators import upsert
+from gaugeflow.operators.upsert import append_if_absent, restrict_to_spans
 from gaugeflow.params import Params
-from gaugeflow.plans.refresh import refresh_all, refresh_batch
+from gaugeflow.plans.refresh import recent_history, refresh_all, refresh_batch
 from gaugeflow.schema import FACT_KEY
 from gaugeflow.session import fresh_dir
 from gaugeflow.sources import files
@@ -36,12 +37,31 @@ def test_first_writer_of_a_key_wins(facts):
     assert rows(merged, "station_id", "bikes_available") == [("1", 1), ("1", 3), ("2", 2)]
 
 
-def test_dates_restrict_the_comparison_without_changing_it(facts):
-    stored = facts([reading("1", 0, 1, 1), reading("1", 2000, 1, 1)])
-    incoming = facts([reading("2", 0, 1, 1)])
-    assert rows(restrict_to_dates(stored, incoming, "event_date"), "event_date") == rows(
-        stored.limit(1), "event_date"
-    )
+def test_spans_restrict_the_comparison_without_changing_it(facts, monkeypatch):
+    stored = facts([reading("1", minute, 1, 1) for minute in (0, 10, 20, 2000, 4000)])
+    incoming = facts([reading("2", minute, 1, 1) for minute in (5, 20, 2000)])
+
+    def kept(batch=incoming):
+        left = restrict_to_spans(stored, batch, "event_date", "snapshot_timestamp")
+        return [r.snapshot_timestamp.strftime("%d %H:%M") for r in left.collect()]
+
+    assert kept() == ["21 09:10", "21 09:20", "22 18:20"]
+    assert kept(incoming.limit(0)) == []
+    monkeypatch.setattr(upsert, "_MAX_SPANS", 1)
+    assert len(kept()) == 4
+    monkeypatch.setattr(upsert, "_MAX_DATES", 1)
+    assert len(kept()) == 5
+
+
+def test_recent_history_covers_windows_across_midnight(facts):
+    # 15:00 hours after the start is midnight.
+    history = facts([reading("1", minute, 1, 1) for minute in (880, 890, 898, 902, 905, 960)])
+    latest = history.filter(F.col("snapshot_timestamp") == history.agg(
+        F.max("snapshot_timestamp")).scalar() - F.expr("INTERVAL 55 MINUTES"))
+    found = recent_history(latest, history, PARAMS)
+    assert [r.snapshot_timestamp.strftime("%H:%M") for r in found.collect()] == [
+        "23:50", "23:58", "00:02", "00:05",
+    ]
 
 
 def test_empty_store_has_the_declared_columns(store):
