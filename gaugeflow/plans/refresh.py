@@ -9,7 +9,6 @@ from typing import Any
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from gaugeflow.functions.timestamps import seconds_before
 from gaugeflow.operators.activity import (
@@ -122,16 +121,13 @@ def refresh_batch(
     The work follows the size of the batch and of the latest table; the history is read for the
     rolling window's dates and, if the batch holds facts older than a station's latest row, for
     those stations. Repeating a batch gives the same tables.
+
+    ``batch`` itself is read once, for the archive; all later steps read the archived rows. So a
+    stream's stateful operator runs once per micro-batch, and losing an executor later does not
+    bring it back.
     """
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        _, fresh = together(
-            store.spark,
-            lambda: store.append_archive(batch, run_id, batch_id),
-            lambda: store.append_facts(batch, run_id, batch_id),
-        )
-    finally:
-        batch.unpersist()
+    archived = store.append_archive(batch, run_id, batch_id)
+    fresh = store.append_facts(archived, run_id, batch_id)
     latest = store.gold_before("latest_station_status", run_id, batch_id)
     activity = store.gold_before("hourly_activity", run_id, batch_id)
     late = has_late_facts(fresh, latest)

@@ -19,6 +19,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _system(spark, path).exists(_path(spark, path))
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path fits the glob pattern."""
+    found = _system(spark, pattern).globStatus(_path(spark, pattern))
+    return found is not None and len(found) > 0
+
+
 def delete(spark: SparkSession, path: str) -> None:
     _system(spark, path).delete(_path(spark, path), True)
 

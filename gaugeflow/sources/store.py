@@ -44,6 +44,8 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> None:
 
 
 class StationStore:
+    """Tables under one root folder. Run ids may hold letters, digits, dots, dashes, underscores."""
+
     def __init__(self, spark: SparkSession, root: str, keep_versions: int = 5) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
@@ -61,6 +63,18 @@ class StationStore:
     def _own(run_id: str, batch_id: int) -> Column:
         return (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
 
+    def _own_rows(
+        self, table: str, outer_folders: int, run_id: str, batch_id: int
+    ) -> DataFrame:
+        """Stored fact rows of one batch; only its own partition folders are listed."""
+        base = f"{self.root}/{table}"
+        pattern = f"{base}{'/*' * outer_folders}/run_id={run_id}/batch_id={batch_id}"
+        if not files.matches(self.spark, pattern):
+            return self.spark.createDataFrame([], FACT)
+        schema = T.StructType([*FACT.fields, _RUN])
+        rows = self.spark.read.schema(schema).option("basePath", base).parquet(pattern)
+        return rows.select(*FACT.names)
+
     def _facts(self) -> DataFrame:
         return self._read("facts", T.StructType([*FACT.fields, _RUN]))
 
@@ -85,9 +99,10 @@ class StationStore:
             f"{self.root}/facts",
             ["event_date", "run_id", "batch_id"],
         )
-        return self._facts().filter(self._own(run_id, batch_id)).select(*FACT.names)
+        return self._own_rows("facts", 1, run_id, batch_id)
 
-    def append_archive(self, batch: DataFrame, run_id: str, batch_id: int) -> None:
+    def append_archive(self, batch: DataFrame, run_id: str, batch_id: int) -> DataFrame:
+        """Store every row of the batch and return them as read back."""
         write_partitioned(
             batch.withColumns(
                 {"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")}
@@ -95,6 +110,7 @@ class StationStore:
             f"{self.root}/archive",
             ["event_date", "city", "run_id", "batch_id"],
         )
+        return self._own_rows("archive", 2, run_id, batch_id)
 
     def archive(self) -> DataFrame:
         return self._read("archive", T.StructType([*FACT.fields, _RUN])).select(*FACT.names)
