@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeflow.llm import bitplanes, packing
+from gaugeflow.llm import bitplanes, packing, quality
 from gaugeflow.llm.common import ids_and_texts, table
 
 
@@ -16,6 +16,10 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op4_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = ids_and_texts(table(spark, sf_dir, "documents"))
     return bitplanes.token_ids(docs, vocabulary(), end_id=2)
@@ -27,8 +31,11 @@ def op7_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
     "op4_token_planes": op4_token_planes,
     "op7_pattern_packing": op7_pattern_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_quality_rules": quality.oracle_sql(),
+}
