@@ -176,7 +176,7 @@ def write_shards(
         )
 
     ranged = docs.repartitionByRange(F.col("doc_id")).sortWithinPartitions("doc_id")
-    return common.stored(ranged.mapInArrow(write, INDEX_SCHEMA), "planes-index")
+    return common.stored(common.arrow_map(ranged, write, INDEX_SCHEMA), "planes-index")
 
 
 def with_global_start(index: DataFrame) -> DataFrame:
@@ -208,7 +208,7 @@ def read_documents(index: DataFrame, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(kept, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     near = index.repartition("file").sortWithinPartitions("file", "shard_start")
-    return near.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return common.arrow_map(near, read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_ids(docs: DataFrame, vocabulary: str, **options) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -67,7 +70,7 @@ def new_file(folder: str, suffix: str) -> tuple[str, pa.NativeFile]:
     system, path = open_fs(folder)
     system.create_dir(path, recursive=True)
     name = f"{uuid.uuid4().hex}{suffix}"
-    return name, system.open_output_stream(f"{path}/{name}")
+    return name, system.open_output_stream(f"{path}/{name}", compression=None)
 
 
 def cut_batches(
@@ -84,9 +87,28 @@ def cut_batches(
             yield batch.slice(start, end - start)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, which may not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in root.rglob("*.py"):
+            out.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def arrow_map(
     df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
+    """mapInArrow with functions of this package."""
+    ship_package(df.sparkSession)
     return df.mapInArrow(work, schema)
 
 

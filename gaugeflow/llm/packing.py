@@ -39,7 +39,7 @@ def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int | No
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
             )
 
-    return docs.mapInArrow(cut, PIECE_SCHEMA)
+    return common.arrow_map(docs, cut, PIECE_SCHEMA)
 
 
 # ---- the plan, from the histogram of lengths alone
@@ -203,7 +203,7 @@ def place(ranked: DataFrame, plan: list[tuple[tuple[int, ...], int]], capacity:
                 [*names, "sequence_id", "offset"],
             )
 
-    return ranked.select(*PIECE_COLUMNS, "rank").mapInArrow(locate, OUT_SCHEMA)
+    return common.arrow_map(ranked.select(*PIECE_COLUMNS, "rank"), locate, OUT_SCHEMA)
 
 
 PIECE_COLUMNS = [part.split()[0] for part in PIECE_SCHEMA.split(", ")]
@@ -244,7 +244,7 @@ def sequence_ids(docs: DataFrame, packed: DataFrame, vocabulary: str, end_id: in
                 [batch["doc_id"], pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"]
             )
 
-    encoded = docs.mapInArrow(encode, "doc_id long, ids array<int>")
+    encoded = common.arrow_map(docs, encode, "doc_id long, ids array<int>")
     part = F.slice("ids", (F.col("start") + 1).cast("int"), F.col("length").cast("int"))
     pieces = packed.join(encoded, "doc_id").select("sequence_id", "offset", part.alias("part"))
     in_order = F.array_sort(F.collect_list(F.struct("offset", "part")))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeflow.llm import bitplanes, packing, quality
+from gaugeflow.llm import bitplanes, packing, quality, warc
 from gaugeflow.llm.common import ids_and_texts, table
 
 
@@ -30,12 +30,18 @@ def op7_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, vocabulary(), capacity=2048, end_id=0)
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op4_token_planes": op4_token_planes,
     "op7_pattern_packing": op7_pattern_packing,
+    "op10_warc": op10_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": quality.oracle_sql(),
+    "op10_warc": warc.ORACLE_SQL,
 }
