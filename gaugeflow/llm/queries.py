@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeflow.llm import bitplanes, packing, quality, warc
+from gaugeflow.llm import bitplanes, langid, packing, quality, warc
 from gaugeflow.llm.common import ids_and_texts, table
 
 
@@ -25,6 +25,10 @@ def op4_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.token_ids(docs, vocabulary(), end_id=2)
 
 
+def op5_language_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = ids_and_texts(table(spark, sf_dir, "documents"))
     return packing.pack(docs, vocabulary(), capacity=2048, end_id=0)
@@ -37,6 +41,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op4_token_planes": op4_token_planes,
+    "op5_language_network": op5_language_network,
     "op7_pattern_packing": op7_pattern_packing,
     "op10_warc": op10_warc,
 }
