@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeflow.llm import bitplanes, langid, packing, quality, warc
+from gaugeflow.llm import bitplanes, factors, langid, packing, quality, suffixes, warc
 from gaugeflow.llm.common import ids_and_texts, table
 
 
@@ -29,11 +29,19 @@ def op5_language_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest_repeats(ids_and_texts(table(spark, sf_dir, "documents")))
+
+
 def op7_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = ids_and_texts(table(spark, sf_dir, "documents"))
     return packing.pack(docs, vocabulary(), capacity=2048, end_id=0)
 
 
+def op8_factor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return factors.digest_repeats(ids_and_texts(table(spark, sf_dir, "documents")))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
@@ -42,7 +50,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op4_token_planes": op4_token_planes,
     "op5_language_network": op5_language_network,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_pattern_packing": op7_pattern_packing,
+    "op8_factor_dedup": op8_factor_dedup,
     "op10_warc": op10_warc,
 }
 
