@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeflow.llm import bitplanes, factors, langid, packing, quality, suffixes, warc
+from gaugeflow.llm import bitplanes, factors, langid, neardup, packing, quality, suffixes, warc
 from gaugeflow.llm.common import ids_and_texts, table
 
 
@@ -42,6 +42,11 @@ def op8_factor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return factors.digest_repeats(ids_and_texts(table(spark, sf_dir, "documents")))
 
 
+def op9_fast_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return neardup.near_duplicates(docs, neardup.Rules(shingle=2))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_pattern_packing": op7_pattern_packing,
     "op8_factor_dedup": op8_factor_dedup,
+    "op9_fast_sketches": op9_fast_sketches,
     "op10_warc": op10_warc,
 }
 

@@ -148,14 +148,20 @@ def bucket_count(blocks: DataFrame) -> int:
 # ---- symbols and slices
 
 
+def block_of(ids: np.ndarray, texts: pa.Array) -> Block:
+    parts = [t.as_buffer() for t in texts.cast(pa.large_binary())]
+    edges = np.cumsum([0, *(p.size + 1 for p in parts)])
+    return Block(ids, np.frombuffer(b"\n".join([*parts, b""]), np.uint8), edges)
+
+
 def symbols(block: Block, words: bool) -> Symbols:
     if words:
-        return _words(block)
+        return word_symbols(block)
     # The line feed after each text counts as a symbol of that text; windows never reach it.
     return Symbols(_BYTE_VALUE[block.data], block.edges)
 
 
-def _words(block: Block) -> Symbols:
+def word_symbols(block: Block) -> Symbols:
     space = _SPACE[block.data]
     before = np.concatenate([[True], space[:-1]])
     start = np.flatnonzero(before & ~space)
@@ -184,7 +190,7 @@ def _words(block: Block) -> Symbols:
     return Symbols(common.mix64(codes), edges, start, end - start)
 
 
-def _rolling(codes: np.ndarray, length: int) -> np.ndarray:
+def rolling(codes: np.ndarray, length: int) -> np.ndarray:
     """Hash of each run of `length` codes, from the hashes of runs of powers of two."""
     found, have, part, size = None, 0, codes, 1
     while True:
@@ -219,8 +225,8 @@ def slices(found: Symbols, shape: Shape) -> Slices:
     for first in range(0, total - shape.window + 1, _CHUNK):
         n = min(_CHUNK, total - shape.window + 1 - first)
         codes = found.codes[first : first + n + shape.window - 1]
-        whole = common.mix64(_rolling(codes, shape.window))
-        least = _sliding_min(common.mix64(_rolling(codes, shape.gram)), shape.choices)
+        whole = common.mix64(rolling(codes, shape.window))
+        least = _sliding_min(common.mix64(rolling(codes, shape.gram)), shape.choices)
         texts = owner[first : first + n]
         reach = first + np.arange(n) + shape.window - 1 + bytes_apart
         valid = owner[np.minimum(reach, total - 1)] == texts
