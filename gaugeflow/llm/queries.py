@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeflow.llm import bitplanes, factors, langid, neardup, packing, quality, suffixes, warc
+from gaugeflow.llm import bitplanes, decontaminate, factors, langid, neardup, packing, quality, suffixes, warc
 from gaugeflow.llm.common import ids_and_texts, table
 
 
@@ -20,6 +20,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op3_containment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminations(documents, benchmark)
+
+
 def op4_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = ids_and_texts(table(spark, sf_dir, "documents"))
     return bitplanes.token_ids(docs, vocabulary(), end_id=2)
@@ -53,6 +58,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_containment_search": op3_containment_search,
     "op4_token_planes": op4_token_planes,
     "op5_language_network": op5_language_network,
     "op6_suffix_dedup": op6_suffix_dedup,
@@ -64,5 +70,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": quality.oracle_sql(),
+    "op3_containment_search": decontaminate.ORACLE_SQL,
     "op10_warc": warc.ORACLE_SQL,
 }
