@@ -1,5 +1,75 @@
-"""From documents to packed training sequences."""
+"""From documents to packed training sequences, in five stages over whole tables.
+
+Every stage takes (spark, docs, sf_dir) and returns a frame, which is stored and read again as the
+docs of the next one. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gaugeflow.llm import common, decontaminate, factors, langid, neardup, packing
+from gaugeflow.llm.queries import vocabulary
+
+#: A text stays if the network gives one language at least this probability.
+LEAST_SCORE = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects texts that are null, have no letter, or in which no language has half the score."""
+    texts, labels = langid.training_sample(docs.select("doc_id", "text", "lang"))
+    network = langid.train(texts, labels) if texts else None
+    judged = langid.predict(docs, network, keep=tuple(c for c in docs.columns if c != "doc_id"))
+    kept = judged.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return kept.select(*docs.columns)
+
+
+def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest doc_id of each group of near copies."""
+    copies = neardup.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages of 13 words or more that an earlier document has; every document stays."""
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    filled = docs.withColumn("text", F.coalesce("text", F.lit("")))
+    cut = factors.remove_repeats(filled, carry=others)
+    if "n_chars" in others:
+        cut = cut.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+    return cut.select(*docs.columns)
+
+
+def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents that contain a benchmark item."""
+    benchmark = common.table(spark, sf_dir, "benchmark")
+    return decontaminate.decontaminate(docs, benchmark).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of 2048 ids."""
+    return packing.pack(common.ids_and_texts(docs), vocabulary(), capacity=2048, end_id=0)
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", identify_language),
+    ("near_duplicates", remove_near_duplicates),
+    ("repeated_passages", remove_repeated_passages),
+    ("benchmark_leaks", remove_benchmark_leaks),
+    ("packing", pack_sequences),
+]
+
+#: SQL expresses neither the network nor the packing; the tests compare with brute force.
 ORACLE_SQL = None
-STAGES = []
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = common.stored(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs

@@ -23,6 +23,7 @@ UNKNOWN = "und"
 #: Windows that go through the network together: 64 KB of text, so that everything stays in cache.
 _TOGETHER = 128
 _LETTER = "\\p{L}"
+_SEEN = "__text_with_letters"
 
 
 @dataclass(frozen=True)
@@ -202,14 +203,14 @@ def training_sample(
 
 
 def predict(docs: DataFrame, network: Network | None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the keep columns, lang_pred and score of every (doc_id, text).
+    """doc_id, the keep columns, lang_pred and score of every (doc_id, text, ...).
 
     `und` with score 0 where the text is null or has no letter, or nothing could be learned.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in common.cut_batches([whole]):
+            for batch in common.cut_batches([whole], _SEEN):
                 names, scores = _predict(batch, network)
                 kept = [batch[c] for c in ("doc_id", *keep)]
                 yield pa.RecordBatch.from_arrays(
@@ -218,14 +219,15 @@ def predict(docs: DataFrame, network: Network | None, keep: tuple[str, ...] = ()
                 )
 
     has_letter = F.coalesce(F.col("text").rlike(_LETTER), F.lit(False))
-    lettered = docs.select("doc_id", *keep, F.when(has_letter, F.col("text")).alias("text"))
+    seen = F.when(has_letter, F.col("text")).alias(_SEEN)
+    lettered = docs.select("doc_id", *keep, seen)
     kinds = dict(lettered.dtypes)
     fields = ", ".join(f"`{name}` {kinds[name]}" for name in ("doc_id", *keep))
     return common.arrow_map(lettered, work, f"{fields}, lang_pred string, score double")
 
 
 def _predict(batch: pa.RecordBatch, network: Network | None) -> tuple[list[str], np.ndarray]:
-    data, offsets = common.text_bytes(batch["text"])
+    data, offsets = common.text_bytes(batch[_SEEN])
     n = batch.num_rows
     if network is None or not len(network.languages):
         return [UNKNOWN] * n, np.zeros(n)
