@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeflow.llm import bitplanes, decontaminate, factors, langid, neardup, packing, quality, suffixes, warc
+from gaugeflow.llm import bitplanes, decontaminate, factors, langid, licenses, neardup, packing, quality, suffixes, warc
 from gaugeflow.llm.common import ids_and_texts, table
 
 
@@ -16,6 +16,10 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
     "op3_containment_search": op3_containment_search,
     "op4_token_planes": op4_token_planes,

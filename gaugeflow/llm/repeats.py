@@ -5,7 +5,8 @@ Texts are packed into blocks, rows of a few megabytes. Every window of a fixed n
 equal minimisers, so neighbouring windows with the same minimiser travel together as one slice, and
 all slices that could share a window meet in one bucket. Nothing compares all pairs.
 
-1. `pack`: blocks, stored once.
+1. `pack`: blocks, stored once; `copies`: which texts repeat an earlier document as a whole. These
+   take no further part, as their windows all start in that document.
 2. `anchors`: each block sends its distinct minimisers to their buckets, four bytes each.
 3. `repeated`: a bucket sends back, per block, those that more than one document has.
 4. `route`: a block sends the distinct slices of these to their buckets, with their earliest
@@ -19,6 +20,7 @@ Buckets grow in number with the corpus. Within a task, memory follows one block
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -112,25 +114,52 @@ def pack(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
                 [n],
                 [ids.astype("<i8").tobytes()],
                 [sizes.astype("<i8").tobytes()],
+                [b"".join(hashlib.blake2b(t, digest_size=16).digest() for t in texts)],
                 [int(sizes.sum())],
                 [packer.compress(b"\n".join([*texts, b""]))],
             ]
-            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
+            kinds = [pa.int64(), *[pa.binary()] * 3, pa.int64(), pa.binary()]
             carried = [pa.ListArray.from_arrays([0, batch.num_rows], batch[c]) for c in carry]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in zip(row, kinds, strict=True)] + carried,
-                ["block", "ids", "sizes", "bytes", "packed", *carry],
+                ["block", "ids", "sizes", "digests", "bytes", "packed", *carry],
             )
             n += 1
 
     types = dict(docs.dtypes)
     schema = ", ".join(
-        ["block long, ids binary, sizes binary, bytes long, packed binary"]
+        ["block long, ids binary, sizes binary, digests binary, bytes long, packed binary"]
         + [f"`{c}` array<{types[c]}>" for c in carry]
     )
     return common.stored(common.arrow_map(docs, work, schema), "text-blocks")
 
 
+def copies(blocks: DataFrame) -> DataFrame:
+    """block, copies array<int>: places in the block of texts that an earlier document equals."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids = np.frombuffer(row["ids"], "<i8")
+                digests = np.frombuffer(row["digests"], "<i8").reshape(-1, 2)
+                yield _batch(
+                    {
+                        "a": (digests[:, 0], pa.int64()),
+                        "b": (digests[:, 1], pa.int64()),
+                        "doc": (ids, pa.int64()),
+                        "block": (np.full(len(ids), row["block"]), pa.int64()),
+                        "place": (np.arange(len(ids)), pa.int32()),
+                    }
+                )
+
+    read = blocks.select("block", "ids", "digests")
+    places = common.arrow_map(read, work, "a long, b long, doc long, block long, place int")
+    first = places.groupBy("a", "b").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    first = first.filter("first < last").drop("last")
+    later = places.join(first, ["a", "b"]).filter("doc > first")
+    return later.groupBy("block").agg(F.collect_list("place").alias("copies"))
+
+
 def unpack(row: dict) -> Block:
     data = zstandard.ZstdDecompressor().decompress(row["packed"])
     sizes = np.frombuffer(row["sizes"], "<i8")
@@ -216,8 +245,11 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def slices(found: Symbols, shape: Shape) -> Slices:
-    """All slices of a block; each window of each text is in exactly one."""
+def slices(found: Symbols, shape: Shape, without: list[int] | None = None) -> Slices:
+    """All slices of a block; each window of each text is in exactly one.
+
+    without: places of texts that are left out.
+    """
     total = len(found.codes)
     owner = np.repeat(np.arange(len(found.edges) - 1, dtype=np.int32), np.diff(found.edges))
     bytes_apart = 0 if shape.words else 1  # the line feed after each text
@@ -259,7 +291,13 @@ def slices(found: Symbols, shape: Shape) -> Slices:
     if not parts:
         none = np.zeros(0, np.int64)
         return Slices(none, none, none, none.astype(np.uint64), none.astype(np.uint64))
-    return Slices(*(np.concatenate(column) for column in zip(*parts, strict=True)))
+    every = Slices(*(np.concatenate(column) for column in zip(*parts, strict=True)))
+    if not without:
+        return every
+    stays = np.ones(len(found.edges) - 1, bool)
+    stays[without] = False
+    kept = stays[every.owner]
+    return Slices(*(column[kept] for column in vars(every).values()))
 
 
 def _keys(route: np.ndarray, buckets: int) -> np.ndarray:
@@ -290,7 +328,7 @@ def anchors(blocks: DataFrame, shape: Shape, buckets: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 block = unpack(row)
-                got = slices(symbols(block, shape.words), shape)
+                got = slices(symbols(block, shape.words), shape, row["copies"])
                 keys, docs = _keys(got.route, buckets), block.ids[got.owner]
                 order = np.argsort(keys, kind="stable")
                 keys, docs = keys[order], docs[order]
@@ -312,8 +350,7 @@ def anchors(blocks: DataFrame, shape: Shape, buckets: int) -> DataFrame:
                 )
 
     schema = "bucket int, block long, rest binary, many binary"
-    read = blocks.select("block", "ids", "sizes", "packed")
-    return common.arrow_map(read, work, schema)
+    return common.arrow_map(blocks, work, schema)
 
 
 def repeated(sent: DataFrame) -> DataFrame:
@@ -397,7 +434,7 @@ def route(blocks: DataFrame, back: DataFrame, shape: Shape, buckets: int) -> Dat
             for row in batch.to_pylist():
                 block = unpack(row)
                 found = symbols(block, shape.words)
-                got = slices(found, shape)
+                got = slices(found, shape, row["copies"])
                 order, first, edge = _distinct(got)
                 wanted = [
                     np.frombuffer(part["rest"], "<u4").astype(np.uint64)
@@ -436,7 +473,7 @@ def route(blocks: DataFrame, back: DataFrame, shape: Shape, buckets: int) -> Dat
                     )
 
     per_block = back.groupBy("block").agg(F.collect_list(F.struct("bucket", "rest")).alias("back"))
-    joined = blocks.select("block", "ids", "sizes", "packed").join(per_block, "block")
+    joined = blocks.join(per_block, "block")
     return common.arrow_map(joined, work, _ROUTED)
 
 
@@ -512,8 +549,10 @@ def resolve(
 ) -> DataFrame:
     """Applies output to every block, with the symbols that an earlier document's window covers."""
 
-    def removed(block: Block, found: Symbols, parts: list[dict]) -> np.ndarray:
-        got = slices(found, shape)
+    def removed(
+        block: Block, found: Symbols, without: list[int] | None, parts: list[dict]
+    ) -> np.ndarray:
+        got = slices(found, shape, without)
         order, _, edge = _distinct(got)
 
         def joined(name: str, kind: str) -> np.ndarray:
@@ -539,7 +578,12 @@ def resolve(
                 found = symbols(block, shape.words)
                 gone = np.zeros(len(found.codes), bool)
                 if row["parts"]:
-                    gone = removed(block, found, row["parts"])
+                    gone = removed(block, found, row["copies"], row["parts"])
+                for text in row["copies"] or ():
+                    first, last = found.edges[text], found.edges[text + 1]
+                    if not shape.words:
+                        last -= 1  # the line feed
+                    gone[first:last] = last - first >= shape.window
                 ids = pa.array(block.ids, mask=block.ids == NO_ID)
                 columns = {"doc_id": ids, **output(block, found, gone)}
                 columns |= {c: batch[c].slice(k, 1).flatten() for c in carry}
@@ -547,7 +591,7 @@ def resolve(
 
     fields = ("ordinals", "offsets", "counts", "docs")
     per_block = answers.groupBy("block").agg(F.collect_list(F.struct(*fields)).alias("parts"))
-    joined = blocks.drop("bytes").join(per_block, "block", "left")
+    joined = blocks.join(per_block, "block", "left")
     types = dict(blocks.dtypes)
     fields = [schema, *(f"`{c}` {types[c][len('array<') : -1]}" for c in carry)]
     return common.arrow_map(joined, work, ", ".join(fields))
@@ -564,6 +608,8 @@ def without_repeats(
     """All steps over (doc_id, text); schema: doc_id and what output makes."""
     blocks = pack(docs, carry)
     buckets = bucket_count(blocks)
-    back = repeated(anchors(blocks, shape, buckets))
-    answers = answer(route(blocks, back, shape, buckets), earliest)
-    return resolve(blocks, answers, shape, output, schema, carry)
+    # The blocks are shuffled once, by their number; all joins below use that exchange.
+    texts = blocks.drop("digests", "bytes").join(copies(blocks), "block", "left")
+    back = repeated(anchors(texts, shape, buckets))
+    answers = answer(route(texts, back, shape, buckets), earliest)
+    return resolve(texts, answers, shape, output, schema, carry)
