@@ -106,10 +106,12 @@ class Training:
 
     copies: int = 40
     paragraphs: int = 4000
-    vocabulary: int = 20_000
+    vocabulary: int = 4_000
     penalty: float = 0.002
     #: Share of a template's words that a paragraph must have for it to be confirmed.
     confirmed: float = 0.75
+    #: And for it to count as licence talk at all, where a family is predicted.
+    suspected: float = 0.5
     #: Wrong family predictions allowed among held-out paragraphs when the threshold is chosen.
     wrong: float = 0.005
 
@@ -153,12 +155,13 @@ def training_rows(docs: DataFrame, settings: Training) -> DataFrame:
     one stands between words of an ordinary paragraph.
     """
     known = templates(docs.sparkSession)
-    sampled = (
-        paragraphs(docs)
-        .orderBy(F.xxhash64("doc_id", "paragraph"), "doc_id", "paragraph")
-        .limit(settings.paragraphs)
-        .select("words", F.xxhash64("doc_id", "paragraph").alias("h"))
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
+    hashed = lines.filter(F.col("line").rlike("[A-Za-z0-9]")).withColumn(
+        "h", F.xxhash64("doc_id", "paragraph")
     )
+    # Words are cut after the sample is drawn.
+    sampled = hashed.orderBy("h", "doc_id", "paragraph").limit(settings.paragraphs)
+    sampled = sampled.select(tokens(F.col("line")).alias("words"), "h")
     listed = known.agg(F.collect_list(F.struct("family", "words")).alias("all"))
     shares = F.transform(
         "all", lambda t: F.size(F.array_intersect(t["words"], F.col("words"))) / F.size(t["words"])
@@ -179,7 +182,11 @@ def training_rows(docs: DataFrame, settings: Training) -> DataFrame:
     turned = F.slice(around, F.pmod(F.xxhash64("template", "v"), F.lit(20)).cast("int") + 1, 6)
     wrapped = F.concat(F.coalesce(turned, F.array().cast("array<string>")), kept)
     notices = copies.select("family", wrapped.alias("words"), F.xxhash64("template", "v").alias("h"))
-    rows = notices.unionByName(plain).filter(F.size("words") > 0)
+    # The ordinary words alone are no licence either.
+    fillers = copies.filter("v % 2 = 1").select(
+        F.lit(NONE).alias("family"), turned.alias("words"), F.xxhash64("v", "template").alias("h")
+    )
+    rows = notices.unionByName(plain).unionByName(fillers).filter(F.size("words") > 0)
     return rows.select("family", grams("words").alias("grams"), (F.pmod("h", F.lit(5)) == 0).alias("held_out"))
 
 
@@ -219,14 +226,15 @@ def train(docs: DataFrame, settings: Training = Training()) -> Classifier:
     """docs: doc_id, text."""
     spark = docs.sparkSession
     rows = common.stored(training_rows(docs, settings), "licence-training")
-    fitted = rows.filter("not held_out")
+    # Bounded by the settings, and read in every step of the optimiser.
+    fitted = rows.filter("not held_out").coalesce(4)
     counter = CountVectorizer(
-        inputCol="grams", outputCol="features", vocabSize=settings.vocabulary, minDF=2, binary=True
+        inputCol="grams", outputCol="features", vocabSize=settings.vocabulary, minDF=5, binary=True
     ).fit(fitted)
     classes = (*NOTICES, UNKNOWN, NONE)
     label = F.array_position(F.array(*map(F.lit, classes)), F.col("family")) - 1
     regression = LogisticRegression(
-        family="multinomial", regParam=settings.penalty, elasticNetParam=1.0, maxIter=60,
+        family="multinomial", regParam=settings.penalty, elasticNetParam=1.0, maxIter=40,
         standardization=False,
     )
     vectors = counter.transform(fitted).withColumn("label", label.cast("double"))
@@ -272,9 +280,9 @@ def scan(
 
     predicted is the classifier's family. family is the same where its probability is accepted and
     a template of it is found in the line (similarity: the share of the template's words, the best
-    of the family's); it is `unknown` for other licence talk. A line of ordinary text gives no row, and so
-    does a null or empty text. Rows that share a doc_id give their lines each. An empty table gives
-    no rows.
+    of the family's); it is `unknown` for other licence talk, and where a template is found in part.
+    A line of ordinary text gives no row, and nor does a null or empty text. Rows that share a
+    doc_id give their lines each. An empty table gives no rows.
     """
     texts = common.ids_and_texts(docs, id_col, text_col)
     model = model or train(texts, settings)
@@ -301,7 +309,8 @@ def scan(
         & (F.col("probability") >= model.threshold)
         & (F.col("similarity") >= settings.confirmed)
     )
-    judged = matched.select(
+    suspected = (F.col("predicted") == UNKNOWN) | (F.col("similarity") >= settings.suspected)
+    judged = matched.filter(suspected).select(
         "line_id", "predicted", "probability", "similarity", accepted.alias("confirmed"),
         F.when(accepted, F.col("predicted")).otherwise(F.lit(UNKNOWN)).alias("family"),
     )
