@@ -22,15 +22,17 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Rejects texts that are null, have no letter, or in which no language has half the score."""
     texts, labels = langid.training_sample(docs.select("doc_id", "text", "lang"))
     network = langid.train(texts, labels) if texts else None
-    judged = langid.predict(docs, network, keep=tuple(c for c in docs.columns if c != "doc_id"))
+    held = {f"column_{k}": c for k, c in enumerate(docs.columns)}
+    renamed = docs.select("doc_id", "text", *(F.col(c).alias(k) for k, c in held.items()))
+    judged = langid.predict(renamed, network, keep=tuple(held))
     kept = judged.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.select(*docs.columns)
+    return kept.select(*(F.col(k).alias(c) for k, c in held.items()))
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each group of near copies."""
     copies = neardup.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    return docs.hint("merge").join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +40,7 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
     filled = docs.withColumn("text", F.coalesce("text", F.lit("")))
     cut = factors.remove_repeats(filled, carry=others)
-    if "n_chars" in others:
+    if "n_chars" in others:  # counted anew
         cut = cut.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
     return cut.select(*docs.columns)
 

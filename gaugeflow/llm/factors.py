@@ -14,6 +14,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from gaugeflow.llm import repeats
 
@@ -137,8 +138,11 @@ def _shape(words: int) -> repeats.Shape:
 def remove_repeats(
     docs: DataFrame, words: int = WORDS, carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """doc_id, text (what stays), n_removed and the carried columns of (doc_id, text, ...)."""
-    return repeats.without_repeats(
+    """doc_id, text (what stays), n_removed and the carried columns of (doc_id, text, ...).
+
+    A carried column that is called n_removed takes the place of the count.
+    """
+    cut = repeats.without_repeats(
         docs,
         _shape(words),
         lambda bucket: earliest(bucket, words),
@@ -146,6 +150,9 @@ def remove_repeats(
         "doc_id long, text string, n_removed long",
         carry,
     )
+    carried = [F.col(f"carry_{k}").alias(c) for k, c in enumerate(carry)]
+    own = ["doc_id", "text"] if "n_removed" in carry else ["doc_id", "text", "n_removed"]
+    return cut.select(*own, *carried)
 
 
 def digest_repeats(docs: DataFrame, words: int = WORDS) -> DataFrame:

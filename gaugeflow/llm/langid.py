@@ -39,6 +39,8 @@ class Training:
     languages: int = 200
     sample_chars: int = 500
     epochs: int = 6
+    #: A small sample is gone through more often, up to so many steps.
+    least_steps: int = 800
     rate: float = 0.01
     batch: int = 64
     seed: int = 7
@@ -123,7 +125,8 @@ def train(texts: list[str], labels: list[str], settings: Training = Training())
     first = [np.zeros_like(w) for w in weights]
     second = [np.zeros_like(w) for w in weights]
     step = 0
-    for _ in range(settings.epochs):
+    per_epoch = -(-len(windows) // settings.batch)
+    for _ in range(max(settings.epochs, -(-settings.least_steps // per_epoch))):
         order = draw.permutation(len(windows))
         for k in range(0, len(order), settings.batch):
             pick = order[k : k + settings.batch]

@@ -101,7 +101,7 @@ class Slices:
 def pack(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, text) as stored rows of about four megabytes of text each.
 
-    Columns to carry along become lists, for the output alone.
+    Columns to carry along become lists carry_0, carry_1, ..., for the output alone.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,18 +122,22 @@ def pack(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
             carried = [pa.ListArray.from_arrays([0, batch.num_rows], batch[c]) for c in carry]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in zip(row, kinds, strict=True)] + carried,
-                ["block", "ids", "sizes", "digests", "bytes", "packed", *carry],
+                ["block", "ids", "sizes", "digests", "bytes", "packed", *_carried(carry)],
             )
             n += 1
 
     types = dict(docs.dtypes)
     schema = ", ".join(
         ["block long, ids binary, sizes binary, digests binary, bytes long, packed binary"]
-        + [f"`{c}` array<{types[c]}>" for c in carry]
+        + [f"{k} array<{types[c]}>" for k, c in zip(_carried(carry), carry, strict=True)]
     )
     return common.stored(common.arrow_map(docs, work, schema), "text-blocks")
 
 
+def _carried(carry: tuple[str, ...]) -> list[str]:
+    return [f"carry_{k}" for k in range(len(carry))]
+
+
 def copies(blocks: DataFrame) -> DataFrame:
     """block, copies array<int>: places in the block of texts that an earlier document equals."""
 
@@ -573,7 +577,7 @@ def resolve(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, row in enumerate(batch.drop_columns(list(carry)).to_pylist()):
+            for k, row in enumerate(batch.drop_columns(_carried(carry)).to_pylist()):
                 block = unpack(row)
                 found = symbols(block, shape.words)
                 gone = np.zeros(len(found.codes), bool)
@@ -586,14 +590,14 @@ def resolve(
                     gone[first:last] = last - first >= shape.window
                 ids = pa.array(block.ids, mask=block.ids == NO_ID)
                 columns = {"doc_id": ids, **output(block, found, gone)}
-                columns |= {c: batch[c].slice(k, 1).flatten() for c in carry}
+                columns |= {c: batch[c].slice(k, 1).flatten() for c in _carried(carry)}
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     fields = ("ordinals", "offsets", "counts", "docs")
     per_block = answers.groupBy("block").agg(F.collect_list(F.struct(*fields)).alias("parts"))
     joined = blocks.join(per_block, "block", "left")
     types = dict(blocks.dtypes)
-    fields = [schema, *(f"`{c}` {types[c][len('array<') : -1]}" for c in carry)]
+    fields = [schema, *(f"{c} {types[c][len('array<') : -1]}" for c in _carried(carry))]
     return common.arrow_map(joined, work, ", ".join(fields))
 
 
@@ -605,7 +609,10 @@ def without_repeats(
     schema: str,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """All steps over (doc_id, text); schema: doc_id and what output makes."""
+    """All steps over (doc_id, text); schema: doc_id and what output makes.
+
+    The result has these columns and then carry_0, carry_1, ..., in the order of carry.
+    """
     blocks = pack(docs, carry)
     buckets = bucket_count(blocks)
     # The blocks are shuffled once, by their number; all joins below use that exchange.
