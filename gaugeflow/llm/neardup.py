@@ -237,7 +237,8 @@ def verified(docs: DataFrame, clusters: DataFrame, rules: Rules) -> DataFrame:
         linked = label != np.arange(len(label))
         return pa.table({"a": ids[linked], "b": ids[label[linked]]})
 
-    texts = docs.join(places, "doc_id")
+    # The same plan at every size: a broadcast that only small inputs get would hide this shuffle.
+    texts = docs.hint("merge").join(places, "doc_id")
     return texts.groupBy("alone", "g", "i", "j").applyInArrow(work, "a long, b long")
 
 
