@@ -107,7 +107,7 @@ def contaminations(
     )
     pairs = common.stored(pairs, "contained-candidates")
     # Only texts with a candidate go on; they are compared by their words.
-    chosen = texts.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
+    chosen = texts.hint("merge").join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
     held = _with_words(chosen, "doc_id", "text", "doc_id")
     held = held.select("doc_id", _texts("words", rules.shingle).alias("held"))
     wanted = items.select("item_id", "k", _texts("words", rules.shingle).alias("wanted"))
@@ -134,7 +134,7 @@ def contaminations(
 def decontaminate(docs: DataFrame, benchmark: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows of docs, all columns as they are, whose text contains no item."""
     hits = contaminations(docs, benchmark, rules).select("doc_id").distinct()
-    return docs.join(hits, "doc_id", "left_anti")
+    return docs.hint("merge").join(hits, "doc_id", "left_anti")
 
 
 ORACLE_SQL = """
