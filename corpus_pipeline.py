@@ -22,11 +22,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Rejects texts that are null, have no letter, or in which no language has half the score."""
     texts, labels = langid.training_sample(docs.select("doc_id", "text", "lang"))
     network = langid.train(texts, labels) if texts else None
-    held = {f"column_{k}": c for k, c in enumerate(docs.columns)}
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    held = {f"column_{k}": c for k, c in enumerate(others)}
     renamed = docs.select("doc_id", "text", *(F.col(c).alias(k) for k, c in held.items()))
-    judged = langid.predict(renamed, network, keep=tuple(held))
+    judged = langid.predict(renamed, network, keep=("text", *held))
     kept = judged.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.select(*(F.col(k).alias(c) for k, c in held.items()))
+    kept = kept.drop("lang_pred", "score")
+    return kept.withColumnsRenamed(held).select(*docs.columns)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

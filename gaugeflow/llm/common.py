@@ -91,7 +91,11 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, which may not have it installed."""
+    """Sends this package to the Python workers, which may not have it installed.
+
+    Also lets rows travel in small batches, as texts and blocks of texts are long.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{2 * BATCH_BYTES}b")
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return

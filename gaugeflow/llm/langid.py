@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ UNKNOWN = "und"
 #: Windows that go through the network together: 64 KB of text, so that everything stays in cache.
 _TOGETHER = 128
 _LETTER = "\\p{L}"
-_SEEN = "__text_with_letters"
+_LETTERED = "__has_letter"
 
 
 @dataclass(frozen=True)
@@ -214,7 +215,7 @@ def predict(docs: DataFrame, network: Network | None, keep: tuple[str, ...] = ()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in common.cut_batches([whole], _SEEN):
+            for batch in common.cut_batches([whole]):
                 names, scores = _predict(batch, network)
                 kept = [batch[c] for c in ("doc_id", *keep)]
                 yield pa.RecordBatch.from_arrays(
@@ -223,15 +224,16 @@ def predict(docs: DataFrame, network: Network | None, keep: tuple[str, ...] = ()
                 )
 
     has_letter = F.coalesce(F.col("text").rlike(_LETTER), F.lit(False))
-    seen = F.when(has_letter, F.col("text")).alias(_SEEN)
-    lettered = docs.select("doc_id", *keep, seen)
+    others = [c for c in keep if c != "text"]
+    lettered = docs.select("doc_id", "text", *others, has_letter.alias(_LETTERED))
     kinds = dict(lettered.dtypes)
     fields = ", ".join(f"`{name}` {kinds[name]}" for name in ("doc_id", *keep))
     return common.arrow_map(lettered, work, f"{fields}, lang_pred string, score double")
 
 
 def _predict(batch: pa.RecordBatch, network: Network | None) -> tuple[list[str], np.ndarray]:
-    data, offsets = common.text_bytes(batch[_SEEN])
+    lettered = pc.if_else(batch[_LETTERED], batch["text"], pa.scalar(None, pa.string()))
+    data, offsets = common.text_bytes(lettered)
     n = batch.num_rows
     if network is None or not len(network.languages):
         return [UNKNOWN] * n, np.zeros(n)
