@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,7 +18,6 @@ UTILIZATION_ORDER: Order = (
     ("bikes_available", "asc"),
     ("station_name", "asc"),
 )
-_BROADCAST_RANKS = 10_000
 
 
 def _sorting(order: Order) -> list[Column]:
@@ -28,14 +28,21 @@ def top_dense_rank(df: DataFrame, order: Order, limit: int, output: str) -> Data
     """Rows whose dense rank is at most ``limit``, with ties, and that rank.
 
     Only distinct sort keys are ranked: the ``limit`` best of them, found by a top-k per task.
-    The ranked keys are broadcast while ``limit`` is small and joined by shuffle otherwise.
+    Keys with nulls are ranked like others, where the engine sorts them.
     """
     keys = [name for name, _ in order]
     best = df.select(*keys).distinct().orderBy(*_sorting(order)).limit(limit)
     ranked = best.withColumn(output, F.dense_rank().over(Window.orderBy(*_sorting(order))))
-    if limit <= _BROADCAST_RANKS:
-        ranked = F.broadcast(ranked)
-    return df.join(ranked, keys).select(*df.columns, output)
+    return _with_ranks(df, ranked, keys, output)
+
+
+def _with_ranks(df: DataFrame, ranked: DataFrame, keys: list[str], output: str) -> DataFrame:
+    """Joins the ranks of sort keys to the rows; a null in a key equals a null."""
+    named = ranked.select(*[F.col(name).alias(f"_key_{name}") for name in keys], output)
+    same = reduce(
+        Column.__and__, [F.col(name).eqNullSafe(F.col(f"_key_{name}")) for name in keys]
+    )
+    return df.join(named, same).select(*df.columns, output)
 
 
 def dense_rank_global(
@@ -75,7 +82,7 @@ def dense_rank_global(
         .join(F.broadcast(offsets), "_range")
         .select(*keys, (F.col("_place") + F.col("_offset")).cast("int").alias(output))
     )
-    return df.join(ranks, keys).select(*df.columns, output)
+    return _with_ranks(df, ranks, keys, output)
 
 
 def top_utilization(latest: DataFrame, limit: int) -> DataFrame:

@@ -99,23 +99,35 @@ def bucketed_rolling_avg(
     they are sorted by, for operators that go on in the same layout.
 
     Rows less than one window before a bucket's end are copied into the following bucket as
-    context and removed after the window ran.
+    context and removed after the window ran. Every row enters a running sum at its own time and
+    leaves it when the window has passed, so the work is linear in the rows, however many share
+    a window. The sums are decimals: what leaves takes off exactly what it had added.
     """
     own = time_bucket(F.col(ts), bucket_seconds)
     reach = micros_bucket(
         F.unix_micros(ts) + F.lit(window_seconds * _MICROS), bucket_seconds
     )
+    at = F.unix_micros(ts)
+    events = F.array(
+        F.struct(at.alias("_micros"), F.lit(1).alias("_sign")),
+        F.struct((at + window_seconds * _MICROS + 1).alias("_micros"), F.lit(-1).alias("_sign")),
+    )
     frame = (
         Window.partitionBy(key, "_bucket")
         .orderBy("_micros")
-        .rangeBetween(-window_seconds * _MICROS, Window.currentRow)
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    amount = F.coalesce(F.col(value).try_cast("decimal(30,18)"), F.lit(0))
+    total = F.sum(F.when(F.col("_sign") > 0, amount).otherwise(-amount)).over(frame)
+    count = F.sum(F.when(F.col(value).isNotNull(), F.col("_sign")).otherwise(0)).over(frame)
     return (
         df.withColumn("_own", own)
-        .withColumn("_micros", F.unix_micros(ts))
         .withColumn("_bucket", F.explode(F.sequence("_own", reach)))
-        .withColumn(output, F.avg(value).over(frame))
-        .filter(F.col("_bucket") == F.col("_own"))
+        .withColumn("_event", F.explode(events))
+        .select(*df.columns, "_own", "_bucket", "_event.*")
+        .withColumns({"_total": total, "_count": count})
+        .filter((F.col("_bucket") == F.col("_own")) & (F.col("_sign") > 0))
+        .withColumn(output, F.try_divide(F.col("_total").cast("double"), F.col("_count")))
         .select(*df.columns, output, "_bucket", "_micros")
     )
 

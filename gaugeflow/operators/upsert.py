@@ -3,42 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Beyond these numbers of dates the filters would grow too long; the result stays the same.
-_MAX_SPANS = 31
-_MAX_DATES = 400
-
 
 def restrict_to_spans(
     stored: DataFrame, incoming: DataFrame, date: str, ts: str
 ) -> DataFrame:
     """``stored`` cut to the dates of ``incoming`` and, per date, to its first and last time.
 
-    Literal filters: dates prune partitions before the scan and times skip row groups by their
-    statistics. One short row per date comes to the driver. A batch with more dates than fit a
-    filter is compared by date only, or with everything.
+    One short row per calendar date comes to the driver, whatever the number of rows. The dates
+    prune partitions before the scan and the overall times skip row groups by their statistics;
+    the times of each date are then tested by a broadcast of these same rows.
     """
-    spans = (
-        incoming.groupBy(date)
-        .agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
-        .take(_MAX_DATES + 1)
-    )
-    if not spans:
+    spans = incoming.groupBy(date).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
+    found = spans.filter(F.col(date).isNotNull()).collect()
+    if not found:
         return stored.limit(0)
-    if len(spans) > _MAX_DATES:
-        return stored
-    dates = stored.filter(F.col(date).isin([span[date] for span in spans]))
-    if len(spans) > _MAX_SPANS:
-        return dates
-
-    def inside(span) -> Column:
-        return (F.col(date) == span[date]) & F.col(ts).between(span["first"], span["last"])
-
-    return dates.filter(reduce(Column.__or__, map(inside, spans)))
+    pruned = stored.filter(
+        F.col(date).isin([span[date] for span in found])
+        & F.col(ts).between(
+            min(span["_first"] for span in found), max(span["_last"] for span in found)
+        )
+    )
+    if len(found) == 1:
+        return pruned
+    bounds = F.broadcast(stored.sparkSession.createDataFrame(found, spans.schema))
+    return (
+        pruned.join(bounds, date)
+        .filter(F.col(ts).between(F.col("_first"), F.col("_last")))
+        .select(*stored.columns)
+    )
 
 
 def absent_rows(incoming: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -105,7 +105,8 @@ def refresh_all(
     critical = _write_gold(
         store, version, latest_status(facts), hourly_activity(facts), facts, params
     )
-    _finish(store, version, critical, run_id, batch_id, created_at)
+    _log_alerts(store, version, critical, run_id, batch_id, created_at)
+    store.publish(version, run_id, batch_id, rebuilt=True)
 
 
 def refresh_batch(
@@ -120,18 +121,24 @@ def refresh_batch(
 
     The work follows the size of the batch and of the latest table; the history is read for the
     rolling window's dates and, if the batch holds facts older than a station's latest row, for
-    those stations. Repeating a batch gives the same tables.
+    those stations. A batch that the published tables hold already changes nothing. A batch that
+    was stored and never published, by this run or another, is folded in with this one.
 
     ``batch`` itself is read once, for the archive; all later steps read the archived rows. So a
     stream's stateful operator runs once per micro-batch, and losing an executor later does not
     bring it back.
     """
+    if store.holds(run_id, batch_id):
+        return
+    store.announce(run_id, batch_id)
     archived = store.append_archive(batch, run_id, batch_id)
-    fresh = store.append_facts(archived, run_id, batch_id)
-    latest = store.gold_before("latest_station_status", run_id, batch_id)
-    activity = store.gold_before("hourly_activity", run_id, batch_id)
+    store.append_facts(archived, run_id, batch_id)
+    pending = store.pending()
+    fresh = store.facts_of(pending)
+    latest = store.gold("latest_station_status")
+    activity = store.gold("hourly_activity")
     late = has_late_facts(fresh, latest)
-    history = store.facts_without(run_id, batch_id) if late else None
+    history = store.facts_without(*pending) if late else None
     version = store.new_version()
     critical = _write_gold(
         store,
@@ -141,10 +148,11 @@ def refresh_batch(
         store.facts(),
         params,
     )
-    _finish(store, version, critical, run_id, batch_id, created_at)
+    _log_alerts(store, version, critical, run_id, batch_id, created_at)
+    store.publish(version, run_id, batch_id, pending)
 
 
-def _finish(
+def _log_alerts(
     store: StationStore,
     version: str,
     critical: DataFrame,
@@ -160,4 +168,3 @@ def _finish(
         F.current_timestamp() if created_at is None else created_at,
     )
     store.append_alerts(alerts, run_id, batch_id)
-    store.publish(version, run_id, batch_id)

@@ -25,6 +25,18 @@ def matches(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies directly in a folder; none if it is not there."""
+    if not exists(spark, folder):
+        return []
+    return [f.getPath().getName() for f in _system(spark, folder).listStatus(_path(spark, folder))]
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, left as it is if it is there already."""
+    _system(spark, path).create(_path(spark, path), True).close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     _system(spark, path).delete(_path(spark, path), True)
 
@@ -38,7 +50,11 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def replace_text(spark: SparkSession, path: str, text: str) -> None:
-    """Readers see the old text or the new one, never a part: written aside, then renamed."""
+    """Readers see the old text or the new one, never a part: written aside, then renamed.
+
+    Counts on a rename that replaces its target at once, as HDFS and local disks have it; an object
+    store needs a committer of its own here.
+    """
     aside = f"{path}.{uuid.uuid4().hex}"
     stream = _system(spark, path).create(_path(spark, aside), True)
     try:

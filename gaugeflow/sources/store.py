@@ -2,14 +2,19 @@
 
 Every append goes into partitions named after the run and the micro-batch that wrote them and
 replaces exactly those partitions, so a repeated batch leaves each table as it was.
+
+A batch is announced before its facts are stored and struck off once a published version holds it.
+What is announced but not held was cut short, and the next refresh folds it in, whoever runs it.
+Every version lists the batches that it holds. One job writes to a store at a time.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,15 +86,65 @@ class StationStore:
     def facts(self) -> DataFrame:
         return self._facts().select(*FACT.names)
 
-    def facts_without(self, run_id: str, batch_id: int) -> DataFrame:
-        return self._facts().filter(~self._own(run_id, batch_id)).select(*FACT.names)
+    def facts_without(self, *batches: tuple[str, int]) -> DataFrame:
+        rows = self._facts()
+        for run_id, batch_id in batches:
+            rows = rows.filter(~self._own(run_id, batch_id))
+        return rows.select(*FACT.names)
+
+    def facts_of(self, batches: list[tuple[str, int]]) -> DataFrame:
+        """Facts of these batches alone, each at the number its own run gave it."""
+        parts = [self._own_rows("facts", 1, run_id, batch_id) for run_id, batch_id in batches]
+        return reduce(DataFrame.unionByName, parts)
+
+    # -- batches under way ----------------------------------------------------------------
+
+    @property
+    def _announced(self) -> str:
+        return f"{self.root}/gold-pending"
+
+    def announce(self, run_id: str, batch_id: int) -> None:
+        files.touch(self.spark, f"{self._announced}/{run_id}={batch_id}")
+
+    def pending(self) -> list[tuple[str, int]]:
+        """Announced batches that the current version does not hold."""
+        found = []
+        for name in files.names(self.spark, self._announced):
+            run_id, _, batch_id = name.rpartition("=")
+            if batch_id.isdigit() and not self.holds(run_id, int(batch_id)):
+                found.append((run_id, int(batch_id)))
+        return sorted(found)
+
+    def holds(self, run_id: str, batch_id: int) -> bool:
+        """Whether the current version contains the batch."""
+        versions = self._versions()
+        return bool(versions) and any(
+            first <= batch_id <= last for first, last in versions[0]["holds"].get(run_id, [])
+        )
+
+    def stored_batches(self) -> dict[str, list[list[int]]]:
+        """Numbers of all stored batches per run, as ranges. Batches follow each other, so a run
+        is one range, or a few where batches had no new row."""
+        numbers = self._facts().select("run_id", "batch_id").distinct()
+        per_run = Window.partitionBy("run_id").orderBy("batch_id")
+        island = F.col("batch_id") - F.row_number().over(per_run)
+        ranges = (
+            numbers.withColumn("island", island)
+            .groupBy("run_id", "island")
+            .agg(F.min("batch_id").alias("first"), F.max("batch_id").alias("last"))
+            .orderBy("run_id", "first")
+        )
+        held: dict[str, list[list[int]]] = {}
+        for row in ranges.collect():
+            held.setdefault(row.run_id, []).append([row.first, row.last])
+        return held
 
     def append_facts(self, batch: DataFrame, run_id: str, batch_id: int) -> DataFrame:
         """Store the rows whose key is new and return them; the first writer of a key wins.
 
         ``batch`` is unique on the key and read twice, so persist it when it is costly to make.
         """
-        others = self.facts_without(run_id, batch_id)
+        others = self.facts_without((run_id, batch_id))
         known = restrict_to_spans(others, batch, "event_date", "snapshot_timestamp")
         fresh = absent_rows(batch.drop("batch_id"), known, FACT_KEY)
         write_partitioned(
@@ -143,7 +198,7 @@ class StationStore:
         return f"{self.root}/gold/current.json"
 
     def _versions(self) -> list[dict]:
-        """Newest first; at most ``keep_versions`` entries."""
+        """Newest first; at most ``keep_versions`` entries, each of another batch."""
         if not files.exists(self.spark, self._pointer):
             return []
         return json.loads(files.read_text(self.spark, self._pointer))
@@ -156,15 +211,37 @@ class StationStore:
         df.write.parquet(f"{version}/{table}")
         return self.spark.read.schema(PUBLISHED[table]).parquet(f"{version}/{table}")
 
-    def publish(self, version: str, run_id: str, batch_id: int) -> None:
-        """Make a complete version the current one; versions past the kept ones are removed."""
-        entry = {"path": version, "run_id": run_id, "batch_id": batch_id}
-        entries = [entry, *self._versions()]
-        files.replace_text(
-            self.spark, self._pointer, json.dumps(entries[: self.keep_versions])
-        )
-        for old in entries[self.keep_versions :]:
-            files.delete(self.spark, old["path"])
+    def publish(
+        self,
+        version: str,
+        run_id: str,
+        batch_id: int,
+        batches: list[tuple[str, int]] | None = None,
+        rebuilt: bool = False,
+    ) -> None:
+        """Make a complete version the current one.
+
+        It holds ``batches`` besides what the version before it held or, when ``rebuilt``, besides
+        every stored batch. Versions past the kept ones, and folders of versions that were never
+        published, are removed.
+        """
+        old = self._versions()
+        held = self.stored_batches() if rebuilt else (old[0]["holds"] if old else {})
+        for run, number in batches or [(run_id, batch_id)]:
+            held = _with_batch(held, run, number)
+        entry = {"path": version, "run_id": run_id, "batch_id": batch_id, "holds": held}
+        # Only the current version needs its list, and a repeat takes the place of its own entry.
+        others = [
+            {**e, "holds": {}} for e in old if (e["run_id"], e["batch_id"]) != (run_id, batch_id)
+        ]
+        kept = [entry, *others][: self.keep_versions]
+        files.replace_text(self.spark, self._pointer, json.dumps(kept))
+        for run, number in batches or [(run_id, batch_id)]:
+            files.delete(self.spark, f"{self._announced}/{run}={number}")
+        current = {e["path"].rpartition("/")[2] for e in kept}
+        for name in files.names(self.spark, f"{self.root}/gold"):
+            if len(name) == 32 and name not in current:
+                files.delete(self.spark, f"{self.root}/gold/{name}")
 
     def _table(self, version: dict | None, table: str) -> DataFrame:
         if version is None:
@@ -176,9 +253,16 @@ class StationStore:
         versions = self._versions()
         return self._table(versions[0] if versions else None, table)
 
-    def gold_before(self, table: str, run_id: str, batch_id: int) -> DataFrame:
-        """The table as it was before the given batch, also when that batch is repeated."""
-        for version in self._versions():
-            if version["run_id"] != run_id or version["batch_id"] < batch_id:
-                return self._table(version, table)
-        return self._table(None, table)
+
+def _with_batch(
+    held: dict[str, list[list[int]]], run_id: str, batch_id: int
+) -> dict[str, list[list[int]]]:
+    """The ranges with one more number, joined where they touch."""
+    ranges = sorted([*held.get(run_id, []), [batch_id, batch_id]])
+    joined: list[list[int]] = []
+    for first, last in ranges:
+        if joined and first <= joined[-1][1] + 1:
+            joined[-1] = [joined[-1][0], max(joined[-1][1], last)]
+        else:
+            joined.append([first, last])
+    return {**held, run_id: joined}

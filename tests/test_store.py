@@ -5,7 +5,6 @@ from conftest import random_readings, reading, rows
 from pyspark.sql import functions as F
 
 from gaugeflow.operators import activity, alerts, timeline
-from gaugeflow.operators import upsert
 from gaugeflow.operators.upsert import append_if_absent, restrict_to_spans
 from gaugeflow.params import Params
 from gaugeflow.plans.refresh import recent_history, refresh_all, refresh_batch
@@ -37,20 +36,31 @@ def test_first_writer_of_a_key_wins(facts):
     assert rows(merged, "station_id", "bikes_available") == [("1", 1), ("1", 3), ("2", 2)]
 
 
-def test_spans_restrict_the_comparison_without_changing_it(facts, monkeypatch):
+def test_spans_restrict_the_comparison_without_changing_it(facts):
     stored = facts([reading("1", minute, 1, 1) for minute in (0, 10, 20, 2000, 4000)])
     incoming = facts([reading("2", minute, 1, 1) for minute in (5, 20, 2000)])
 
     def kept(batch=incoming):
         left = restrict_to_spans(stored, batch, "event_date", "snapshot_timestamp")
-        return [r.snapshot_timestamp.strftime("%d %H:%M") for r in left.collect()]
+        assert left.columns == stored.columns
+        return sorted(r.snapshot_timestamp.strftime("%d %H:%M") for r in left.collect())
 
     assert kept() == ["21 09:10", "21 09:20", "22 18:20"]
     assert kept(incoming.limit(0)) == []
-    monkeypatch.setattr(upsert, "_MAX_SPANS", 1)
-    assert len(kept()) == 4
-    monkeypatch.setattr(upsert, "_MAX_DATES", 1)
-    assert len(kept()) == 5
+
+
+def test_any_number_of_dates_prunes_the_scan(spark, facts):
+    path = fresh_dir(spark, "dates")
+    days = range(0, 600)
+    stored = facts([reading("1", day * 1440, 1, 1) for day in days])
+    stored.coalesce(1).write.partitionBy("event_date").parquet(path)
+    wanted = facts([reading("2", day * 1440, 1, 1) for day in days if day % 6])
+    left = restrict_to_spans(
+        spark.read.parquet(path), wanted, "event_date", "snapshot_timestamp"
+    )
+    assert left.count() == 500
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [event_date" in plan and "INSET" in plan.upper()
 
 
 def test_recent_history_covers_windows_across_midnight(facts):
@@ -168,6 +178,62 @@ def test_a_crash_before_publishing_leaves_the_old_tables(store, facts, monkeypat
     assert rows(store.gold("hourly_activity"), "estimated_activity") == [(6.0,)]
 
 
+def _batch(facts, number, *records):
+    return facts(list(records)).withColumn("batch_id", F.lit(number).cast("bigint"))
+
+
+def test_many_repeats_of_a_batch_lose_nothing(store, facts):
+    refresh_batch(store, _batch(facts, 0, reading("1", 0, 3, 3)), "run", 0, PARAMS, _created())
+    again = _batch(facts, 1, reading("1", 5, 9, 1), reading("2", 5, 4, 4))
+    for _ in range(8):
+        refresh_batch(store, again, "run", 1, PARAMS, _created())
+    _check_gold(store, store.facts())
+    assert len(store._versions()) == 2
+    assert rows(store.gold("hourly_activity"), "estimated_activity") == [(6.0,)]
+
+
+def test_a_crash_before_publishing_and_a_new_run(store, facts, monkeypatch):
+    first = _batch(facts, 0, reading("1", 0, 3, 3))
+    second = _batch(facts, 1, reading("1", 5, 9, 1))
+    refresh_batch(store, first, "a", 0, PARAMS, _created())
+    with monkeypatch.context() as patch:
+        patch.setattr(StationStore, "publish", lambda *_, **__: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            refresh_batch(store, second, "a", 1, PARAMS, _created())
+    # The new run reads everything again; what the lost one stored is not new to it.
+    both = _batch(facts, 0, reading("1", 0, 3, 3), reading("1", 5, 9, 1))
+    refresh_batch(store, both, "b", 0, PARAMS, _created())
+    _check_gold(store, store.facts())
+    assert rows(store.gold("latest_station_status"), "bikes_available") == [(9,)]
+    assert rows(store.gold("hourly_activity"), "estimated_activity") == [(6.0,)]
+    assert store.pending() == []
+    folders = [n for n in files.names(store.spark, f"{store.root}/gold") if len(n) == 32]
+    assert len(folders) == len(store._versions())
+
+
+def test_a_repeat_after_another_run_counts_once(store, facts):
+    parts = [("a", 0, 0, 3), ("a", 1, 5, 9), ("b", 0, 10, 2)]
+    for run, number, minute, bikes in [*parts, parts[1], parts[0]]:
+        batch = _batch(facts, number, reading("1", minute, bikes, 10 - bikes))
+        refresh_batch(store, batch, run, number, PARAMS, _created())
+    _check_gold(store, store.facts())
+    assert rows(store.gold("hourly_activity"), "estimated_activity") == [(13.0,)]
+
+
+def test_a_rebuild_holds_every_stored_batch(store, facts):
+    for number in (0, 1, 2, 5):
+        batch = _batch(facts, number, reading("1", number, number + 1, 4))
+        store.append_facts(batch, "run", number)
+    refresh_all(store, "run", 5, PARAMS, _created())
+    assert store._versions()[0]["holds"] == {"run": [[0, 2], [5, 5]]}
+    assert store.holds("run", 1) and not store.holds("run", 3)
+    refresh_batch(
+        store, _batch(facts, 3, reading("1", 30, 0, 9)), "run", 3, PARAMS, _created()
+    )
+    assert store._versions()[0]["holds"] == {"run": [[0, 3], [5, 5]]}
+    _check_gold(store, store.facts())
+
+
 def test_replaced_text_and_deleted_versions(spark):
     path = f"{fresh_dir(spark, 'text')}/pointer.json"
     for text in ("one", "zwei – ü"):
