@@ -2,17 +2,16 @@
 
 A multinomial logistic regression on word unigrams and bigrams, kept sparse by an L1 penalty, tells
 licence families, other licence talk and ordinary text apart. It is trained on perturbed copies of
-the notices below and on a bounded sample of the corpus's own paragraphs. Its weights become a
-table of at most `vocabulary` rows, and scoring is a join with it: the whole path is built of
-DataFrame functions.
+the notices below and on a bounded sample of the corpus's own paragraphs. Its weights, a bounded
+table, become literals of the plan, and every line is scored where it is read: nothing is shuffled,
+and the whole path is built of DataFrame functions.
 
 A paragraph is a line of a text, as texts here keep one paragraph on each line.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
@@ -199,27 +198,71 @@ _FILLER = (
 
 @dataclass(frozen=True)
 class Classifier:
-    """Weights per gram and class, as rows of a bounded table, and the accepted probability."""
+    """Weights of each gram over ordinary text, per class, and the accepted probability.
+
+    The grams are those that the penalty left, a bounded number; they become literals of the plan.
+    """
 
-    weights: DataFrame
     classes: tuple[str, ...]
+    weights: dict[str, tuple[float, ...]]
     intercepts: tuple[float, ...]
-    cues: tuple[str, ...]
-    threshold: float
-
-
-def _score(rows: DataFrame, keys: Sequence[str], model: Classifier) -> DataFrame:
-    """keys, family, probability: the likeliest class of each row with a known gram."""
-    exploded = rows.select(*keys, F.explode("grams").alias("gram"))
-    hits = exploded.join(F.broadcast(model.weights), "gram")
-    sums = [F.sum(F.get("w", F.lit(k))).alias(f"s{k}") for k in range(len(model.classes))]
-    total = hits.groupBy(*keys).agg(*sums)
-    logits = F.array(*(F.col(f"s{k}") + b for k, b in enumerate(model.intercepts)))
-    scored = total.select(*keys, logits.alias("z")).withColumn("top", F.array_max("z"))
-    norm = F.aggregate("z", F.lit(0.0), lambda acc, z: acc + F.exp(z - F.col("top")))
+    threshold: float = 0.5
+
+    def bounds(self) -> dict[str, float]:
+        """By word, the most that the grams with it can add to the score of any licence class."""
+        found: dict[str, float] = {}
+        for gram, row in self.weights.items():
+            for word in set(gram.split(" ")):
+                found[word] = found.get(word, 0.0) + max(0.0, *row)
+        return {word: bound for word, bound in found.items() if bound > 0}
+
+
+def _literal_map(values: dict[str, Column]) -> Column:
+    return F.create_map(*(x for word, value in values.items() for x in (F.lit(word), value)))
+
+
+def possible(lines: DataFrame, model: Classifier) -> DataFrame:
+    """The lines whose score can exceed that of ordinary text; no other line could be a licence.
+
+    A line's words are looked up in the table of bounds first, without making its pairs.
+    """
+    bounds = model.bounds()
+    if not bounds:
+        return lines.limit(0)
+    table = _literal_map({word: F.lit(value) for word, value in bounds.items()})
+    hits = F.array_intersect("words", F.array(*map(F.lit, bounds)))
+    most = F.aggregate("_hits", F.lit(0.0), lambda total, word: total + F.element_at(table, word))
+    found = lines.withColumn("_hits", hits).filter(F.size("_hits") > 0)
+    return found.filter(most + max(model.intercepts[:-1]) > 0).drop("_hits")
+
+
+def score(rows: DataFrame, model: Classifier) -> DataFrame:
+    """Adds family, the likeliest class, and its probability to rows with grams."""
+    if not model.weights:
+        sure = {"family": F.lit(NONE), "probability": F.lit(1.0)}
+        return rows.withColumns(sure)
+    table = _literal_map(
+        {gram: F.array(*map(F.lit, row)) for gram, row in model.weights.items()}
+    )
+    known = F.array_intersect("grams", F.array(*map(F.lit, model.weights)))
+    added = F.aggregate(
+        known,
+        F.array(*map(F.lit, model.intercepts)),
+        lambda z, gram: F.zip_with(z, F.element_at(table, gram), lambda a, b: a + b),
+    )
+    # Generators of one row: filters on what follows are not pushed below them, where each use
+    # of a score would add up the weights again.
+    scored = rows.withColumn("_z", F.explode(F.array(added)))
+    scored = scored.withColumn("_top", F.explode(F.array(F.array_max("_z"))))
+    norm = F.aggregate("_z", F.lit(0.0), lambda total, z: total + F.exp(z - F.col("_top")))
     names = F.array(*map(F.lit, model.classes))
-    best = F.get(names, (F.array_position("z", F.col("top")) - 1).cast("int"))
-    return scored.select(*keys, best.alias("family"), (1 / norm).alias("probability"))
+    best = F.get(names, (F.array_position("_z", F.col("_top")) - 1).cast("int"))
+    judged = F.struct(best.alias("family"), (1 / norm).alias("probability"))
+    return (
+        scored.withColumn("_judged", F.explode(F.array(judged)))
+        .withColumns({"family": F.col("_judged.family"), "probability": F.col("_judged.probability")})
+        .drop("_z", "_top", "_judged")
+    )
 
 
 def train(docs: DataFrame, settings: Training = Training()) -> Classifier:
@@ -244,29 +287,21 @@ def train(docs: DataFrame, settings: Training = Training()) -> Classifier:
     matrix = matrix - matrix[len(classes) - 1]
     bias = model.interceptVector.toArray()
     bias = bias - bias[len(classes) - 1]
-    used = [k for k in range(matrix.shape[1]) if matrix[:, k].any()]
-    listed = [(counter.vocabulary[k], [float(x) for x in matrix[:, k]]) for k in used]
-    weights = common.stored(
-        spark.createDataFrame(listed or [("", [0.0] * len(classes))], "gram string, w array<double>"),
-        "licence-weights",
-    )
-    # Only grams that speak for a licence, and grow the odds against ordinary text, can make one.
-    cues = sorted({w for k in used if matrix[:, k].max() > 0 for w in counter.vocabulary[k].split()})
-    found = Classifier(weights, classes, tuple(map(float, bias)), tuple(cues), 0.5)
-    held = rows.filter("held_out").select(
-        "grams", F.col("family").alias("truth"), F.monotonically_increasing_id().alias("k")
-    )
-    held = common.stored(held, "licence-held-out")
-    wrong = (
-        _score(held, ["k", "truth"], found)
-        .filter(~F.col("family").isin(UNKNOWN, NONE) & (F.col("family") != F.col("truth")))
-        .select("probability")
+    weights = {
+        counter.vocabulary[k]: tuple(float(x) for x in matrix[:, k])
+        for k in range(matrix.shape[1])
+        if matrix[:, k].any()
+    }
+    found = Classifier(classes, weights, tuple(map(float, bias)))
+    held = rows.filter("held_out").select("grams", F.col("family").alias("truth"))
+    wrong = score(held, found).filter(
+        ~F.col("family").isin(UNKNOWN, NONE) & (F.col("family") != F.col("truth"))
     )
     # The accepted probability leaves at most the allowed share of held-out rows wrong.
     allowed = int(settings.wrong * held.count())
-    above = wrong.orderBy(F.desc("probability")).limit(allowed + 1).collect()
+    above = wrong.select("probability").orderBy(F.desc("probability")).limit(allowed + 1).collect()
     threshold = above[allowed][0] if len(above) > allowed else 0.5
-    return Classifier(weights, classes, found.intercepts, found.cues, max(threshold, 0.5))
+    return replace(found, threshold=max(threshold, 0.5))
 
 
 def scan(
@@ -286,20 +321,14 @@ def scan(
     """
     texts = common.ids_and_texts(docs, id_col, text_col)
     model = model or train(texts, settings)
-    cue_words = F.array(*map(F.lit, model.cues or ("",)))
-    # A line without a cue cannot be told from ordinary text: its sum of weights is not positive.
-    lines = paragraphs(texts).filter(F.arrays_overlap("words", cue_words))
-    lines = lines.withColumn("line_id", F.xxhash64("words"))
-    lines = common.stored(lines, "licence-lines")
-    keys = ["doc_id", "paragraph", "line_id"]
-    distinct = lines.groupBy("line_id").agg(F.first("words").alias("words"))
-    scored = _score(distinct.withColumn("grams", grams("words")), ["line_id"], model)
+    lines = possible(paragraphs(texts), model)
+    scored = score(lines.withColumn("grams", grams("words")), model)
     scored = scored.filter(F.col("family") != NONE).withColumnRenamed("family", "predicted")
     known = templates(docs.sparkSession).filter(F.col("family") != UNKNOWN)
     known = known.groupBy(F.col("family").alias("predicted")).agg(
         F.collect_list("words").alias("templates")
     )
-    matched = scored.join(distinct, "line_id").join(F.broadcast(known), "predicted", "left")
+    matched = scored.join(F.broadcast(known), "predicted", "left")
     shares = F.transform(
         "templates", lambda t: F.size(F.array_intersect(t, F.col("words"))) / F.size(F.array_distinct(t))
     )
@@ -310,12 +339,13 @@ def scan(
         & (F.col("similarity") >= settings.confirmed)
     )
     suspected = (F.col("predicted") == UNKNOWN) | (F.col("similarity") >= settings.suspected)
-    judged = matched.filter(suspected).select(
-        "line_id", "predicted", "probability", "similarity", accepted.alias("confirmed"),
-        F.when(accepted, F.col("predicted")).otherwise(F.lit(UNKNOWN)).alias("family"),
-    )
-    return (
-        lines.select(*keys)
-        .join(judged, "line_id")
-        .select("doc_id", "paragraph", "family", "probability", "predicted", "similarity", "confirmed")
+    family = F.when(accepted, F.col("predicted")).otherwise(F.lit(UNKNOWN))
+    return matched.filter(suspected).select(
+        "doc_id",
+        "paragraph",
+        family.alias("family"),
+        "probability",
+        "predicted",
+        "similarity",
+        accepted.alias("confirmed"),
     )

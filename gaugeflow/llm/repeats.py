@@ -434,6 +434,7 @@ def route(blocks: DataFrame, back: DataFrame, shape: Shape, buckets: int) -> Dat
     """Distinct slices of repeated minimisers of each block, to the buckets of the minimisers."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for row in batch.to_pylist():
                 block = unpack(row)
@@ -460,16 +461,15 @@ def route(blocks: DataFrame, back: DataFrame, shape: Shape, buckets: int) -> Dat
                     data, sizes = _slice_bytes(
                         block, found, shape, got.start[one[part]], windows
                     )
-                    values = [
-                        bucket_id,
-                        row["block"],
-                        part.astype("<i4").tobytes(),
-                        windows.astype("u1").tobytes(),
-                        low[part].astype("<i8").tobytes(),
-                        (low[part] < high[part]).tobytes(),
-                        sizes.astype("<i4").tobytes(),
-                        data.tobytes(),
-                    ]
+                    columns = (
+                        part.astype("<i4"),
+                        windows.astype("u1"),
+                        low[part].astype("<i8"),
+                        low[part] < high[part],
+                        sizes.astype("<i4"),
+                        data,
+                    )
+                    values = [bucket_id, row["block"], *(packer.compress(c.tobytes()) for c in columns)]
                     kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 6]
                     names = [f.split()[0] for f in _ROUTED.split(", ")]
                     yield _batch(
@@ -501,11 +501,17 @@ def answer(routed: DataFrame, earliest: Earliest) -> DataFrame:
     """Per block, runs of windows with one earliest document that is not the slice's own."""
 
     def work(table: pa.Table) -> pa.Table:
+        unpacker = zstandard.ZstdDecompressor()
+
+        def parts_of(name: str, kind: str) -> list[np.ndarray]:
+            return [np.frombuffer(unpacker.decompress(v.as_buffer()), kind) for v in table[name]]
+
         def joined(name: str, kind: str) -> np.ndarray:
-            return np.concatenate([np.frombuffer(v.as_buffer(), kind) for v in table[name]])
+            return np.concatenate(parts_of(name, kind))
 
-        per_row = [len(v.as_buffer()) // 4 for v in table["ordinals"]]
-        ordinals, windows = joined("ordinals", "<i4"), joined("windows", "u1").astype(np.int64)
+        by_row = parts_of("ordinals", "<i4")
+        per_row, ordinals = list(map(len, by_row)), np.concatenate(by_row)
+        windows = joined("windows", "u1").astype(np.int64)
         docs, many = joined("docs", "<i8"), joined("many", "u1").astype(bool)
         bucket = Bucket(joined("data", "u1"), joined("sizes", "<i4").astype(np.int64), windows, docs)
         found = earliest(bucket)
