@@ -344,6 +344,13 @@ STATEMENTS = {
         UNION ALL SELECT 'critical_stations', count(*) FROM critical
         UNION ALL SELECT 'station_alerts', count(*) FROM current_alerts""",
     # latest rows and what derives from them
+    "incremental_latest": f"SELECT {_FACT} FROM latest",
+    "incremental_activity": f"SELECT {_ACTIVITY} FROM activity",
+    "incremental_critical": f"SELECT {_CRITICAL} FROM critical",
+    "stream_facts": """
+        SELECT DISTINCT station_key, network_id, city, station_id, station_name, zone_id,
+               snapshot_timestamp, event_date, event_hour FROM valid""",
+    "stream_latest": "SELECT station_key, city, snapshot_timestamp FROM latest",
     "latest_status": f"SELECT {_FACT} FROM latest",
     "latest_incremental": f"SELECT {_FACT} FROM latest",
     "top_utilization": f"SELECT {_RANKED} FROM ranked WHERE utilization_rank <= 10",

@@ -19,13 +19,19 @@ from gaugeflow.schema import CLEAN, FRAMES, SNAPSHOT_DOCUMENT, WIRE, conform
 from gaugeflow.session import fresh_dir
 from gaugeflow.sources import documents, records
 from gaugeflow.sources.store import PUBLISHED, StationStore
+from gaugeflow.streaming import ingest
 from gaugeflow.workload import stations
 from gaugeflow.workload.stations import PARAMS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Size of the test's poll documents.
 _STATIONS_PER_DOCUMENT = 1000
+_SHARED_BY_COPIES = [
+    "station_key", "network_id", "city", "station_id", "station_name", "zone_id",
+    "snapshot_timestamp", "event_date", "event_hour",
+]
 
 
 def _as_of():
@@ -165,12 +171,8 @@ def dedupe_snapshots(spark, sf_dir):
 @register
 def transform_snapshots(spark, sf_dir):
     """Without an arrival order any copy may win, so only what copies share is shown."""
-    shared = [
-        "station_key", "network_id", "city", "station_id", "station_name", "zone_id",
-        "snapshot_timestamp", "event_date", "event_hour",
-    ]
     raw = stations.raw_snapshots(spark, sf_dir)
-    return dedupe.transform_snapshots(raw, PARAMS).select(*shared)
+    return dedupe.transform_snapshots(raw, PARAMS).select(*_SHARED_BY_COPIES)
 
 
 @register
@@ -290,6 +292,66 @@ def refresh_gold(spark, sf_dir):
     return counts
 
 
+def _refreshed_in_parts(spark: SparkSession, sf_dir: str) -> StationStore:
+    """A store after three micro-batches, each with rows older than the one before; the second is
+    written twice and the third is cut short once before its tables are published."""
+    store = StationStore(spark, fresh_dir(spark, "parts"))
+    facts = stations.facts(spark, sf_dir)
+    with _persisted(facts):
+        for number in range(3):
+            part = F.pmod(F.xxhash64("station_key", "snapshot_timestamp"), F.lit(3)) == number
+            batch = facts.filter(part).withColumn("batch_id", F.lit(number).cast("bigint"))
+            if number == 2:
+                store.announce("lost", 7)
+                store.append_facts(batch, "lost", 7)
+            for _ in range(2 if number == 1 else 1):
+                refresh.refresh_batch(store, batch, "run", number, PARAMS, created_at=_as_of())
+    return store
+
+
+@register
+def incremental_latest(spark, sf_dir):
+    return _refreshed_in_parts(spark, sf_dir).gold("latest_station_status").drop("batch_id")
+
+
+@register
+def incremental_activity(spark, sf_dir):
+    return _refreshed_in_parts(spark, sf_dir).gold("hourly_activity")
+
+
+@register
+def incremental_critical(spark, sf_dir):
+    return _refreshed_in_parts(spark, sf_dir).gold("critical_stations")
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> StationStore:
+    """A store after the streaming job took up the arrivals as they landed in three parts, stopping
+    and resuming from its checkpoint in between."""
+    raw = stations.raw_snapshots(spark, sf_dir)
+    newest = stations.table(spark, sf_dir, "events").agg(F.max("event_id")).scalar()
+    landing, checkpoint = fresh_dir(spark, "landing"), fresh_dir(spark, "progress")
+    store = StationStore(spark, fresh_dir(spark, "streamed"))
+    for number in range(3):
+        part = F.floor(F.col("arrival_id") * 3 / (newest + 1)) == number
+        raw.filter(part).select(*WIRE.names).write.mode("append").json(landing)
+        arriving = records.stream_json_folder(spark, landing)
+        query = ingest.start(arriving, store, checkpoint, "run", PARAMS, available_now=True)
+        query.awaitTermination()
+    return store
+
+
+@register
+def stream_facts(spark, sf_dir):
+    """Which copy of a record wins is open here, so only what copies share is shown."""
+    return _streamed(spark, sf_dir).facts().select(*_SHARED_BY_COPIES)
+
+
+@register
+def stream_latest(spark, sf_dir):
+    latest = _streamed(spark, sf_dir).gold("latest_station_status")
+    return latest.select("station_key", "city", "snapshot_timestamp")
+
+
 # -- latest rows and what derives from them ------------------------------------------------
 
 
