@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Params:
-    low_availability_threshold: float = 2
+    low_availability_threshold: float = 2.0
     critical_bikes_threshold: int = 2
     critical_utilization_threshold: float = 0.85
     top_station_limit: int = 10

@@ -23,6 +23,7 @@ def _pick(schema: T.StructType, *names: str) -> T.StructType:
     return T.StructType([schema[name] for name in names])
 
 
+# Names and types of the columns of records, tables and frames.
 WIRE = _struct(
     station_id=TEXT,
     station_name=TEXT,

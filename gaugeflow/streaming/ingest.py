@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from gaugeflow.operators.dedupe import transform_snapshots
 from gaugeflow.params import DEFAULTS, Params
@@ -50,10 +50,31 @@ def start(
     return writer.trigger(processingTime=f"{params.poll_interval_seconds} seconds").start()
 
 
-def rows_dropped_late(query: StreamingQuery) -> int:
-    """Rows the state operators dropped behind the watermark, over the recent progress."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that state operators dropped behind the watermark, over a whole run.
+
+    Register it before the query starts (`spark.streams.addListener`). Each batch is counted by its
+    number, so a batch reported twice counts once.
+    """
+
+    def __init__(self) -> None:
+        self.by_batch: dict[tuple[str, int], int] = {}
+
+    @property
+    def total(self) -> int:
+        return sum(self.by_batch.values())
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        dropped = sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
+        if dropped:
+            self.by_batch[(str(progress.runId), progress.batchId)] = dropped
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
 from gaugeflow.params import DEFAULTS
 from gaugeflow.session import build_session
@@ -22,6 +23,19 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--starting-offsets", default="earliest")
     parser.add_argument("--max-per-trigger", type=int, help="files or offsets per micro-batch")
     parser.add_argument("--available-now", action="store_true", help="stop when caught up")
+    settings = {
+        "poll_interval_seconds": "seconds between micro-batches",
+        "watermark": "how late a snapshot may come, as '10 minutes'",
+        "low_availability_threshold": "mean bikes under which a zone is short",
+        "critical_bikes_threshold": "bikes up to which a station can be critical",
+        "critical_utilization_threshold": "mean fullness from which it is",
+        "top_station_limit": "ranks shown",
+    }
+    for name, text in settings.items():
+        default = getattr(DEFAULTS, name)
+        parser.add_argument(
+            f"--{name.replace('_', '-')}", type=type(default), default=default, help=text
+        )
     options = parser.parse_args(arguments)
     if bool(options.folder) == bool(options.servers):
         parser.error("give either --folder or --servers")
@@ -40,7 +54,7 @@ def main(arguments: list[str] | None = None) -> None:
         StationStore(spark, options.root),
         options.checkpoint,
         options.run_id,
-        DEFAULTS,
+        replace(DEFAULTS, **{name: getattr(options, name) for name in settings}),
         options.available_now,
     ).awaitTermination()
 

@@ -35,16 +35,16 @@ def spark(tmp_path_factory):
 def wire(**changes) -> dict:
     """One valid wire record, with changes."""
     record = {
-        "station_id": "123",
-        "station_name": "Station A",
-        "latitude": 48.8566,
-        "longitude": 2.3522,
+        "station_id": "417",
+        "station_name": "Quai Nord",
+        "latitude": 47.2184,
+        "longitude": -1.5536,
         "bikes_available": 6,
         "free_slots": 4,
         "timestamp": "2026-04-21T09:00:00Z",
-        "network_id": "velib",
+        "network_id": "quaybikes",
         "city": "Paris",
-        "station_key": "velib:123",
+        "station_key": "quaybikes:417",
         "ingested_at": "2026-04-21T09:00:01Z",
     }
     return record | changes
@@ -56,7 +56,7 @@ def reading(station: str, minute: float, bikes: int, slots: int, city: str = "Pa
     return wire(
         station_id=station,
         station_name=f"Station {station}",
-        station_key=f"velib:{station}",
+        station_key=f"quaybikes:{station}",
         bikes_available=bikes,
         free_slots=slots,
         city=city,

@@ -18,10 +18,10 @@ from gaugeflow.sources.records import decode_records, encode_records
 
 
 def test_valid_record_is_enriched_and_negative_count_dropped(frame):
-    cleaned = clean_snapshots(frame([wire(), wire(station_key="velib:124", bikes_available=-1)]))
+    cleaned = clean_snapshots(frame([wire(), wire(station_key="quaybikes:124", bikes_available=-1)]))
     assert cleaned.columns == CLEAN.names
     (row,) = cleaned.collect()
-    assert (row.capacity, row.utilization_rate, row.zone_id) == (10, 0.6, "48.86_2.35")
+    assert (row.capacity, row.utilization_rate, row.zone_id) == (10, 0.6, "47.22_-1.55")
     assert (str(row.event_date), row.event_hour) == ("2026-04-21", 9)
 
 
@@ -114,7 +114,7 @@ def test_token_display_and_bucket(spark):
 
 
 def test_zone_grid_edges(spark):
-    places = {(48.8566, 2.3522): "48.86_2.35", (-0.001, -0.996): "0.00_-1.00", (7.0, 0.1): "7.00_0.10"}
+    places = {(47.2184, -1.5536): "47.22_-1.55", (-0.001, -0.996): "0.00_-1.00", (7.0, 0.1): "7.00_0.10"}
     df = spark.createDataFrame(list(places), "a double, b double")
     zones = df.select("a", "b", zone_id(F.col("a"), F.col("b"), 2).alias("z")).collect()
     assert {(r.a, r.b): r.z for r in zones} == places
@@ -123,10 +123,10 @@ def test_zone_grid_edges(spark):
 
 
 def test_messages_round_trip_and_bad_json_becomes_nulls(frame, spark):
-    records = frame([wire(), wire(station_key=None), wire(station_key="velib:9", free_slots=None)])
+    records = frame([wire(), wire(station_key=None), wire(station_key="quaybikes:9", free_slots=None)])
     messages = encode_records(records)
-    assert rows(messages, "key") == [("velib:123",), ("velib:9",)]
-    assert '"free_slots":null' in {r.key: r.value for r in messages.collect()}["velib:9"]
+    assert rows(messages, "key") == [("quaybikes:417",), ("quaybikes:9",)]
+    assert '"free_slots":null' in {r.key: r.value for r in messages.collect()}["quaybikes:9"]
     assert rows(decode_records(messages)) == rows(records.filter("station_key IS NOT NULL"))
     bad = spark.createDataFrame(
         [("{broken",), ('{"bikes_available": 4.0, "city": "Paris"}',)], "value string"

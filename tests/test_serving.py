@@ -51,29 +51,29 @@ def _deltas(spark, entries):
 
 
 def test_deltas_between_snapshots(spark):
-    old, new = (98, 0.39, 10, 1), (100, 0.42, 8, 3)
+    old, new = (57, 0.31, 12, 4), (60, 0.36, 9, 7)
     zero = (0, 0.0, 0, 0)
-    change = (2, 0.03, -2, 2)
+    change = (3, 0.05, -3, 3)
     assert _deltas(spark, [(1, "s1", *old), (2, "s2", *new), (3, "s2", *old)]) == [
         (*zero, True),
         (*change, True),
         (*change, False),
     ]
     # The metrics of an unchanged refresh are not kept for the next comparison.
-    later = (101, 0.42, 8, 3)
+    later = (61, 0.36, 9, 7)
     assert _deltas(spark, [(1, "s1", *old), (2, "s1", *new), (3, "s2", *later)])[2] == (
-        3, 0.03, -2, 2, True,
+        4, 0.05, -3, 3, True,
     )
 
 
 def test_deltas_without_a_snapshot(spark):
-    old, gap, new = (98, 0.39, 10, 1), (0, 0.0, 0, 0), (100, 0.42, 8, 3)
+    old, gap, new = (57, 0.31, 12, 4), (0, 0.0, 0, 0), (60, 0.36, 9, 7)
     found = _deltas(spark, [(1, None, *gap), (2, "s1", *old), (3, None, *gap), (4, "s2", *new)])
     assert found == [
         (0, 0.0, 0, 0, False),
-        (98, 0.39, 10, 1, True),
-        (98, 0.39, 10, 1, False),
-        (100, 0.42, 8, 3, True),
+        (57, 0.31, 12, 4, True),
+        (57, 0.31, 12, 4, False),
+        (60, 0.36, 9, 7, True),
     ]
 
 
@@ -207,7 +207,7 @@ def test_map_frames(latest, spark):
     tiny = latest.limit(1).withColumn("capacity", F.lit(None).cast("int"))
     assert frames.station_markers(tiny).first().radius == 80
     centre = frames.map_centroid(frames.map_points(latest)).first()
-    assert (round(centre.lat, 4), round(centre.lon, 4)) == (48.8566, 2.3522)
+    assert (round(centre.lat, 4), round(centre.lon, 4)) == (47.2184, -1.5536)
 
 
 def test_localized_tables(latest):

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 
 import pytest
 from conftest import random_readings, reading, rows, wire
@@ -82,7 +83,7 @@ def test_job_and_dashboard(spark, tmp_path):
     root = fresh_dir(spark, "job")
     job.main(
         ["--folder", str(landing), "--root", root, "--checkpoint", str(tmp_path / "c"),
-         "--run-id", "r", "--available-now"]
+         "--run-id", "r", "--available-now", "--critical-bikes-threshold", "2"]
     )
     as_of = F.lit("2026-04-21 09:02:00").cast("timestamp")
     shown = dashboard_frames(
@@ -108,8 +109,18 @@ def test_rows_behind_the_watermark_are_dropped_and_counted(spark, tmp_path):
     _land(landing, "1", [reading("2", 60, 5, 5)])
     _land(landing, "2", [reading("1", 49, 2, 2), reading("1", 50, 3, 3), reading("1", 51, 4, 4)])
     store = StationStore(spark, fresh_dir(spark, "late"))
-    query = _run(spark, landing, store, tmp_path / "checkpoint")
-    assert ingest.rows_dropped_late(query) == 2
+    late = ingest.LateRows()
+    spark.streams.addListener(late)
+    try:
+        _run(spark, landing, store, tmp_path / "checkpoint")
+        # Events reach listeners a little after the query has ended.
+        for _ in range(100):
+            if late.total == 2:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(late)
+    assert late.total == 2
     assert rows(store.facts(), "bikes_available") == [(1,), (4,), (5,)]
 
 
