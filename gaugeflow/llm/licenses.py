@@ -158,6 +158,10 @@ def training_rows(docs: DataFrame, settings: Training) -> DataFrame:
     hashed = lines.filter(F.col("line").rlike("[A-Za-z0-9]")).withColumn(
         "h", F.xxhash64("doc_id", "paragraph")
     )
+    # So few of the smallest hashes are wanted that most lines need not be ordered. Texts have a
+    # line each at least, so this leaves about as many as are wanted, or more.
+    share = max(docs.count() // settings.paragraphs, 1)
+    hashed = hashed.filter(F.pmod("h", F.lit(share)) == 0)
     # Words are cut after the sample is drawn.
     sampled = hashed.orderBy("h", "doc_id", "paragraph").limit(settings.paragraphs)
     sampled = sampled.select(tokens(F.col("line")).alias("words"), "h")
