@@ -13,7 +13,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -232,8 +231,8 @@ def predict(docs: DataFrame, network: Network | None, keep: tuple[str, ...] = ()
 
 
 def _predict(batch: pa.RecordBatch, network: Network | None) -> tuple[list[str], np.ndarray]:
-    lettered = pc.if_else(batch[_LETTERED], batch["text"], pa.scalar(None, pa.string()))
-    data, offsets = common.text_bytes(lettered)
+    data, offsets = common.text_bytes(batch["text"])
+    lettered = batch[_LETTERED].to_numpy(zero_copy_only=False).astype(bool)
     n = batch.num_rows
     if network is None or not len(network.languages):
         return [UNKNOWN] * n, np.zeros(n)
@@ -246,9 +245,9 @@ def _predict(batch: pa.RecordBatch, network: Network | None) -> tuple[list[str],
         np.add.at(total, owner[part], found * held[part, None])
     sizes = np.diff(offsets)
     best = total.argmax(axis=1)
-    score = np.where(sizes > 0, total[np.arange(n), best] / np.maximum(sizes, 1), 0)
+    score = np.where(lettered, total[np.arange(n), best] / np.maximum(sizes, 1), 0)
     return [
-        network.languages[k] if size else UNKNOWN for k, size in zip(best, sizes, strict=True)
+        network.languages[k] if known else UNKNOWN for k, known in zip(best, lettered, strict=True)
     ], np.clip(score, 0, 1)
 
 
