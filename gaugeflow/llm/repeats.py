@@ -8,9 +8,11 @@ all slices that could share a window meet in one bucket. Nothing compares all pa
 1. `pack`: blocks, stored once; `copies`: which texts repeat an earlier document as a whole. These
    take no further part, as their windows all start in that document.
 2. `anchors`: each block sends its distinct minimisers to their buckets, four bytes each.
-3. `repeated`: a bucket sends back, per block, those that more than one document has.
+3. `repeated`: a bucket sends back, per block, those that more than one document has, and which of
+   them are hot: so many windows have them that one bucket should not take them all.
 4. `route`: a block sends the distinct slices of these to their buckets, with their earliest
    document in the block. A passage that a third of all documents share is one slice per block.
+   Distinct windows of a hot minimiser go one by one, dealt over several buckets by their content.
 5. a bucket compares the windows of its slices (the part in which the operators differ) and sends
    back the earliest document of each window that has an earlier one.
 6. `resolve`: a block marks these windows in its texts.
@@ -35,6 +37,8 @@ from gaugeflow.llm import common
 
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
+#: Windows of one minimiser from which on it is hot, and that a bucket then takes of it, about.
+HOT_WINDOWS = 400_000
 #: Stands for a missing doc_id: later than every other.
 NO_ID = np.iinfo(np.int64).max
 _CHUNK = 1 << 16
@@ -304,6 +308,18 @@ def slices(found: Symbols, shape: Shape, without: list[int] | None = None) -> Sl
     return Slices(*(column[kept] for column in vars(every).values()))
 
 
+def window_hashes(found: Symbols, shape: Shape, at: np.ndarray) -> np.ndarray:
+    """Hashes of the windows that start at the symbols `at`, which ascend."""
+    hashes = np.empty(len(at), np.uint64)
+    edges = np.searchsorted(at, np.arange(0, len(found.codes) + _CHUNK, _CHUNK))
+    for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+        if a < b:
+            first = k * _CHUNK
+            codes = found.codes[first : first + _CHUNK + shape.window - 1]
+            hashes[a:b] = common.mix64(rolling(codes, shape.window))[at[a:b] - first]
+    return hashes
+
+
 def _keys(route: np.ndarray, buckets: int) -> np.ndarray:
     """bucket << 32 | rest, with as many buckets as asked for."""
     low, rest = route & np.uint64(0xFFFFFFFF), route >> np.uint64(32)
@@ -335,11 +351,16 @@ def anchors(blocks: DataFrame, shape: Shape, buckets: int) -> DataFrame:
                 got = slices(symbols(block, shape.words), shape, row["copies"])
                 keys, docs = _keys(got.route, buckets), block.ids[got.owner]
                 order = np.argsort(keys, kind="stable")
+                alike, first, _ = _distinct(got)
+                windows = np.zeros(len(keys), np.int64)
+                windows[alike[first]] = got.windows[alike[first]]
                 keys, docs = keys[order], docs[order]
                 fresh = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
                 if not len(fresh):
                     continue
                 many = np.minimum.reduceat(docs, fresh) != np.maximum.reduceat(docs, fresh)
+                windows = np.add.reduceat(windows[order], fresh)
+                heavy = windows > 2 * shape.choices
                 keys = keys[fresh]
                 bucket, edge = _split(keys)
                 rest = (keys & np.uint64(0xFFFFFFFF)).astype("<u4")
@@ -350,15 +371,26 @@ def anchors(blocks: DataFrame, shape: Shape, buckets: int) -> DataFrame:
                         "block": ([row["block"]] * len(bucket), pa.int64()),
                         "rest": ([rest[a:b].tobytes() for a, b in spans], pa.binary()),
                         "many": ([np.packbits(many[a:b]).tobytes() for a, b in spans], pa.binary()),
+                        "heavy": ([_heavy(windows[a:b], heavy[a:b]) for a, b in spans], pa.binary()),
                     }
                 )
 
-    schema = "bucket int, block long, rest binary, many binary"
+    schema = "bucket int, block long, rest binary, many binary, heavy binary"
     return common.arrow_map(blocks, work, schema)
 
 
-def repeated(sent: DataFrame) -> DataFrame:
-    """bucket, block, rest: minimisers of the block that more than one document has."""
+def _heavy(windows: np.ndarray, heavy: np.ndarray) -> bytes:
+    """Places and distinct windows of the minimisers with many in their block; usually none."""
+    at = np.flatnonzero(heavy)
+    return np.stack([at, windows[at]]).astype("<u4").tobytes()
+
+
+def repeated(sent: DataFrame, shape: Shape, hot_windows: int) -> DataFrame:
+    """bucket, block, rest: minimisers of the block that more than one document has.
+
+    hot: those with over hot_windows windows, and over how many buckets each is to be dealt. A
+    block without a count of its own counts as one whole slice.
+    """
 
     def work(table: pa.Table) -> pa.Table:
         rest = [np.frombuffer(v.as_buffer(), "<u4") for v in table["rest"]]
@@ -376,16 +408,30 @@ def repeated(sent: DataFrame) -> DataFrame:
         # What one block alone has counts if two of its documents have it.
         keep |= np.concatenate(many)
         edges = np.cumsum([0, *map(len, rest)])
+        windows = np.full(len(every), shape.choices, np.int64)
+        for edge, v in zip(edges, table["heavy"], strict=False):
+            at, n = np.frombuffer(v.as_buffer(), "<u4").reshape(2, -1).astype(np.int64)
+            windows[edge + at] = n
+        fresh = np.flatnonzero(np.append(True, held[1:] != held[:-1])[: len(held)])
+        total = np.add.reduceat(windows[order], fresh) if len(fresh) else windows
+        parts = np.empty(len(every), np.int64)
+        parts[order] = np.repeat(-(-total // hot_windows), np.diff(np.append(fresh, len(held))))
+        hot = []
+        for a, b in zip(edges, edges[1:], strict=False):
+            at = a + np.flatnonzero(keep[a:b] & (parts[a:b] > 1))
+            hot.append(np.stack([every[at], parts[at]]).astype("<u4").tobytes())
         kept = [every[a:b][keep[a:b]].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
         return pa.table(
             {
                 "bucket": table["bucket"].cast(pa.int32()),
                 "block": table["block"],
                 "rest": pa.array(kept, pa.binary()),
+                "hot": pa.array(hot, pa.binary()),
             }
         ).filter(pa.array([bool(k) for k in kept], pa.bool_()))
 
-    return sent.groupBy("bucket").applyInArrow(work, "bucket int, block long, rest binary")
+    schema = "bucket int, block long, rest binary, hot binary"
+    return sent.groupBy("bucket").applyInArrow(work, schema)
 
 
 # ---- slices to buckets and answers back
@@ -431,52 +477,93 @@ _ROUTED = (
 
 
 def route(blocks: DataFrame, back: DataFrame, shape: Shape, buckets: int) -> DataFrame:
-    """Distinct slices of repeated minimisers of each block, to the buckets of the minimisers."""
+    """Distinct slices of repeated minimisers of each block, to the buckets of the minimisers.
+
+    The windows of hot minimisers are slices of their own; -1 - first symbol is their ordinal.
+    """
+
+    def hot_windows(
+        block: Block, found: Symbols, got: Slices, keys: np.ndarray, parts: np.ndarray
+    ) -> tuple[np.ndarray, ...]:
+        """Bucket, first symbol, earliest and latest document of each distinct window."""
+        every = _keys(got.route, buckets)
+        chosen = np.flatnonzero(np.isin(every, keys))
+        n = got.windows[chosen]
+        start = ranges(got.start[chosen], n)
+        hashes = window_hashes(found, shape, start)
+        order = np.argsort(hashes, kind="stable")
+        held = hashes[order]
+        first = np.flatnonzero(np.append(True, held[1:] != held[:-1])[: len(held)])
+        docs = np.repeat(block.ids[got.owner[chosen]], n)[order]
+        low, high = np.minimum.reduceat(docs, first), np.maximum.reduceat(docs, first)
+        key = np.repeat(every[chosen], n)[order[first]]
+        dealt = held[first] % parts[np.searchsorted(keys, key)].astype(np.uint64)
+        bucket = ((key >> np.uint64(32)) + dealt) % np.uint64(buckets)
+        by_bucket = np.argsort(bucket, kind="stable")
+        columns = bucket.astype(np.int64), start[order[first]], low, high
+        return tuple(column[by_bucket] for column in columns)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
+
+        def sent(block_id: int, block: Block, found: Symbols, columns: tuple) -> Iterator:
+            """A row per bucket; columns: bucket (ascends), ordinal, start, windows, low, high."""
+            bucket = columns[0]
+            edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
+            for a, b in zip(edges, edges[1:], strict=False):
+                _, ordinal, start, windows, low, high = (column[a:b] for column in columns)
+                data, sizes = _slice_bytes(block, found, shape, start, windows)
+                packed = (
+                    ordinal.astype("<i4"),
+                    windows.astype("u1"),
+                    low.astype("<i8"),
+                    low < high,
+                    sizes.astype("<i4"),
+                    data,
+                )
+                values = [int(bucket[a]), block_id, *(packer.compress(c.tobytes()) for c in packed)]
+                kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 6]
+                names = [f.split()[0] for f in _ROUTED.split(", ")]
+                yield _batch({n: ([v], t) for n, v, t in zip(names, values, kinds, strict=True)})
+
         for batch in batches:
             for row in batch.to_pylist():
                 block = unpack(row)
                 found = symbols(block, shape.words)
                 got = slices(found, shape, row["copies"])
-                order, first, edge = _distinct(got)
-                wanted = [
-                    np.frombuffer(part["rest"], "<u4").astype(np.uint64)
-                    | np.uint64(part["bucket"]) << np.uint64(32)
-                    for part in row["back"]
-                ]
+                order, first, _ = _distinct(got)
+                wanted, hot, parts = [], [], []
+                for part in row["back"]:
+                    bucket = np.uint64(part["bucket"]) << np.uint64(32)
+                    wanted.append(np.frombuffer(part["rest"], "<u4").astype(np.uint64) | bucket)
+                    rest, n = np.frombuffer(part["hot"], "<u4").reshape(2, -1)
+                    hot.append(rest.astype(np.uint64) | bucket)
+                    parts.append(n)
+                hot, parts = np.concatenate(hot), np.concatenate(parts)
                 one = order[first]
                 keys = _keys(got.route[one], buckets)
-                chosen = np.flatnonzero(np.isin(keys, np.concatenate(wanted)))
-                if not len(chosen):
-                    continue
-                chosen = chosen[np.argsort(keys[chosen], kind="stable")]
-                docs = block.ids[got.owner[order]]
-                low, high = np.minimum.reduceat(docs, first), np.maximum.reduceat(docs, first)
-                bucket, at = _split(keys[chosen])
-                for k, bucket_id in enumerate(bucket.tolist()):
-                    part = chosen[at[k] : at[k + 1]]
-                    windows = got.windows[one[part]]
-                    data, sizes = _slice_bytes(
-                        block, found, shape, got.start[one[part]], windows
-                    )
-                    columns = (
-                        part.astype("<i4"),
-                        windows.astype("u1"),
-                        low[part].astype("<i8"),
-                        low[part] < high[part],
-                        sizes.astype("<i4"),
-                        data,
-                    )
-                    values = [bucket_id, row["block"], *(packer.compress(c.tobytes()) for c in columns)]
-                    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 6]
-                    names = [f.split()[0] for f in _ROUTED.split(", ")]
-                    yield _batch(
-                        {n: ([v], t) for n, v, t in zip(names, values, kinds, strict=True)}
+                chosen = np.flatnonzero(
+                    np.isin(keys, np.setdiff1d(np.concatenate(wanted), hot, assume_unique=True))
+                )
+                if len(chosen):
+                    chosen = chosen[np.argsort(keys[chosen], kind="stable")]
+                    docs = block.ids[got.owner[order]]
+                    low, high = np.minimum.reduceat(docs, first), np.maximum.reduceat(docs, first)
+                    bucket = (keys[chosen] >> np.uint64(32)).astype(np.int64)
+                    own = got.start[one[chosen]], got.windows[one[chosen]], low[chosen], high[chosen]
+                    yield from sent(row["block"], block, found, (bucket, chosen, *own))
+                if len(hot):
+                    by_key = np.argsort(hot)
+                    bucket, start, low, high = hot_windows(
+                        block, found, got, hot[by_key], parts[by_key]
                     )
+                    single = np.ones(len(start), np.int64)
+                    columns = bucket, -1 - start, start, single, low, high
+                    yield from sent(row["block"], block, found, columns)
 
-    per_block = back.groupBy("block").agg(F.collect_list(F.struct("bucket", "rest")).alias("back"))
+    per_block = back.groupBy("block").agg(
+        F.collect_list(F.struct("bucket", "rest", "hot")).alias("back")
+    )
     joined = blocks.join(per_block, "block")
     return common.arrow_map(joined, work, _ROUTED)
 
@@ -559,6 +646,23 @@ def resolve(
 ) -> DataFrame:
     """Applies output to every block, with the symbols that an earlier document's window covers."""
 
+    def hot_starts(
+        block: Block, found: Symbols, got: Slices, lone: np.ndarray, docs: np.ndarray
+    ) -> np.ndarray:
+        """Where the windows equal to those at lone start, in documents after docs."""
+        order = np.argsort(lone)
+        lone, docs = lone[order], docs[order]
+        routes = got.route[np.searchsorted(got.start, lone, "right") - 1]
+        chosen = np.flatnonzero(np.isin(got.route, routes))
+        start = ranges(got.start[chosen], got.windows[chosen])
+        owner = np.repeat(got.owner[chosen], got.windows[chosen])
+        known = window_hashes(found, shape, lone)
+        order = np.argsort(known)
+        known, docs = known[order], docs[order]
+        hashes = window_hashes(found, shape, start)
+        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        return start[(known[at] == hashes) & (docs[at] < block.ids[owner])]
+
     def removed(
         block: Block, found: Symbols, without: list[int] | None, parts: list[dict]
     ) -> np.ndarray:
@@ -570,12 +674,18 @@ def resolve(
 
         ordinal, offset = joined("ordinals", "<i4"), joined("offsets", "u1")
         count, docs = joined("counts", "u1"), joined("docs", "<i8")
+        single = ordinal < 0
+        lone, lone_docs = -1 - ordinal[single], docs[single]
+        ordinal, offset, count, docs = (v[~single] for v in (ordinal, offset, count, docs))
         times = edge[ordinal + 1] - edge[ordinal]
         slot = order[ranges(edge[ordinal], times)]
         offset, count, docs = (np.repeat(v, times) for v in (offset, count, docs))
         later = docs < block.ids[got.owner[slot]]
         start = got.start[slot[later]] + offset[later]
         end = start + count[later] + shape.window - 1
+        if len(lone):
+            own = hot_starts(block, found, got, lone, lone_docs)
+            start, end = np.append(start, own), np.append(end, own + shape.window)
         size = len(found.codes) + 1
         return np.cumsum(np.bincount(start, minlength=size) - np.bincount(end, minlength=size))[
             :-1
@@ -623,6 +733,6 @@ def without_repeats(
     buckets = bucket_count(blocks)
     # The blocks are shuffled once, by their number; all joins below use that exchange.
     texts = blocks.drop("digests", "bytes").join(copies(blocks), "block", "left")
-    back = repeated(anchors(texts, shape, buckets))
+    back = repeated(anchors(texts, shape, buckets), shape, HOT_WINDOWS)
     answers = answer(route(texts, back, shape, buckets), earliest)
     return resolve(texts, answers, shape, output, schema, carry)

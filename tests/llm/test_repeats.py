@@ -7,7 +7,8 @@ import re
 
 import numpy as np
 import pytest
-from corpus_cases import collected, corpus, documents  # noqa: F401
+import zstandard
+from corpus_cases import collected, corpus, documents, prose  # noqa: F401
 
 from gaugeflow.llm import factors, repeats, suffixes
 from gaugeflow.llm.common import ids_and_texts
@@ -104,3 +105,32 @@ def test_every_window_is_in_one_slice(corpus, words):
     ]
     assert sorted(windows.tolist()) == starts
     assert got.windows.max() <= shape.choices
+
+
+@pytest.mark.parametrize("limit", [1, 200])
+def test_hot_minimisers_against_brute_force(documents, corpus, monkeypatch, limit):
+    monkeypatch.setattr(repeats, "HOT_WINDOWS", limit)
+    docs = ids_and_texts(documents(corpus))
+    assert collected(suffixes.digest_repeats(docs)) == expected_bytes(corpus)
+    assert collected(factors.digest_repeats(docs)) == expected_words(corpus)
+
+
+def test_a_hot_minimiser_is_dealt_over_buckets(documents):
+    """A short shared passage between other words gives each document a slice of its own."""
+    shared = "here stands a sentence that all documents have"
+    rows = [(k, f"{prose(12, 2 * k)} {shared} {prose(12, 2 * k + 1)}") for k in range(300)]
+    shape, blocks = suffixes._shape(50), repeats.pack(ids_and_texts(documents(rows)))
+    texts = blocks.drop("digests", "bytes").join(repeats.copies(blocks), "block", "left")
+    sent = repeats.anchors(texts, shape, 16)
+
+    def largest(limit: int) -> int:
+        routed = repeats.route(texts, repeats.repeated(sent, shape, limit), shape, 16)
+        found: dict[int, int] = {}
+        for row in routed.collect():
+            windows = np.frombuffer(zstandard.decompress(row.windows), "u1")
+            found[row.bucket] = found.get(row.bucket, 0) + int(windows.sum())
+        return max(found.values())
+
+    whole = largest(10**9)
+    assert whole > 300 * shape.choices // 2
+    assert largest(500) < whole / 3
