@@ -102,6 +102,9 @@ def bucketed_rolling_avg(
     context and removed after the window ran. Every row enters a running sum at its own time and
     leaves it when the window has passed, so the work is linear in the rows, however many share
     a window. The sums are decimals: what leaves takes off exactly what it had added.
+
+    Windows with NaN or infinite values have the mean that ``avg`` gives. A finite value of 1e12 or
+    more does not fit the decimals; windows with one have no mean (null).
     """
     own = time_bucket(F.col(ts), bucket_seconds)
     reach = micros_bucket(
@@ -117,17 +120,35 @@ def bucketed_rolling_avg(
         .orderBy("_micros")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    amount = F.coalesce(F.col(value).try_cast("decimal(30,18)"), F.lit(0))
+    fitting, wide = F.col(value).try_cast("decimal(30,18)"), F.col(value).cast("double")
+    amount = F.coalesce(fitting, F.lit(0))
     total = F.sum(F.when(F.col("_sign") > 0, amount).otherwise(-amount)).over(frame)
-    count = F.sum(F.when(F.col(value).isNotNull(), F.col("_sign")).otherwise(0)).over(frame)
+
+    def inside(chosen: Column) -> Column:
+        return F.sum(F.when(chosen, F.col("_sign")).otherwise(0)).over(frame)
+
+    infinite = float("inf")
+    counts = {
+        "_count": inside(F.col(value).isNotNull()),
+        "_unfit": inside(F.col(value).isNotNull() & fitting.isNull()),
+        "_nan": inside(F.isnan(wide)),
+        "_up": inside(wide == infinite),
+        "_down": inside(wide == -infinite),
+    }
+    mean = (
+        F.when(F.col("_unfit") == 0, F.try_divide(F.col("_total").cast("double"), F.col("_count")))
+        .when((F.col("_nan") > 0) | ((F.col("_up") > 0) & (F.col("_down") > 0)), float("nan"))
+        .when(F.col("_up") > 0, infinite)
+        .when(F.col("_down") > 0, -infinite)
+    )
     return (
         df.withColumn("_own", own)
         .withColumn("_bucket", F.explode(F.sequence("_own", reach)))
         .withColumn("_event", F.explode(events))
         .select(*df.columns, "_own", "_bucket", "_event.*")
-        .withColumns({"_total": total, "_count": count})
+        .withColumns({"_total": total, **counts})
         .filter((F.col("_bucket") == F.col("_own")) & (F.col("_sign") > 0))
-        .withColumn(output, F.try_divide(F.col("_total").cast("double"), F.col("_count")))
+        .withColumn(output, mean)
         .select(*df.columns, output, "_bucket", "_micros")
     )
 

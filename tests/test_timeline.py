@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import timedelta
 
 import pytest
-from conftest import random_readings, reading, rows
+from conftest import START, random_readings, reading, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -76,6 +76,29 @@ def test_window_includes_both_ends(facts):
     assert at_latest.first().rolling_15m_utilization == 0.0
 
 
+def test_rolling_mean_of_values_that_do_not_fit(spark):
+    inf, nan = float("inf"), float("nan")
+    cases = {
+        "nan": [0.5, nan, None, 0.5],
+        "up": [0.5, inf, 0.5, 0.5],
+        "both": [inf, -inf, 0.5, 0.5],
+        "big": [0.5, 2e12, 0.5, 0.5],
+    }
+    readings = [
+        (name, START + timedelta(minutes=10 * k), value)
+        for name, values in cases.items()
+        for k, value in enumerate(values)
+    ]
+    history = spark.createDataFrame(readings, "k string, at timestamp, v double")
+    found: dict[str, list] = {}
+    for row in timeline.rolling_time_avg(history, "k", "at", "v", "mean").orderBy("k", "at").collect():
+        found.setdefault(row.k, []).append(row.mean)
+    assert repr(found["nan"]) == repr([0.5, nan, nan, 0.5])
+    assert found["up"] == [0.5, inf, inf, 0.5]
+    assert repr(found["both"]) == repr([inf, nan, -inf, 0.5])
+    assert found["big"] == [0.5, None, None, 0.5]
+
+
 def test_join_at_latest_equals_the_window_form(history):
     latest = timeline.latest_status(history)
     by_join = timeline.rolling_at_latest(latest, history)
