@@ -1,10 +1,8 @@
-"""Word passages that an earlier document has, by relative Lempel-Ziv parsing.
+"""Word passages that an earlier document has, by exact lookup of windows of words.
 
 The slices of a bucket are its reference block, indexed by their windows of words. Each slice is
-parsed greedily against what earlier documents put into the block: a factor is the longest run of
-words that goes on as at its place in the reference. A factor of a whole window or more is a
-repeat. Windows that cross the end of a factor are looked up one by one, because the greedy parse
-alone would miss those that lie in two factors.
+walked greedily against what earlier documents put into the block, but a factor is no longer than a
+slice, and its length decides nothing: every window gets the earliest document with the same words.
 """
 
 from __future__ import annotations
