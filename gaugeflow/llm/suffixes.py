@@ -1,8 +1,7 @@
-"""Byte strings that an earlier document has, by longest-previous-factor arrays.
+"""Byte strings that an earlier document has, by grouping equal windows of bytes.
 
-Within a bucket, windows are put in suffix order. The factor that a window shares with an earlier
-document is longest with one of two neighbours: the nearest position before it, or after it, whose
-document is smaller, among positions with a common prefix of the whole length.
+Within a bucket, windows are sorted by their bytes, so that equal ones lie together, and each gets the
+smallest document among its equals. No factor longer than a window is looked for.
 """
 
 from __future__ import annotations
