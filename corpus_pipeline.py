@@ -16,6 +16,8 @@ from gaugeflow.llm.queries import vocabulary
 
 #: A text stays if the network gives one language at least this probability.
 LEAST_SCORE = 0.5
+#: Holds doc_id where a key of the rows takes its place.
+_ID = "_own_doc_id"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,16 +34,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near copies."""
-    copies = neardup.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    return docs.hint("merge").join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """Keeps one row of each group of near copies: the smallest doc_id, missing ones last."""
+    keyed = common.row_keys(docs)
+    ids = keyed.select(F.col(common.ROW_KEY).alias("doc_id"), "text")
+    copies = neardup.near_duplicates(ids).filter("not kept")
+    copies = copies.select(F.col("doc_id").alias(common.ROW_KEY)).distinct()
+    return keyed.hint("merge").join(copies, common.ROW_KEY, "left_anti").select(*docs.columns)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts passages of 13 words or more that an earlier document has; every document stays."""
+    """Cuts passages of 13 words or more that an earlier row has; every row stays."""
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    filled = docs.withColumn("text", F.coalesce("text", F.lit("")))
-    cut = factors.remove_repeats(filled, carry=others)
+    filled = common.row_keys(docs).withColumn("text", F.coalesce("text", F.lit("")))
+    filled = filled.withColumnsRenamed({"doc_id": _ID, common.ROW_KEY: "doc_id"})
+    cut = factors.remove_repeats(filled, carry=(_ID, *others))
+    cut = cut.drop("doc_id").withColumnRenamed(_ID, "doc_id")
     if "n_chars" in others:  # counted anew
         cut = cut.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
     return cut.select(*docs.columns)

@@ -48,6 +48,24 @@ def stored(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Column of `row_keys`.
+ROW_KEY = "_row_key"
+
+
+def row_keys(docs: DataFrame) -> DataFrame:
+    """Adds a number of its own to every row, in the order of doc_id, with missing ones last.
+
+    It is doc_id where that tells all rows apart. Else the rows are sorted and stored with it.
+    """
+    alike = docs.groupBy("doc_id").count().filter("doc_id IS NULL OR count > 1")
+    if alike.isEmpty():
+        return docs.withColumn(ROW_KEY, F.col("doc_id").cast("long"))
+    # Stored before sorting, so that equal ids have an order too and many of them split.
+    placed = stored(docs.withColumn(ROW_KEY, F.monotonically_increasing_id()), "rows")
+    ordered = placed.orderBy(F.col("doc_id").asc_nulls_last(), ROW_KEY)
+    return stored(ordered.withColumn(ROW_KEY, F.monotonically_increasing_id()), "row-keys")
+
+
 def words(text: Column) -> Column:
     """The words of a text; none for null and for blank texts."""
     inner = F.regexp_replace(text, f"^{SPACE_RUN}|{SPACE_RUN}$", "")

@@ -132,9 +132,14 @@ def contaminations(
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The rows of docs, all columns as they are, whose text contains no item."""
-    hits = contaminations(docs, benchmark, rules).select("doc_id").distinct()
-    return docs.hint("merge").join(hits, "doc_id", "left_anti")
+    """The rows of docs, all columns as they are, whose text contains no item.
+
+    Each row is judged by itself, also where its doc_id is missing or another row has it too.
+    """
+    keyed = common.row_keys(docs)
+    hits = contaminations(keyed, benchmark, rules, id_col=common.ROW_KEY)
+    hits = hits.select(F.col("doc_id").alias(common.ROW_KEY)).distinct()
+    return keyed.hint("merge").join(hits, common.ROW_KEY, "left_anti").select(*docs.columns)
 
 
 ORACLE_SQL = """
