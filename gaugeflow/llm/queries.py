@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeflow.llm import bitplanes, decontaminate, factors, langid, licenses, neardup, packing, quality, suffixes, warc
+from gaugeflow.llm import (
+    bitplanes,
+    decontaminate,
+    factors,
+    langid,
+    licenses,
+    neardup,
+    packing,
+    periodic,
+    quality,
+    suffixes,
+    trie,
+    warc,
+    windows,
+)
 from gaugeflow.llm.common import ids_and_texts, table
 
 
@@ -60,6 +74,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest_runs(table(spark, sf_dir, "documents"))
+
+
+def op12_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return windows.pack_online(docs, vocabulary(), capacity=2048, end_id=1)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.shared_openings(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
@@ -71,10 +98,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_factor_dedup": op8_factor_dedup,
     "op9_fast_sketches": op9_fast_sketches,
     "op10_warc": op10_warc,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_online_packing": op12_online_packing,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": quality.oracle_sql(),
     "op3_containment_search": decontaminate.ORACLE_SQL,
     "op10_warc": warc.ORACLE_SQL,
+    "op13_prefix_trie": trie.ORACLE_SQL,
 }
