@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gaugeflow.functions.timestamps import time_bucket
 from gaugeflow.operators.timeline import previous_per_key
 from gaugeflow.params import DEFAULTS, Params
+from gaugeflow.schema import STATION_DAYS
 
 _GAUGES = ("bikes_available", "free_slots")
 _HOUR = ("city", "usage_date", "usage_hour")
@@ -96,47 +97,58 @@ def daily_usage_peaks(activity: DataFrame) -> DataFrame:
     return activity.withColumn("peak_rank", F.dense_rank().over(busiest))
 
 
+_EDGE = STATION_DAYS["first_reading"].dataType.names
+
+
+def station_days(facts: DataFrame) -> DataFrame:
+    """First and last reading of each station and date."""
+    reading, at = F.struct(*_EDGE), "snapshot_timestamp"
+    return facts.groupBy("station_key", "event_date").agg(
+        F.min_by(reading, at).alias("first_reading"), F.max_by(reading, at).alias("last_reading")
+    )
+
+
+def fold_station_days(days: DataFrame, new_facts: DataFrame) -> DataFrame:
+    """The station days of the dates in ``days`` after more facts on these dates."""
+    both = days.unionByName(station_days(new_facts))
+    return both.groupBy("station_key", "event_date").agg(
+        F.min_by("first_reading", F.col("first_reading.snapshot_timestamp")).alias("first_reading"),
+        F.max_by("last_reading", F.col("last_reading.snapshot_timestamp")).alias("last_reading"),
+    )
+
+
 def fold_activity(
     activity: DataFrame,
     new_facts: DataFrame,
     latest: DataFrame,
     history: DataFrame | None = None,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Hourly activity after more facts, from the rows they touch only.
 
-    A new fact changes its own movement and that of the snapshot after it. The affected stretch
-    of a station runs from the row before its first new fact to the row after its last one;
-    its movement without the new facts is taken off and its movement with them is added.
+    A new fact changes its own movement and that of the snapshot after it. Around the new facts of
+    a station, the movement of its known rows is taken off, and that of the known and new rows
+    together is added; rows that the new facts do not come between cancel out.
 
-    For a station whose new facts all follow its ``latest`` row that stretch needs nothing else.
-    Stations with older facts read ``history``, cut to those stations; pass None only when there
-    are none, see ``has_late_facts``.
+    For a station whose new facts all follow its ``latest`` row that row is all it takes. Stations
+    with older facts read ``history``, cut to those stations; pass None only when there are none,
+    see ``has_late_facts``. With ``days``, the ``station_days`` of the known facts, ``history`` need
+    hold no other dates than those of the late stations' new facts: the rows before and after a
+    date are the edges of the dates next to it.
     """
-    columns = [
-        "station_key", "city", "event_date", "event_hour", "snapshot_timestamp", *_GAUGES,
-    ]
+    columns = _EDGE
     fresh = new_facts.select(*columns)
     spans = _spans(fresh, latest)
-    row = F.struct(*columns)
     before = (
         latest.join(spans.filter(~F.col("_late")), "station_key", "left_semi").select(*columns)
     )
     if history is not None:
         late = spans.filter("_late")
-        touched = history.select(*columns).join(late, "station_key")
-        at = F.col("snapshot_timestamp")
-        inside = touched.filter(at.between(F.col("_first"), F.col("_last"))).select(*columns)
-        edges = (
-            touched.groupBy("station_key")
-            .agg(
-                F.max_by(row, F.when(at < F.col("_first"), at)).alias("_before"),
-                F.min_by(row, F.when(at > F.col("_last"), at)).alias("_after"),
-            )
-            .select(F.explode(F.array("_before", "_after")).alias("_edge"))
-            .filter(F.col("_edge").isNotNull())
-            .select("_edge.*")
-        )
-        before = before.unionByName(inside).unionByName(edges)
+        if days is None:
+            around = _between(history.select(*columns), late)
+        else:
+            around = _touched_dates(history.select(*columns), fresh, days, late)
+        before = before.unionByName(around)
     removed = hourly_activity(before).withColumn(
         "estimated_activity", -F.col("estimated_activity")
     )
@@ -149,6 +161,51 @@ def fold_activity(
     )
 
 
+def _between(history: DataFrame, late: DataFrame) -> DataFrame:
+    """Of each late station, the rows from the one before its first new fact to the one after its
+    last."""
+    touched = history.join(late, "station_key")
+    at, row = F.col("snapshot_timestamp"), F.struct(*history.columns)
+    inside = touched.filter(at.between(F.col("_first"), F.col("_last"))).select(*history.columns)
+    edges = (
+        touched.groupBy("station_key")
+        .agg(
+            F.max_by(row, F.when(at < F.col("_first"), at)).alias("_before"),
+            F.min_by(row, F.when(at > F.col("_last"), at)).alias("_after"),
+        )
+        .select(F.explode(F.array("_before", "_after")).alias("_edge"))
+        .filter(F.col("_edge").isNotNull())
+        .select("_edge.*")
+    )
+    return inside.unionByName(edges)
+
+
+def _touched_dates(
+    history: DataFrame, fresh: DataFrame, days: DataFrame, late: DataFrame
+) -> DataFrame:
+    """Of each late station, the rows of the dates of its new facts, and the nearest reading on
+    either side of each such date."""
+    key = ["station_key", "event_date"]
+    touched = fresh.select(*key).distinct().join(late.select("station_key"), "station_key")
+    whole = history.join(touched, key, "left_semi")
+    known = days.join(late.select("station_key"), "station_key")
+    timeline = known.join(touched.withColumn("_touched", F.lit(True)), key, "full_outer")
+    in_order = Window.partitionBy("station_key").orderBy("event_date")
+    follows = F.lag("_touched").over(in_order).alias("_follows")
+    leads = F.lead("_touched").over(in_order).alias("_leads")
+    # One row per station and date meets here, none of the dates that have none.
+    near = timeline.select("*", follows, leads).filter("_touched IS NULL")
+    edges = F.array_distinct(
+        F.array_compact(
+            F.array(
+                F.when(F.col("_follows"), F.col("first_reading")),
+                F.when(F.col("_leads"), F.col("last_reading")),
+            )
+        )
+    )
+    return whole.unionByName(near.select(F.explode(edges).alias("_edge")).select("_edge.*"))
+
+
 def _spans(fresh: DataFrame, latest: DataFrame) -> DataFrame:
     """Per touched station, the first and last new time and whether any precedes its latest."""
     known = latest.select("station_key", F.col("snapshot_timestamp").alias("_known"))

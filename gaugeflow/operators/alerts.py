@@ -65,6 +65,20 @@ def critical_stations(
     )
 
 
+def fold_critical(
+    critical: DataFrame,
+    latest: DataFrame,
+    recent: DataFrame,
+    touched: DataFrame,
+    params: Params = DEFAULTS,
+) -> DataFrame:
+    """Critical stations after more facts: those of the ``touched`` stations (station_key) anew
+    from their ``recent`` readings, the others as they were."""
+    kept = critical.join(touched, "station_key", "left_anti")
+    anew = latest.join(touched, "station_key", "left_semi")
+    return kept.unionByName(critical_stations(anew, recent, params).select(*kept.columns))
+
+
 def empty_alerts(latest: DataFrame) -> DataFrame:
     return as_alerts(latest.filter(is_empty()), F.lit(EMPTY))
 

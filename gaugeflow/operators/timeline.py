@@ -248,6 +248,25 @@ def fold_latest(latest: DataFrame, new_facts: DataFrame) -> DataFrame:
     return latest_status(latest.unionByName(new_facts.select(*latest.columns)))
 
 
+def fold_recent(
+    recent: DataFrame, new_facts: DataFrame, latest: DataFrame, params: Params = DEFAULTS
+) -> DataFrame:
+    """The readings of the window that ends at each latest row, after more facts.
+
+    ``latest`` is the table with the new facts. A window only moves forward, so the readings of the
+    one before and the new facts hold all of it.
+    """
+    until = F.col("_until")
+    ends = latest.select("station_key", F.col("snapshot_timestamp").alias("_until"))
+    since = seconds_before(until, params.rolling_window_seconds)
+    return (
+        recent.unionByName(new_facts.select(*recent.columns))
+        .join(ends, "station_key")
+        .filter(F.col("snapshot_timestamp").between(since, until))
+        .select(*recent.columns)
+    )
+
+
 def rolling_utilization(facts: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     return rolling_time_avg(
         facts,

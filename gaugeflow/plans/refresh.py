@@ -14,17 +14,19 @@ from gaugeflow.functions.timestamps import seconds_before
 from gaugeflow.operators.activity import (
     daily_usage_peaks,
     fold_activity,
+    fold_station_days,
     has_late_facts,
     hourly_activity,
+    station_days,
 )
-from gaugeflow.operators.alerts import critical_stations, current_alerts, stamp
+from gaugeflow.operators.alerts import critical_stations, current_alerts, fold_critical, stamp
 from gaugeflow.operators.ranking import UTILIZATION_ORDER, dense_rank_global
-from gaugeflow.operators.timeline import fold_latest, latest_status
+from gaugeflow.operators.timeline import fold_latest, fold_recent, latest_status
 from gaugeflow.operators.upsert import restrict_to_spans
 from gaugeflow.operators.zones import geographic_imbalance, low_availability_zones
 from gaugeflow.params import DEFAULTS, Params
 from gaugeflow.schema import conform
-from gaugeflow.sources.store import PUBLISHED, StationStore
+from gaugeflow.sources.store import INTERNAL, PUBLISHED, StationStore
 
 
 def together(spark: SparkSession, *tasks: Callable[[], Any]) -> list[Any]:
@@ -51,45 +53,48 @@ def recent_history(latest: DataFrame, facts: DataFrame, params: Params) -> DataF
     return restrict_to_spans(facts, covered, "event_date", "snapshot_timestamp")
 
 
-def _write_gold(
-    store: StationStore,
-    version: str,
-    latest: DataFrame,
-    activity: DataFrame,
-    facts: DataFrame,
-    params: Params,
-) -> DataFrame:
-    """Write every table that derives from the latest rows and return the critical stations.
+class _Version:
+    """The tables of a version that is being written, each read back from its files.
 
-    ``latest`` and ``activity`` come back from their files, so later tables neither recompute
-    them nor depend on executors that held them.
+    So later tables neither recompute earlier ones nor depend on executors that held them.
     """
 
-    def write(table: str, df: DataFrame) -> DataFrame:
-        return store.write_version(version, table, conform(df, PUBLISHED[table]))
+    def __init__(self, store: StationStore) -> None:
+        self.store = store
+        self.path = store.new_version()
 
-    latest, activity = together(
-        store.spark,
-        lambda: write("latest_station_status", latest),
-        lambda: write("hourly_activity", activity),
-    )
+    def write(self, table: str, df: DataFrame) -> DataFrame:
+        schema = (PUBLISHED | INTERNAL)[table]
+        return self.store.write_version(self.path, table, conform(df, schema))
 
-    def rank() -> DataFrame:
-        keys = f"{version}/ranked_keys"
-        return dense_rank_global(latest, UTILIZATION_ORDER, "utilization_rank", scratch=keys)
+    def derive(
+        self,
+        latest: DataFrame,
+        activity: DataFrame,
+        critical: Callable[[], DataFrame],
+        params: Params,
+    ) -> DataFrame:
+        """Writes what follows from the latest rows and the activity; returns the critical ones."""
 
-    def critical() -> DataFrame:
-        scarce = latest.filter(F.col("bikes_available") <= params.critical_bikes_threshold)
-        return critical_stations(latest, recent_history(scarce, facts, params), params)
+        def rank() -> DataFrame:
+            keys = f"{self.path}/ranked_keys"
+            return dense_rank_global(latest, UTILIZATION_ORDER, "utilization_rank", scratch=keys)
+
+        return together(
+            self.store.spark,
+            lambda: self.write("critical_stations", critical()),
+            lambda: self.write("top_utilization_stations", rank()),
+            lambda: self.write("daily_usage_peaks", daily_usage_peaks(activity)),
+            lambda: self.write(
+                "low_availability_zones", low_availability_zones(latest, params)
+            ),
+            lambda: self.write("geographic_imbalance", geographic_imbalance(latest)),
+        )[0]
 
-    return together(
-        store.spark,
-        lambda: write("critical_stations", critical()),
-        lambda: write("top_utilization_stations", rank()),
-        lambda: write("daily_usage_peaks", daily_usage_peaks(activity)),
-        lambda: write("low_availability_zones", low_availability_zones(latest, params)),
-        lambda: write("geographic_imbalance", geographic_imbalance(latest)),
-    )[0]
+
+def _dates(facts: DataFrame) -> list[str]:
+    """The dates of these facts as ISO text; they come to the driver, one short row each."""
+    return [d.isoformat() for (d,) in facts.select("event_date").distinct().collect() if d]
 
 
 def refresh_all(
@@ -101,12 +106,21 @@ def refresh_all(
 ) -> None:
     """Rebuild and publish all tables from the whole fact history, then log current alerts."""
     facts = store.facts()
-    version = store.new_version()
-    critical = _write_gold(
-        store, version, latest_status(facts), hourly_activity(facts), facts, params
+    version = _Version(store)
+    latest, activity, days = together(
+        store.spark,
+        lambda: version.write("latest_station_status", latest_status(facts)),
+        lambda: version.write("hourly_activity", hourly_activity(facts)),
+        lambda: store.write_station_days(station_days(facts), _dates(facts)),
     )
-    _log_alerts(store, version, critical, run_id, batch_id, created_at)
-    store.publish(version, run_id, batch_id, rebuilt=True)
+    near = recent_history(latest, facts, params)
+    none = store.spark.createDataFrame([], INTERNAL["recent_readings"])
+    recent = version.write("recent_readings", fold_recent(none, near, latest, params))
+    critical = version.derive(
+        latest, activity, lambda: critical_stations(latest, recent, params), params
+    )
+    _log_alerts(store, latest, critical, run_id, batch_id, created_at)
+    store.publish(version.path, run_id, batch_id, None, True, None, days)
 
 
 def refresh_batch(
@@ -119,50 +133,89 @@ def refresh_batch(
 ) -> None:
     """Archive and store one batch, fold it into the published tables, log current alerts.
 
-    The work follows the size of the batch and of the latest table; the history is read for the
-    rolling window's dates and, if the batch holds facts older than a station's latest row, for
-    those stations. A batch that the published tables hold already changes nothing. A batch that
-    was stored and never published, by this run or another, is folded in with this one.
+    The work follows the batch, the number of stations and the facts of the dates that the batch
+    touches; older dates are not opened. Only if the batch holds facts older than a station's latest
+    row, the facts of these dates and the edges of the station's other dates are read. A batch that
+    the published tables hold already changes nothing. Batches that were stored and never published,
+    by this run or another, are folded in one by one before this one, and log their alerts.
 
     ``batch`` itself is read once, for the archive; all later steps read the archived rows. So a
     stream's stateful operator runs once per micro-batch, and losing an executor later does not
-    bring it back.
+    bring it back. If another writer publishes meanwhile, the batch is folded into its version.
     """
     if store.holds(run_id, batch_id):
         return
-    store.announce(run_id, batch_id)
     archived = store.append_archive(batch, run_id, batch_id)
     store.append_facts(archived, run_id, batch_id)
-    pending = store.pending()
-    fresh = store.facts_of(pending)
-    latest = store.gold("latest_station_status")
-    activity = store.gold("hourly_activity")
-    late = has_late_facts(fresh, latest)
-    history = store.facts_without(*pending) if late else None
-    version = store.new_version()
-    critical = _write_gold(
-        store,
-        version,
-        fold_latest(latest, fresh),
-        fold_activity(activity, fresh, latest, history),
-        store.facts(),
-        params,
+    touched = set()
+    while pending := store.pending():
+        # Whatever was cut short comes first; this batch is the last.
+        first = min(pending, key=lambda one: (one == (run_id, batch_id), one))
+        base = store.current()
+        try:
+            touched.update(_fold(store, base, first, pending, params, created_at))
+        except Exception:
+            # Another writer's version came first; it also removes the folder of this one.
+            if store.current() == base:
+                raise
+            continue
+        if first == (run_id, batch_id):
+            break
+    for table in ("facts", "archive", "alerts"):
+        store.compact(table, touched)
+
+
+def _fold(
+    store: StationStore,
+    base: str | None,
+    batch: tuple[str, int],
+    pending: list[tuple[str, int]],
+    params: Params,
+    created_at: Column | None,
+) -> list[str]:
+    """Publishes the current version with one more batch; returns the dates of its facts."""
+    fresh = store.facts_of([batch])
+    dates = _dates(fresh)
+    known = store.gold("latest_station_status")
+    known_days = store.station_days()
+    history = days = None
+    if has_late_facts(fresh, known):
+        history, days = store.facts_without(*pending, days=dates), known_days
+    version = _Version(store)
+    latest, activity, new_days = together(
+        store.spark,
+        lambda: version.write("latest_station_status", fold_latest(known, fresh)),
+        lambda: version.write(
+            "hourly_activity",
+            fold_activity(store.gold("hourly_activity"), fresh, known, history, days),
+        ),
+        lambda: store.write_station_days(
+            fold_station_days(store.station_days(dates), fresh), dates
+        ),
     )
-    _log_alerts(store, version, critical, run_id, batch_id, created_at)
-    store.publish(version, run_id, batch_id, pending)
+    recent = version.write(
+        "recent_readings", fold_recent(store.gold("recent_readings"), fresh, latest, params)
+    )
+    stations = fresh.select("station_key").distinct()
+    old = store.gold("critical_stations")
+    critical = version.derive(
+        latest, activity, lambda: fold_critical(old, latest, recent, stations, params), params
+    )
+    # The alerts of stations without a new fact are in the log already.
+    changed = [df.join(stations, "station_key", "left_semi") for df in (latest, critical)]
+    _log_alerts(store, *changed, *batch, created_at)
+    store.publish(version.path, *batch, [batch], False, base, new_days)
+    return dates
 
 
 def _log_alerts(
     store: StationStore,
-    version: str,
+    latest: DataFrame,
     critical: DataFrame,
     run_id: str,
     batch_id: int,
     created_at: Column | None,
 ) -> None:
-    latest = store.spark.read.schema(PUBLISHED["latest_station_status"]).parquet(
-        f"{version}/latest_station_status"
-    )
     alerts = stamp(
         current_alerts(latest, critical),
         F.current_timestamp() if created_at is None else created_at,

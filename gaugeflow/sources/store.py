@@ -1,26 +1,33 @@
 """Fact history, archive, alert log and published gold tables as Parquet folders.
 
-Every append goes into partitions named after the run and the micro-batch that wrote them and
-replaces exactly those partitions, so a repeated batch leaves each table as it was.
-
-A batch is announced before its facts are stored and struck off once a published version holds it.
-What is announced but not held was cut short, and the next refresh folds it in, whoever runs it.
-Every version lists the batches that it holds. One job writes to a store at a time.
+Rows are appended in parts. The state of the store (`CommitLog`) lists the parts of each date, so a
+reader opens the parts of the dates it needs and lists nothing else; a part that no state names was
+cut short and is never read. A batch that is appended again replaces its own parts. Parts of
+published batches are merged by size classes, so a date has a few dozen at most and, once it is
+past, a few large ones.
+
+A batch is pending from the commit of its facts until a published version holds it. What is pending
+when the next batch comes was cut short and is folded in first, whoever runs it. Every version lists
+the batches that it holds. Several jobs may write to one store: a commit that was based on a state
+that another has changed is made anew.
 """
 
 from __future__ import annotations
 
-import json
+import time
 import uuid
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeflow.operators.upsert import absent_rows, restrict_to_spans
-from gaugeflow.schema import ALERT_KEY, FACT, FACT_KEY, GOLD
+from gaugeflow.operators.upsert import absent_rows, day_spans, within_spans
+from gaugeflow.schema import ALERT_KEY, FACT, FACT_KEY, GOLD, RECENT_READINGS, STATION_DAYS
 from gaugeflow.sources import files
+from gaugeflow.sources.commits import CommitLog, Conflict
 
 _RUN = T.StructField("run_id", T.StringType(), True)
 _BATCH = T.StructField("batch_id", T.LongType(), True)
@@ -31,93 +38,306 @@ PUBLISHED = {
     **{name: schema for name, schema in GOLD.items() if name != "station_alerts"},
     "hourly_activity": ACTIVITY,
 }
+#: Tables of a version that only later folds read.
+INTERNAL = {"recent_readings": RECENT_READINGS}
+
 
+@dataclass(frozen=True)
+class Appended:
+    """A table that grows by parts: its columns, its date, and folders inside a part."""
 
-def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> None:
-    """Replace the partitions present in ``df``.
+    schema: T.StructType
+    day: str
+    inner: tuple[str, ...] = ()
 
-    Rows are rebalanced by the partition columns: small partitions end up in one file each and a
-    large one is split over several tasks at run time.
-    """
-    (
-        df.hint("rebalance", *columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*columns)
-        .parquet(path)
-    )
+
+APPENDED = {
+    "facts": Appended(T.StructType([*FACT.fields, _RUN]), "event_date"),
+    "archive": Appended(T.StructType([*FACT.fields, _RUN]), "event_date", ("city",)),
+    "alerts": Appended(
+        T.StructType([*GOLD["station_alerts"].fields, _ALERT_DATE, _RUN, _BATCH]), "alert_date"
+    ),
+    "station_days": Appended(STATION_DAYS, "event_date"),
+}
 
 
 class StationStore:
     """Tables under one root folder. Run ids may hold letters, digits, dots, dashes, underscores."""
 
-    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 5) -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        keep_versions: int = 5,
+        merge_at: int = 8,
+        retain_seconds: int = 24 * 3600,
+    ) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.keep_versions = keep_versions
+        #: So many parts of one size class and date become one of the next class.
+        self.merge_at = merge_at
+        #: Replaced parts stay so long, for readers of an earlier state.
+        self.retain_seconds = retain_seconds
+        self._log = CommitLog(spark, f"{self.root}/commits")
 
-    # -- appended tables ------------------------------------------------------------------
+    def _state(self) -> dict:
+        return self._log.read()[1]
 
-    def _read(self, table: str, schema: T.StructType) -> DataFrame:
-        path = f"{self.root}/{table}"
-        if not files.exists(self.spark, path):
+    # -- parts ----------------------------------------------------------------------------
+
+    @staticmethod
+    def _entries(state: dict, table: str, days: Iterable[str] | None) -> list[tuple[str, dict]]:
+        by_day = state.get("parts", {}).get(table, {})
+        wanted = by_day if days is None else sorted(set(days))
+        return [(day, entry) for day in wanted for entry in by_day.get(day, ())]
+
+    def _folder(self, table: str, day: str, part: str) -> str:
+        return f"{self.root}/{table}/part={part}/{APPENDED[table].day}={day}"
+
+    def _read_parts(self, table: str, parts: list[tuple[str, str]]) -> DataFrame:
+        """Rows of these (day, part)."""
+        schema = APPENDED[table].schema
+        if not parts:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        base = f"{self.root}/{table}"
+        paths = [self._folder(table, day, part) for day, part in parts]
+        rows = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+        return rows.select(*schema.names)
+
+    def _rows(self, table: str, state: dict, days: Iterable[str] | None = None) -> DataFrame:
+        entries = self._entries(state, table, days)
+        return self._read_parts(table, [(day, entry["part"]) for day, entry in entries])
+
+    def _write_part(self, table: str, df: DataFrame, days: Iterable[str]) -> tuple[str, list[str]]:
+        """Writes the rows of ``df`` as a new part and returns it with the dates that it has.
+
+        Rows are rebalanced by the partition columns: small partitions end up in one file each and
+        a large one is split over several tasks at run time.
+        """
+        part, kind = uuid.uuid4().hex, APPENDED[table]
+        columns = [kind.day, *kind.inner]
+        # A folder of its own, so that writers do not meet in one output folder.
+        (
+            df.select(*kind.schema.names)
+            .hint("rebalance", *columns)
+            .write.partitionBy(*columns)
+            .parquet(f"{self.root}/{table}/part={part}")
+        )
+        found = [d for d in days if files.exists(self.spark, self._folder(table, d, part))]
+        return part, found
+
+    def _drop_part(self, table: str, part: str, days: Iterable[str]) -> None:
+        for day in days:
+            files.delete(self.spark, self._folder(table, day, part))
+        folder = f"{self.root}/{table}/part={part}"
+        if not any("=" in name for name in files.names(self.spark, folder)):
+            files.delete(self.spark, folder)
+
+    def _append(
+        self,
+        table: str,
+        run_id: str,
+        batch_id: int,
+        days: list[str],
+        rows: Callable[[DataFrame], DataFrame],
+        alone: bool = False,
+        pending: bool = False,
+    ) -> None:
+        """Stores what ``rows`` makes of the table's other rows on these dates.
+
+        alone: the rows do not depend on the others, so other writers do not matter.
+        """
+        own = [run_id, batch_id]
+
+        def others(state: dict) -> list[tuple[str, str]]:
+            entries = self._entries(state, table, days)
+            return [(day, entry["part"]) for day, entry in entries if entry["by"] != own]
+
+        def write() -> bool:
+            known = others(self._state())
+            fresh = rows(self._read_parts(table, known))
+            fresh = fresh.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id)})
+            part, found = self._write_part(table, fresh, days)
+
+            def change(state: dict) -> dict:
+                if not alone and others(state) != known:
+                    raise Conflict
+                _replace(state, table, own, {day: part for day in found})
+                if pending:
+                    state.setdefault("pending", {})[_batch_key(run_id, batch_id)] = found
+                return state
+
+            try:
+                self._log.commit(change)
+            except Conflict:
+                self._drop_part(table, part, found)
+                return False
+            return True
+
+        while not write():
+            pass
+
+    def _own_rows(
+        self, table: str, run_id: str, batch_id: int, days: Iterable[str] | None = None
+    ) -> DataFrame:
+        """Stored rows of one batch, from its own parts or, once these are merged, by column."""
+        state = self._state()
+        entries = self._entries(state, table, days)
+        own = [(d, e["part"]) for d, e in entries if e["by"] == [run_id, batch_id]]
+        if own:
+            return self._read_parts(table, own)
+        if not self._held(state, run_id, batch_id):
+            return self._read_parts(table, [])
+        return self._rows(table, state, days).filter(self._own(run_id, batch_id))
 
     @staticmethod
     def _own(run_id: str, batch_id: int) -> Column:
         return (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
 
-    def _own_rows(
-        self, table: str, outer_folders: int, run_id: str, batch_id: int
-    ) -> DataFrame:
-        """Stored fact rows of one batch; only its own partition folders are listed."""
-        base = f"{self.root}/{table}"
-        pattern = f"{base}{'/*' * outer_folders}/run_id={run_id}/batch_id={batch_id}"
-        if not files.matches(self.spark, pattern):
-            return self.spark.createDataFrame([], FACT)
-        schema = T.StructType([*FACT.fields, _RUN])
-        rows = self.spark.read.schema(schema).option("basePath", base).parquet(pattern)
-        return rows.select(*FACT.names)
+    def compact(self, table: str, days: Iterable[str] | None = None) -> int:
+        """Merges small parts of these dates; returns how many parts went into larger ones.
 
-    def _facts(self) -> DataFrame:
-        return self._read("facts", T.StructType([*FACT.fields, _RUN]))
+        Parts of a batch that is still pending stay as they are. Merged parts leave the state at
+        once and their folders later (``retain_seconds``).
+        """
+        merged = 0
+        state = self._state()
+        busy = [list(_batch_of(key)) for key in state.get("pending", {})]
+        for day in sorted(set(day for day, _ in self._entries(state, table, days))):
+            classes: dict[int, list[str]] = {}
+            for _, entry in self._entries(state, table, [day]):
+                if entry["by"] not in busy:
+                    classes.setdefault(entry["class"], []).append(entry["part"])
+            for size, parts in sorted(classes.items()):
+                if len(parts) >= self.merge_at:
+                    merged += self._merge(table, day, size, parts)
+        return merged
+
+    def _merge(self, table: str, day: str, size: int, parts: list[str]) -> int:
+        rows = self._read_parts(table, [(day, part) for part in parts])
+        new, found = self._write_part(table, rows, [day])
+
+        def change(state: dict) -> dict:
+            entries = state["parts"][table][day]
+            if not set(parts) <= {entry["part"] for entry in entries}:
+                raise Conflict
+            kept = [entry for entry in entries if entry["part"] not in parts]
+            made = [{"part": new, "by": None, "class": size + 1} for _ in found]
+            state["parts"][table][day] = [*made, *kept]
+            _discard(state, [[table, day, part] for part in parts])
+            return state
+
+        try:
+            state = self._log.commit(change)
+        except Conflict:
+            self._drop_part(table, new, found)
+            return 0
+        self._sweep(state)
+        return len(parts)
+
+    def _sweep(self, state: dict) -> None:
+        """Removes the folders of parts that were replaced long enough ago."""
+        until = time.time() - self.retain_seconds
+        old = [item for at, item in state.get("discarded", ()) if at <= until]
+        if not old:
+            return
+        for table, day, part in old:
+            self._drop_part(table, part, [day])
+
+        def change(state: dict) -> dict:
+            state["discarded"] = [d for d in state["discarded"] if d[1] not in old]
+            return state
+
+        self._log.commit(change)
+
+    # -- appended tables ------------------------------------------------------------------
 
-    def facts(self) -> DataFrame:
-        return self._facts().select(*FACT.names)
+    def facts(self, days: Iterable[str] | None = None) -> DataFrame:
+        """All stored facts, or those of some dates (ISO text): only their parts are opened."""
+        return self._rows("facts", self._state(), days).select(*FACT.names)
 
-    def facts_without(self, *batches: tuple[str, int]) -> DataFrame:
-        rows = self._facts()
+    def facts_without(
+        self, *batches: tuple[str, int], days: Iterable[str] | None = None
+    ) -> DataFrame:
+        rows = self._rows("facts", self._state(), days)
         for run_id, batch_id in batches:
             rows = rows.filter(~self._own(run_id, batch_id))
         return rows.select(*FACT.names)
 
     def facts_of(self, batches: list[tuple[str, int]]) -> DataFrame:
         """Facts of these batches alone, each at the number its own run gave it."""
-        parts = [self._own_rows("facts", 1, run_id, batch_id) for run_id, batch_id in batches]
-        return reduce(DataFrame.unionByName, parts)
+        pending = self._state().get("pending", {})
+        parts = [
+            self._own_rows("facts", run, number, pending.get(_batch_key(run, number)))
+            for run, number in batches
+        ]
+        return reduce(DataFrame.unionByName, parts).select(*FACT.names)
 
-    # -- batches under way ----------------------------------------------------------------
+    def append_facts(self, batch: DataFrame, run_id: str, batch_id: int) -> DataFrame:
+        """Store the rows whose key is new and return them; the first writer of a key wins.
+
+        ``batch`` is unique on the key and read twice, so persist it when it is costly to make.
+        """
+        spans = day_spans(batch, "event_date", "snapshot_timestamp")
+        days = _days(spans, "event_date")
+
+        def fresh(others: DataFrame) -> DataFrame:
+            known = within_spans(others, spans, "event_date", "snapshot_timestamp")
+            return absent_rows(batch.drop("batch_id"), known, FACT_KEY)
+
+        self._append("facts", run_id, batch_id, days, fresh, pending=True)
+        return self._own_rows("facts", run_id, batch_id, days).select(*FACT.names)
+
+    def append_archive(self, batch: DataFrame, run_id: str, batch_id: int) -> DataFrame:
+        """Store every row of the batch and return them as read back."""
+        days = _days(batch.select("event_date").distinct().collect(), "event_date")
+        if not self.holds(run_id, batch_id):
+            self._append("archive", run_id, batch_id, days, lambda _: batch, alone=True)
+        return self._own_rows("archive", run_id, batch_id, days).select(*FACT.names)
+
+    def archive(self) -> DataFrame:
+        return self._rows("archive", self._state()).select(*FACT.names)
+
+    def alerts(self) -> DataFrame:
+        return self._rows("alerts", self._state()).select(*GOLD["station_alerts"].names)
+
+    def append_alerts(self, alerts: DataFrame, run_id: str, batch_id: int) -> None:
+        """Store the alerts whose (station, snapshot, type) is new."""
+        dated = alerts.withColumn("alert_date", F.to_date("snapshot_timestamp"))
+        spans = day_spans(dated, "alert_date", "snapshot_timestamp")
+
+        def fresh(others: DataFrame) -> DataFrame:
+            known = within_spans(others, spans, "alert_date", "snapshot_timestamp")
+            return absent_rows(dated, known, ALERT_KEY)
 
-    @property
-    def _announced(self) -> str:
-        return f"{self.root}/gold-pending"
+        self._append("alerts", run_id, batch_id, _days(spans, "alert_date"), fresh)
+
+    # -- batches under way ----------------------------------------------------------------
 
     def announce(self, run_id: str, batch_id: int) -> None:
-        files.touch(self.spark, f"{self._announced}/{run_id}={batch_id}")
+        """Notes that a batch is under way; it is pending once its facts are stored."""
+
+        def change(state: dict) -> dict:
+            state.setdefault("pending", {}).setdefault(_batch_key(run_id, batch_id), None)
+            return state
+
+        self._log.commit(change)
 
     def pending(self) -> list[tuple[str, int]]:
-        """Announced batches that the current version does not hold."""
-        found = []
-        for name in files.names(self.spark, self._announced):
-            run_id, _, batch_id = name.rpartition("=")
-            if batch_id.isdigit() and not self.holds(run_id, int(batch_id)):
-                found.append((run_id, int(batch_id)))
-        return sorted(found)
+        """Batches whose facts are stored and that the current version does not hold."""
+        state = self._state()
+        stored = {key: days for key, days in state.get("pending", {}).items() if days is not None}
+        batches = [_batch_of(key) for key in stored]
+        return sorted(batch for batch in batches if not self._held(state, *batch))
 
     def holds(self, run_id: str, batch_id: int) -> bool:
         """Whether the current version contains the batch."""
-        versions = self._versions()
+        return self._held(self._state(), run_id, batch_id)
+
+    @staticmethod
+    def _held(state: dict, run_id: str, batch_id: int) -> bool:
+        versions = state.get("versions")
         return bool(versions) and any(
             first <= batch_id <= last for first, last in versions[0]["holds"].get(run_id, [])
         )
@@ -125,7 +345,8 @@ class StationStore:
     def stored_batches(self) -> dict[str, list[list[int]]]:
         """Numbers of all stored batches per run, as ranges. Batches follow each other, so a run
         is one range, or a few where batches had no new row."""
-        numbers = self._facts().select("run_id", "batch_id").distinct()
+        facts = self._rows("facts", self._state())
+        numbers = facts.select("run_id", "batch_id").distinct()
         per_run = Window.partitionBy("run_id").orderBy("batch_id")
         island = F.col("batch_id") - F.row_number().over(per_run)
         ranges = (
@@ -139,69 +360,16 @@ class StationStore:
             held.setdefault(row.run_id, []).append([row.first, row.last])
         return held
 
-    def append_facts(self, batch: DataFrame, run_id: str, batch_id: int) -> DataFrame:
-        """Store the rows whose key is new and return them; the first writer of a key wins.
-
-        ``batch`` is unique on the key and read twice, so persist it when it is costly to make.
-        """
-        others = self.facts_without((run_id, batch_id))
-        known = restrict_to_spans(others, batch, "event_date", "snapshot_timestamp")
-        fresh = absent_rows(batch.drop("batch_id"), known, FACT_KEY)
-        write_partitioned(
-            fresh.withColumns(
-                {"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")}
-            ),
-            f"{self.root}/facts",
-            ["event_date", "run_id", "batch_id"],
-        )
-        return self._own_rows("facts", 1, run_id, batch_id)
-
-    def append_archive(self, batch: DataFrame, run_id: str, batch_id: int) -> DataFrame:
-        """Store every row of the batch and return them as read back."""
-        write_partitioned(
-            batch.withColumns(
-                {"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")}
-            ),
-            f"{self.root}/archive",
-            ["event_date", "city", "run_id", "batch_id"],
-        )
-        return self._own_rows("archive", 2, run_id, batch_id)
-
-    def archive(self) -> DataFrame:
-        return self._read("archive", T.StructType([*FACT.fields, _RUN])).select(*FACT.names)
-
-    def _alerts(self) -> DataFrame:
-        fields = [*GOLD["station_alerts"].fields, _ALERT_DATE, _RUN, _BATCH]
-        return self._read("alerts", T.StructType(fields))
-
-    def alerts(self) -> DataFrame:
-        return self._alerts().select(*GOLD["station_alerts"].names)
-
-    def append_alerts(self, alerts: DataFrame, run_id: str, batch_id: int) -> None:
-        """Store the alerts whose (station, snapshot, type) is new."""
-        dated = alerts.withColumn("alert_date", F.to_date("snapshot_timestamp"))
-        others = self._alerts().filter(~self._own(run_id, batch_id))
-        known = restrict_to_spans(others, dated, "alert_date", "snapshot_timestamp")
-        fresh = absent_rows(dated, known, ALERT_KEY)
-        write_partitioned(
-            fresh.withColumns(
-                {"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")}
-            ),
-            f"{self.root}/alerts",
-            ["alert_date", "run_id", "batch_id"],
-        )
-
     # -- published versions ---------------------------------------------------------------
 
-    @property
-    def _pointer(self) -> str:
-        return f"{self.root}/gold/current.json"
-
     def _versions(self) -> list[dict]:
         """Newest first; at most ``keep_versions`` entries, each of another batch."""
-        if not files.exists(self.spark, self._pointer):
-            return []
-        return json.loads(files.read_text(self.spark, self._pointer))
+        return self._state().get("versions", [])
+
+    def current(self) -> str | None:
+        """The folder of the current version."""
+        versions = self._versions()
+        return versions[0]["path"] if versions else None
 
     def new_version(self) -> str:
         return f"{self.root}/gold/{uuid.uuid4().hex}"
@@ -209,7 +377,16 @@ class StationStore:
     def write_version(self, version: str, table: str, df: DataFrame) -> DataFrame:
         """Write one table of an unpublished version and read it back."""
         df.write.parquet(f"{version}/{table}")
-        return self.spark.read.schema(PUBLISHED[table]).parquet(f"{version}/{table}")
+        return self._table({"path": version}, table)
+
+    def write_station_days(self, rows: DataFrame, days: list[str]) -> dict[str, str]:
+        """Write whole dates of the station days; they count once a version with them is out."""
+        part, found = self._write_part("station_days", rows, days)
+        return dict.fromkeys(found, part)
+
+    def station_days(self, days: Iterable[str] | None = None) -> DataFrame:
+        """First and last reading of each station and date, as the current version has them."""
+        return self._rows("station_days", self._state(), days)
 
     def publish(
         self,
@@ -218,35 +395,52 @@ class StationStore:
         batch_id: int,
         batches: list[tuple[str, int]] | None = None,
         rebuilt: bool = False,
+        based_on: str | None = None,
+        station_days: dict[str, str] | None = None,
     ) -> None:
         """Make a complete version the current one.
 
         It holds ``batches`` besides what the version before it held or, when ``rebuilt``, besides
-        every stored batch. Versions past the kept ones, and folders of versions that were never
-        published, are removed.
+        every stored batch. ``station_days`` are the parts of the dates that it has anew. Raises
+        `Conflict` if the current version is not the one it was folded from (``based_on``; a
+        rebuilt one is based on none). Versions past the kept ones, and folders of versions that
+        were never published, are removed.
         """
-        old = self._versions()
-        held = self.stored_batches() if rebuilt else (old[0]["holds"] if old else {})
-        for run, number in batches or [(run_id, batch_id)]:
-            held = _with_batch(held, run, number)
-        entry = {"path": version, "run_id": run_id, "batch_id": batch_id, "holds": held}
-        # Only the current version needs its list, and a repeat takes the place of its own entry.
-        others = [
-            {**e, "holds": {}} for e in old if (e["run_id"], e["batch_id"]) != (run_id, batch_id)
-        ]
-        kept = [entry, *others][: self.keep_versions]
-        files.replace_text(self.spark, self._pointer, json.dumps(kept))
-        for run, number in batches or [(run_id, batch_id)]:
-            files.delete(self.spark, f"{self._announced}/{run}={number}")
+        stored = self.stored_batches() if rebuilt else None
+        done = batches or [(run_id, batch_id)]
+
+        def change(state: dict) -> dict:
+            old = state.get("versions", [])
+            if not rebuilt and based_on != (old[0]["path"] if old else None):
+                raise Conflict
+            held = stored if rebuilt else (old[0]["holds"] if old else {})
+            for run, one in done:
+                held = _with_batch(held, run, one)
+            entry = {"path": version, "run_id": run_id, "batch_id": batch_id, "holds": held}
+            # Only the current version needs its list; a repeat takes the place of its own entry.
+            others = [
+                {**e, "holds": {}} for e in old if (e["run_id"], e["batch_id"]) != (run_id, batch_id)
+            ]
+            state["versions"] = [entry, *others][: self.keep_versions]
+            pending = state.get("pending", {})
+            state["pending"] = {
+                key: days for key, days in pending.items() if not self._held(state, *_batch_of(key))
+            }
+            _replace_days(state, station_days or {}, whole=rebuilt)
+            return state
+
+        kept = self._log.commit(change)["versions"]
         current = {e["path"].rpartition("/")[2] for e in kept}
+        # Another writer's version that goes here could not have been published any more.
         for name in files.names(self.spark, f"{self.root}/gold"):
             if len(name) == 32 and name not in current:
                 files.delete(self.spark, f"{self.root}/gold/{name}")
 
     def _table(self, version: dict | None, table: str) -> DataFrame:
+        schema = (PUBLISHED | INTERNAL)[table]
         if version is None:
-            return self.spark.createDataFrame([], PUBLISHED[table])
-        return self.spark.read.schema(PUBLISHED[table]).parquet(f"{version['path']}/{table}")
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{version['path']}/{table}")
 
     def gold(self, table: str) -> DataFrame:
         """A table of the current version; empty with its declared columns before the first."""
@@ -254,6 +448,45 @@ class StationStore:
         return self._table(versions[0] if versions else None, table)
 
 
+def _batch_key(run_id: str, batch_id: int) -> str:
+    return f"{run_id}={batch_id}"
+
+
+def _batch_of(key: str) -> tuple[str, int]:
+    run_id, _, batch_id = key.rpartition("=")
+    return run_id, int(batch_id)
+
+
+def _days(rows: Sequence[Row], column: str) -> list[str]:
+    return sorted(row[column].isoformat() for row in rows if row[column] is not None)
+
+
+def _discard(state: dict, items: list[list[str]]) -> None:
+    now = time.time()
+    state["discarded"] = [*state.get("discarded", ()), *([now, item] for item in items)]
+
+
+def _replace(state: dict, table: str, own: list, parts: dict[str, str]) -> None:
+    """The batch's parts, in place of those that it had."""
+    by_day = state.setdefault("parts", {}).setdefault(table, {})
+    for day in list(by_day):
+        old = [entry for entry in by_day[day] if entry["by"] == own]
+        if old:
+            by_day[day] = [entry for entry in by_day[day] if entry["by"] != own]
+            _discard(state, [[table, day, entry["part"]] for entry in old])
+    for day, part in parts.items():
+        by_day.setdefault(day, []).append({"part": part, "by": own, "class": 0})
+
+
+def _replace_days(state: dict, parts: dict[str, str], whole: bool) -> None:
+    """Station days of these dates, in place of what the dates had (whole: in place of all)."""
+    by_day = state.setdefault("parts", {}).setdefault("station_days", {})
+    for day in list(by_day) if whole else [day for day in parts if day in by_day]:
+        _discard(state, [["station_days", day, e["part"]] for e in by_day.pop(day)])
+    for day, part in parts.items():
+        by_day[day] = [{"part": part, "by": None, "class": 0}]
+
+
 def _with_batch(
     held: dict[str, list[list[int]]], run_id: str, batch_id: int
 ) -> dict[str, list[list[int]]]:
