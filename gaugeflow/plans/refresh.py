@@ -111,7 +111,7 @@ def refresh_all(
         store.spark,
         lambda: version.write("latest_station_status", latest_status(facts)),
         lambda: version.write("hourly_activity", hourly_activity(facts)),
-        lambda: store.write_station_days(station_days(facts), _dates(facts)),
+        lambda: store.write_station_days(station_days(facts)),
     )
     near = recent_history(latest, facts, params)
     none = store.spark.createDataFrame([], INTERNAL["recent_readings"])
@@ -189,9 +189,7 @@ def _fold(
             "hourly_activity",
             fold_activity(store.gold("hourly_activity"), fresh, known, history, days),
         ),
-        lambda: store.write_station_days(
-            fold_station_days(store.station_days(dates), fresh), dates
-        ),
+        lambda: store.write_station_days(fold_station_days(store.station_days(dates), fresh)),
     )
     recent = version.write(
         "recent_readings", fold_recent(store.gold("recent_readings"), fresh, latest, params)

@@ -109,7 +109,7 @@ class StationStore:
         entries = self._entries(state, table, days)
         return self._read_parts(table, [(day, entry["part"]) for day, entry in entries])
 
-    def _write_part(self, table: str, df: DataFrame, days: Iterable[str]) -> tuple[str, list[str]]:
+    def _write_part(self, table: str, df: DataFrame) -> tuple[str, list[str]]:
         """Writes the rows of ``df`` as a new part and returns it with the dates that it has.
 
         Rows are rebalanced by the partition columns: small partitions end up in one file each and
@@ -124,8 +124,8 @@ class StationStore:
             .write.partitionBy(*columns)
             .parquet(f"{self.root}/{table}/part={part}")
         )
-        found = [d for d in days if files.exists(self.spark, self._folder(table, d, part))]
-        return part, found
+        folders = files.names(self.spark, f"{self.root}/{table}/part={part}")
+        return part, sorted(n.partition("=")[2] for n in folders if n.startswith(f"{kind.day}="))
 
     def _drop_part(self, table: str, part: str, days: Iterable[str]) -> None:
         for day in days:
@@ -146,7 +146,7 @@ class StationStore:
     ) -> None:
         """Stores what ``rows`` makes of the table's other rows on these dates.
 
-        alone: the rows do not depend on the others, so other writers do not matter.
+        alone: the rows do not depend on the others, so these are not read.
         """
         own = [run_id, batch_id]
 
@@ -155,10 +155,10 @@ class StationStore:
             return [(day, entry["part"]) for day, entry in entries if entry["by"] != own]
 
         def write() -> bool:
-            known = others(self._state())
+            known = [] if alone else others(self._state())
             fresh = rows(self._read_parts(table, known))
             fresh = fresh.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id)})
-            part, found = self._write_part(table, fresh, days)
+            part, found = self._write_part(table, fresh)
 
             def change(state: dict) -> dict:
                 if not alone and others(state) != known:
@@ -216,7 +216,7 @@ class StationStore:
 
     def _merge(self, table: str, day: str, size: int, parts: list[str]) -> int:
         rows = self._read_parts(table, [(day, part) for part in parts])
-        new, found = self._write_part(table, rows, [day])
+        new, found = self._write_part(table, rows)
 
         def change(state: dict) -> dict:
             entries = state["parts"][table][day]
@@ -290,11 +290,10 @@ class StationStore:
         return self._own_rows("facts", run_id, batch_id, days).select(*FACT.names)
 
     def append_archive(self, batch: DataFrame, run_id: str, batch_id: int) -> DataFrame:
-        """Store every row of the batch and return them as read back."""
-        days = _days(batch.select("event_date").distinct().collect(), "event_date")
+        """Store every row of the batch and return them as read back; ``batch`` is read once."""
         if not self.holds(run_id, batch_id):
-            self._append("archive", run_id, batch_id, days, lambda _: batch, alone=True)
-        return self._own_rows("archive", run_id, batch_id, days).select(*FACT.names)
+            self._append("archive", run_id, batch_id, [], lambda _: batch, alone=True)
+        return self._own_rows("archive", run_id, batch_id).select(*FACT.names)
 
     def archive(self) -> DataFrame:
         return self._rows("archive", self._state()).select(*FACT.names)
@@ -379,9 +378,9 @@ class StationStore:
         df.write.parquet(f"{version}/{table}")
         return self._table({"path": version}, table)
 
-    def write_station_days(self, rows: DataFrame, days: list[str]) -> dict[str, str]:
+    def write_station_days(self, rows: DataFrame) -> dict[str, str]:
         """Write whole dates of the station days; they count once a version with them is out."""
-        part, found = self._write_part("station_days", rows, days)
+        part, found = self._write_part("station_days", rows)
         return dict.fromkeys(found, part)
 
     def station_days(self, days: Iterable[str] | None = None) -> DataFrame:
