@@ -2,8 +2,9 @@
 
 The sketch of a metric is a histogram of integers with a relative width of 1/32: values below 64
 have a bucket each, larger ones share it with those that have the same first six bits. Sketches of
-two sets of rows are merged by adding their counts, so a hot source is summed within each map task,
-and a source with few documents can use the sketch of its language, or of everything.
+two sets of rows are merged by adding their counts, so a hot source is summed within each map task.
+The fences of a source lean towards those of its language, and these towards those of everything,
+the more the fewer documents there are.
 """
 
 from __future__ import annotations
@@ -22,25 +23,26 @@ _SALTS = 32
 
 @dataclass(frozen=True)
 class Metric:
-    """An integer expression and how far beyond the quartiles a document may lie.
+    """An integer expression and how far from the middle of its group a document may lie.
 
-    The fences are at `reach` interquartile ranges from the quartiles; a range under `spread`
-    counts as spread, so that a group of equal values does not reject its neighbours.
+    The upper fence is `reach` interquartile ranges above the upper quartile, or the quantile of
+    `tail` in 1,000 where that is higher, as it is where most values are equal; the lower fence is
+    its mirror image. Both are edges of the sketch's buckets.
     """
 
     name: str
     sql: str
-    spread: int
+    tail: int
     reach: int = 3
     low_side: bool = False
 
 
 #: Shares are in units of 1/10,000, the word length in 1/100 characters.
 METRICS = (
-    Metric("symbols", "n_symbols * 10000 div greatest(word_chars, 1)", spread=500),
-    Metric("dup_lines", "n_dup_lines * 10000 div greatest(n_lines, 1)", spread=1000),
-    Metric("repeats", "n_repeat_words * 10000 div greatest(n_words, 1)", spread=500),
-    Metric("word_length", "word_chars * 100 div greatest(n_words, 1)", spread=100, low_side=True),
+    Metric("symbols", "n_symbols * 10000 div greatest(word_chars, 1)", tail=950),
+    Metric("dup_lines", "n_dup_lines * 10000 div greatest(n_lines, 1)", tail=990),
+    Metric("repeats", "n_repeat_words * 10000 div greatest(n_words, 1)", tail=990),
+    Metric("word_length", "word_chars * 100 div greatest(n_words, 1)", tail=950, low_side=True),
 )
 
 
@@ -129,8 +131,9 @@ def thresholds(
 ) -> DataFrame:
     """Fences per (lang_key, source_key) that occurs: <metric>_low and <metric>_high.
 
-    A group with fewer than min_group documents takes the fences of its language, and a language
-    with fewer takes those of all documents.
+    The fence of a language with n documents is the mean of its own, which counts n times, and that
+    of all documents, which counts min_group times; that of a group is the mean of its own and that
+    of its language in the same way.
     """
     keys = ["lang_key", "source_key", "metric", "low", "width"]
     levels = [
@@ -144,18 +147,29 @@ def thresholds(
     running = merged.withColumns(
         {"total": F.sum("n").over(group), "upto": F.sum("n").over(group.orderBy("low"))}
     )
-    # The first bucket that a quartile lies in; one row per bucket, so at most some 2,000 a group.
-    quartiles = running.groupBy("level", "lang_key", "source_key", "metric", "total").agg(
-        F.min(F.when(4 * F.col("upto") >= F.col("total"), F.col("low"))).alias("q1"),
-        F.min(
-            F.when(4 * F.col("upto") >= 3 * F.col("total"), F.col("low") + F.col("width") - 1)
-        ).alias("q3"),
-    )
     rules = F.col("metric")
-    spread = F.coalesce(*(F.when(rules == m.name, F.lit(m.spread)) for m in metrics))
+    tail = F.coalesce(*(F.when(rules == m.name, F.lit(m.tail)) for m in metrics))
     reach = F.coalesce(*(F.when(rules == m.name, F.lit(m.reach)) for m in metrics))
-    margin = reach * F.greatest(F.col("q3") - F.col("q1"), spread)
-    fenced = quartiles.withColumns({"lowest": F.col("q1") - margin, "highest": F.col("q3") + margin})
+
+    def first(share: Column | int, edge: Column) -> Column:
+        """The edge of the first bucket up to which `share` in 1,000 documents lie."""
+        return F.min(F.when(1000 * F.col("upto") >= share * F.col("total"), edge))
+
+    lower, upper = F.col("low"), F.col("low") + F.col("width") - 1
+    # One row per bucket, so at most some 2,000 a group.
+    quantiles = running.groupBy("level", "lang_key", "source_key", "metric", "total").agg(
+        first(250, lower).alias("q1"),
+        first(750, upper).alias("q3"),
+        first(1000 - tail, lower).alias("bottom"),
+        first(tail, upper).alias("top"),
+    )
+    margin = reach * (F.col("q3") - F.col("q1"))
+    fenced = quantiles.withColumns(
+        {
+            "lowest": F.greatest(F.least(F.col("q1") - margin, "bottom"), F.lit(0)),
+            "highest": F.greatest(F.col("q3") + margin, "top"),
+        }
+    )
     wide = fenced.groupBy("level", "lang_key", "source_key", "total").agg(
         *(
             F.max(F.when(rules == m.name, F.col(side))).alias(f"{m.name}_{end}")
@@ -163,28 +177,31 @@ def thresholds(
             for side, end in (("lowest", "low"), ("highest", "high"))
         )
     )
-    fences = F.struct(*(f"{m.name}_{end}" for m in metrics for end in ("low", "high")))
+    names = [f"{m.name}_{end}" for m in metrics for end in ("low", "high")]
     by_level = [
         wide.filter(F.col("level") == k).select(
             F.col("lang_key").alias("lang_key"),
             F.col("source_key").alias("source_key"),
             F.col("total").alias(f"total{k}"),
-            fences.alias(f"fences{k}"),
+            *(F.col(name).alias(f"{name}{k}") for name in names),
         )
         for k in range(3)
     ]
-    chosen = (
+    every = F.lit("*") == F.col("all")
+    joined = (
         by_level[0]
         .join(by_level[1].drop("source_key"), "lang_key")
-        .join(by_level[2].select(F.lit("*").alias("all"), "fences2"), F.lit("*") == F.col("all"))
-        .withColumn(
-            "fences",
-            F.when(F.col("total0") >= min_group, F.col("fences0"))
-            .when(F.col("total1") >= min_group, F.col("fences1"))
-            .otherwise(F.col("fences2")),
-        )
+        .join(by_level[2].withColumn("all", F.lit("*")).drop("lang_key", "source_key"), every)
+    )
+
+    def towards(own: str, total: str, wider: str) -> str:
+        return f"(({own}) * {total} + ({wider}) * {min_group}L) div ({total} + {min_group}L)"
+
+    fences = (
+        F.expr(towards(f"{n}0", "total0", towards(f"{n}1", "total1", f"{n}2"))).alias(n)
+        for n in names
     )
-    return chosen.select("lang_key", "source_key", "fences.*")
+    return joined.select("lang_key", "source_key", *fences)
 
 
 def judge(
@@ -242,7 +259,7 @@ def oracle_sql(min_group: int = 200, metrics: tuple[Metric, ...] = METRICS) -> s
     values = " UNION ALL ".join(
         f"SELECT doc_id, lang_key, source_key, '{m.name}' AS metric, "
         f"({m.sql.replace(' div ', ' // ')})::BIGINT AS value, "
-        f"{m.spread} AS spread, {m.reach} AS reach, {m.low_side} AS low_side, base_failed FROM base"
+        f"{m.tail} AS tail, {m.reach} AS reach, {m.low_side} AS low_side, base_failed FROM base"
         for m in metrics
     )
     return f"""
@@ -282,36 +299,45 @@ def oracle_sql(min_group: int = 200, metrics: tuple[Metric, ...] = METRICS) -> s
     buckets AS (
         SELECT *, value - value % width AS low FROM measured WHERE NOT base_failed),
     levels AS (
-        SELECT 0 AS level, lang_key, source_key, metric, spread, reach, low, width FROM buckets
+        SELECT 0 AS level, lang_key, source_key, metric, tail, reach, low, width FROM buckets
         UNION ALL
-        SELECT 1, lang_key, '*', metric, spread, reach, low, width FROM buckets
+        SELECT 1, lang_key, '*', metric, tail, reach, low, width FROM buckets
         UNION ALL
-        SELECT 2, '*', '*', metric, spread, reach, low, width FROM buckets),
+        SELECT 2, '*', '*', metric, tail, reach, low, width FROM buckets),
     merged AS (
-        SELECT level, lang_key, source_key, metric, spread, reach, low, width, count(*) AS n
+        SELECT level, lang_key, source_key, metric, tail, reach, low, width, count(*) AS n
         FROM levels GROUP BY ALL),
     running AS (
-        SELECT *, sum(n) OVER g AS total, sum(n) OVER (g ORDER BY low) AS upto FROM merged
+        SELECT *, (sum(n) OVER g)::BIGINT AS total,
+            (sum(n) OVER (g ORDER BY low))::BIGINT AS upto FROM merged
         WINDOW g AS (PARTITION BY level, lang_key, source_key, metric)),
-    quartiles AS (
-        SELECT level, lang_key, source_key, metric, spread, reach, total,
-            min(low) FILTER (4 * upto >= total) AS q1,
-            min(low + width - 1) FILTER (4 * upto >= 3 * total) AS q3
+    quantiles AS (
+        SELECT level, lang_key, source_key, metric, reach, total,
+            min(low) FILTER (1000 * upto >= 250 * total) AS q1,
+            min(low + width - 1) FILTER (1000 * upto >= 750 * total) AS q3,
+            min(low) FILTER (1000 * upto >= (1000 - tail) * total) AS bottom,
+            min(low + width - 1) FILTER (1000 * upto >= tail * total) AS top
         FROM running GROUP BY ALL),
     fences AS (
-        SELECT *, q1 - reach * greatest(q3 - q1, spread) AS lowest,
-            q3 + reach * greatest(q3 - q1, spread) AS highest FROM quartiles),
+        SELECT *, greatest(least(q1 - reach * (q3 - q1), bottom), 0)::BIGINT AS lowest,
+            greatest(q3 + reach * (q3 - q1), top)::BIGINT AS highest FROM quantiles),
+    by_language AS (
+        SELECT l.lang_key, l.metric,
+            (l.lowest * l.total + e.lowest * {min_group}) // (l.total + {min_group}) AS lowest,
+            (l.highest * l.total + e.highest * {min_group}) // (l.total + {min_group}) AS highest
+        FROM fences AS l JOIN fences AS e ON e.level = 2 AND e.metric = l.metric
+        WHERE l.level = 1),
+    by_group AS (
+        SELECT g.lang_key, g.source_key, g.metric,
+            (g.lowest * g.total + l.lowest * {min_group}) // (g.total + {min_group}) AS lowest,
+            (g.highest * g.total + l.highest * {min_group}) // (g.total + {min_group}) AS highest
+        FROM fences AS g JOIN by_language AS l ON l.lang_key = g.lang_key AND l.metric = g.metric
+        WHERE g.level = 0),
     verdicts AS (
         SELECT m.doc_id, bool_and(m.value <= f.highest
             AND (NOT m.low_side OR m.value >= f.lowest)) AS inside
-        FROM measured AS m
-        JOIN fences AS a ON a.level = 0 AND a.metric = m.metric
-            AND a.lang_key = m.lang_key AND a.source_key = m.source_key
-        JOIN fences AS b ON b.level = 1 AND b.metric = m.metric AND b.lang_key = m.lang_key
-        JOIN fences AS f ON f.metric = m.metric AND f.level = CASE
-                WHEN a.total >= {min_group} THEN 0 WHEN b.total >= {min_group} THEN 1 ELSE 2 END
-            AND f.lang_key = CASE WHEN f.level = 2 THEN '*' ELSE m.lang_key END
-            AND f.source_key = CASE WHEN f.level = 0 THEN m.source_key ELSE '*' END
+        FROM measured AS m JOIN by_group AS f ON f.metric = m.metric
+            AND f.lang_key = m.lang_key AND f.source_key = m.source_key
         GROUP BY m.doc_id)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
         NOT base_failed AND coalesce(inside, false) AS kept, n_lines
