@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -134,6 +135,28 @@ def arrow_map(
     return df.mapInArrow(work, schema)
 
 
+def one_by_one(
+    batches: Iterator[pa.RecordBatch], columns: list[str]
+) -> Iterator[tuple[pa.RecordBatch, dict]]:
+    """Each row as a batch and its columns as Python objects; the row before is given back first."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            one = batch.slice(k, 1)
+            yield one, one.select(columns).to_pylist()[0]
+            give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: workers live on, beside others in one executor."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+#: Where the C library has it.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts together and the offsets of each text (one more than texts)."""
     column = column.cast(pa.large_string()) if column.type != pa.large_string() else column

@@ -134,7 +134,10 @@ def _shape(words: int) -> repeats.Shape:
 
 
 def remove_repeats(
-    docs: DataFrame, words: int = WORDS, carry: tuple[str, ...] = ()
+    docs: DataFrame,
+    words: int = WORDS,
+    carry: tuple[str, ...] = (),
+    block_bytes: int = repeats.BLOCK_BYTES,
 ) -> DataFrame:
     """doc_id, text (what stays), n_removed and the carried columns of (doc_id, text, ...).
 
@@ -147,6 +150,7 @@ def remove_repeats(
         _cut,
         "doc_id long, text string, n_removed long",
         carry,
+        block_bytes,
     )
     carried = [F.col(f"carry_{k}").alias(c) for k, c in enumerate(carry)]
     own = ["doc_id", "text"] if "n_removed" in carry else ["doc_id", "text", "n_removed"]

@@ -24,18 +24,19 @@ UNKNOWN = "und"
 _TOGETHER = 128
 _LETTER = "\\p{L}"
 _LETTERED = "__has_letter"
+_HASHES = 1 << 40
 
 
 @dataclass(frozen=True)
 class Training:
     """Bounds and settings of the training. The sample is the only thing that reaches the driver.
 
-    At most `per_language` documents of each of at most `languages` languages are taken, those with
-    the smallest hash of their id, and of each a stretch of at most `sample_chars` characters. Up to
-    1,000 documents per language, the engine cuts the ranks within each map task already.
+    At most `per_language` documents of each of the `languages` most frequent languages are taken,
+    those with the smallest hash of their id, and of each a stretch of at most `sample_chars`
+    characters. Rarer languages are not learned.
     """
 
-    per_language: int = 1000
+    per_language: int = 1500
     languages: int = 200
     sample_chars: int = 500
     epochs: int = 6
@@ -192,17 +193,29 @@ def training_sample(
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(_LETTER))
     if held_out_fold is not None:
         usable = usable.filter(~in_fold(F.col("doc_id"), held_out_fold))
-    order = F.xxhash64("doc_id", "lang")
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    # One row per language, at most `languages` of them, comes to the driver.
+    languages = counts.orderBy(F.desc("n"), "lang").limit(settings.languages).collect()
+    if not languages:
+        return [], []
+    # Hashes under a language's bound are some twice as many as wanted, however many rows it has,
+    # so that ranking them is little work for its one task.
+    bounds = [
+        (lang, min(_HASHES, 2 * (settings.per_language + 50) * _HASHES // n))
+        for lang, n in languages
+    ]
+    bounds = docs.sparkSession.createDataFrame(bounds, "lang string, bound long")
     # A stretch from anywhere in the text, so that openings do not stand for everything.
     room = F.greatest(F.length("text") - settings.sample_chars, F.lit(0)) + 1
     start = F.pmod(F.xxhash64("lang", "doc_id"), room).cast("int") + 1
     part = F.substring(F.col("text"), start, F.lit(settings.sample_chars))
-    ranked = usable.select("lang", order.alias("h"), part.alias("part")).withColumn(
+    order = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(_HASHES))
+    drawn = usable.withColumn("h", order).join(F.broadcast(bounds), "lang")
+    ranked = drawn.filter("h < bound").select("lang", "h", part.alias("part")).withColumn(
         "k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "part"))
     )
     taken = ranked.filter(F.col("k") <= settings.per_language)
-    most = settings.per_language * settings.languages
-    rows = taken.select("lang", "part").orderBy("lang", "h").limit(most).collect()
+    rows = taken.select("lang", "part").orderBy("lang", "h", "part").collect()
     return [row.part for row in rows], [row.lang for row in rows]
 
 

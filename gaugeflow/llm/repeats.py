@@ -102,15 +102,17 @@ class Slices:
 # ---- blocks
 
 
-def pack(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, text) as stored rows of about four megabytes of text each.
+def pack(
+    docs: DataFrame, carry: tuple[str, ...] = (), block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """(doc_id, text) as stored rows of about block_bytes of text each.
 
     Columns to carry along become lists carry_0, carry_1, ..., for the output alone.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, n = zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId() << 32
-        for batch in common.cut_batches(batches, limit=BLOCK_BYTES):
+        for batch in common.cut_batches(batches, limit=block_bytes):
             ids = batch["doc_id"].fill_null(NO_ID).to_numpy(zero_copy_only=False)
             texts = [t.as_buffer() for t in batch["text"].cast(pa.large_binary())]
             sizes = np.array([t.size for t in texts], np.int64)
@@ -340,40 +342,47 @@ def _batch(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
     )
 
 
+#: What the steps below read of a block; columns to carry are left alone.
+_TEXTS = ["block", "ids", "sizes", "packed", "copies"]
+
 # ---- which minimisers more than one document has
 
 
 def anchors(blocks: DataFrame, shape: Shape, buckets: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = unpack(row)
-                got = slices(symbols(block, shape.words), shape, row["copies"])
-                keys, docs = _keys(got.route, buckets), block.ids[got.owner]
-                order = np.argsort(keys, kind="stable")
-                alike, first, _ = _distinct(got)
-                windows = np.zeros(len(keys), np.int64)
-                windows[alike[first]] = got.windows[alike[first]]
-                keys, docs = keys[order], docs[order]
-                fresh = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
-                if not len(fresh):
-                    continue
-                many = np.minimum.reduceat(docs, fresh) != np.maximum.reduceat(docs, fresh)
-                windows = np.add.reduceat(windows[order], fresh)
-                heavy = windows > 2 * shape.choices
-                keys = keys[fresh]
-                bucket, edge = _split(keys)
-                rest = (keys & np.uint64(0xFFFFFFFF)).astype("<u4")
-                spans = list(zip(edge, edge[1:], strict=False))
-                yield _batch(
-                    {
-                        "bucket": (bucket, pa.int32()),
-                        "block": ([row["block"]] * len(bucket), pa.int64()),
-                        "rest": ([rest[a:b].tobytes() for a, b in spans], pa.binary()),
-                        "many": ([np.packbits(many[a:b]).tobytes() for a, b in spans], pa.binary()),
-                        "heavy": ([_heavy(windows[a:b], heavy[a:b]) for a, b in spans], pa.binary()),
-                    }
-                )
+        for _, row in common.one_by_one(batches, _TEXTS):
+            sent = distinct_minimisers(row)
+            if sent is not None:
+                yield sent
+
+    def distinct_minimisers(row: dict) -> pa.RecordBatch | None:
+        block = unpack(row)
+        got = slices(symbols(block, shape.words), shape, row["copies"])
+        keys, docs = _keys(got.route, buckets), block.ids[got.owner]
+        order = np.argsort(keys, kind="stable")
+        alike, first, _ = _distinct(got)
+        windows = np.zeros(len(keys), np.int64)
+        windows[alike[first]] = got.windows[alike[first]]
+        keys, docs = keys[order], docs[order]
+        fresh = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        if not len(fresh):
+            return None
+        many = np.minimum.reduceat(docs, fresh) != np.maximum.reduceat(docs, fresh)
+        windows = np.add.reduceat(windows[order], fresh)
+        heavy = windows > 2 * shape.choices
+        keys = keys[fresh]
+        bucket, edge = _split(keys)
+        rest = (keys & np.uint64(0xFFFFFFFF)).astype("<u4")
+        spans = list(zip(edge, edge[1:], strict=False))
+        return _batch(
+            {
+                "bucket": (bucket, pa.int32()),
+                "block": ([row["block"]] * len(bucket), pa.int64()),
+                "rest": ([rest[a:b].tobytes() for a, b in spans], pa.binary()),
+                "many": ([np.packbits(many[a:b]).tobytes() for a, b in spans], pa.binary()),
+                "heavy": ([_heavy(windows[a:b], heavy[a:b]) for a, b in spans], pa.binary()),
+            }
+        )
 
     schema = "bucket int, block long, rest binary, many binary, heavy binary"
     return common.arrow_map(blocks, work, schema)
@@ -526,40 +535,42 @@ def route(blocks: DataFrame, back: DataFrame, shape: Shape, buckets: int) -> Dat
                 names = [f.split()[0] for f in _ROUTED.split(", ")]
                 yield _batch({n: ([v], t) for n, v, t in zip(names, values, kinds, strict=True)})
 
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = unpack(row)
-                found = symbols(block, shape.words)
-                got = slices(found, shape, row["copies"])
-                order, first, _ = _distinct(got)
-                wanted, hot, parts = [], [], []
-                for part in row["back"]:
-                    bucket = np.uint64(part["bucket"]) << np.uint64(32)
-                    wanted.append(np.frombuffer(part["rest"], "<u4").astype(np.uint64) | bucket)
-                    rest, n = np.frombuffer(part["hot"], "<u4").reshape(2, -1)
-                    hot.append(rest.astype(np.uint64) | bucket)
-                    parts.append(n)
-                hot, parts = np.concatenate(hot), np.concatenate(parts)
-                one = order[first]
-                keys = _keys(got.route[one], buckets)
-                chosen = np.flatnonzero(
-                    np.isin(keys, np.setdiff1d(np.concatenate(wanted), hot, assume_unique=True))
+        def routed(row: dict) -> Iterator[pa.RecordBatch]:
+            block = unpack(row)
+            found = symbols(block, shape.words)
+            got = slices(found, shape, row["copies"])
+            order, first, _ = _distinct(got)
+            wanted, hot, parts = [], [], []
+            for part in row["back"]:
+                bucket = np.uint64(part["bucket"]) << np.uint64(32)
+                wanted.append(np.frombuffer(part["rest"], "<u4").astype(np.uint64) | bucket)
+                rest, n = np.frombuffer(part["hot"], "<u4").reshape(2, -1)
+                hot.append(rest.astype(np.uint64) | bucket)
+                parts.append(n)
+            hot, parts = np.concatenate(hot), np.concatenate(parts)
+            one = order[first]
+            keys = _keys(got.route[one], buckets)
+            chosen = np.flatnonzero(
+                np.isin(keys, np.setdiff1d(np.concatenate(wanted), hot, assume_unique=True))
+            )
+            if len(chosen):
+                chosen = chosen[np.argsort(keys[chosen], kind="stable")]
+                docs = block.ids[got.owner[order]]
+                low, high = np.minimum.reduceat(docs, first), np.maximum.reduceat(docs, first)
+                bucket = (keys[chosen] >> np.uint64(32)).astype(np.int64)
+                own = got.start[one[chosen]], got.windows[one[chosen]], low[chosen], high[chosen]
+                yield from sent(row["block"], block, found, (bucket, chosen, *own))
+            if len(hot):
+                by_key = np.argsort(hot)
+                bucket, start, low, high = hot_windows(
+                    block, found, got, hot[by_key], parts[by_key]
                 )
-                if len(chosen):
-                    chosen = chosen[np.argsort(keys[chosen], kind="stable")]
-                    docs = block.ids[got.owner[order]]
-                    low, high = np.minimum.reduceat(docs, first), np.maximum.reduceat(docs, first)
-                    bucket = (keys[chosen] >> np.uint64(32)).astype(np.int64)
-                    own = got.start[one[chosen]], got.windows[one[chosen]], low[chosen], high[chosen]
-                    yield from sent(row["block"], block, found, (bucket, chosen, *own))
-                if len(hot):
-                    by_key = np.argsort(hot)
-                    bucket, start, low, high = hot_windows(
-                        block, found, got, hot[by_key], parts[by_key]
-                    )
-                    single = np.ones(len(start), np.int64)
-                    columns = bucket, -1 - start, start, single, low, high
-                    yield from sent(row["block"], block, found, columns)
+                single = np.ones(len(start), np.int64)
+                columns = bucket, -1 - start, start, single, low, high
+                yield from sent(row["block"], block, found, columns)
+
+        for _, row in common.one_by_one(batches, [*_TEXTS, "back"]):
+            yield from routed(row)
 
     per_block = back.groupBy("block").agg(
         F.collect_list(F.struct("bucket", "rest", "hot")).alias("back")
@@ -588,6 +599,11 @@ def answer(routed: DataFrame, earliest: Earliest) -> DataFrame:
     """Per block, runs of windows with one earliest document that is not the slice's own."""
 
     def work(table: pa.Table) -> pa.Table:
+        found = answers(table)
+        common.give_back()
+        return found
+
+    def answers(table: pa.Table) -> pa.Table:
         unpacker = zstandard.ZstdDecompressor()
 
         def parts_of(name: str, kind: str) -> list[np.ndarray]:
@@ -692,22 +708,23 @@ def resolve(
         ] > 0
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k, row in enumerate(batch.drop_columns(_carried(carry)).to_pylist()):
-                block = unpack(row)
-                found = symbols(block, shape.words)
-                gone = np.zeros(len(found.codes), bool)
-                if row["parts"]:
-                    gone = removed(block, found, row["copies"], row["parts"])
-                for text in row["copies"] or ():
-                    first, last = found.edges[text], found.edges[text + 1]
-                    if not shape.words:
-                        last -= 1  # the line feed
-                    gone[first:last] = last - first >= shape.window
-                ids = pa.array(block.ids, mask=block.ids == NO_ID)
-                columns = {"doc_id": ids, **output(block, found, gone)}
-                columns |= {c: batch[c].slice(k, 1).flatten() for c in _carried(carry)}
-                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+        for one, row in common.one_by_one(batches, [*_TEXTS, "parts"]):
+            columns = marked(row) | {c: one[c].flatten() for c in _carried(carry)}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    def marked(row: dict) -> dict[str, pa.Array]:
+        block = unpack(row)
+        found = symbols(block, shape.words)
+        gone = np.zeros(len(found.codes), bool)
+        if row["parts"]:
+            gone = removed(block, found, row["copies"], row["parts"])
+        for text in row["copies"] or ():
+            first, last = found.edges[text], found.edges[text + 1]
+            if not shape.words:
+                last -= 1  # the line feed
+            gone[first:last] = last - first >= shape.window
+        ids = pa.array(block.ids, mask=block.ids == NO_ID)
+        return {"doc_id": ids, **output(block, found, gone)}
 
     fields = ("ordinals", "offsets", "counts", "docs")
     per_block = answers.groupBy("block").agg(F.collect_list(F.struct(*fields)).alias("parts"))
@@ -724,12 +741,13 @@ def without_repeats(
     output: Output,
     schema: str,
     carry: tuple[str, ...] = (),
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """All steps over (doc_id, text); schema: doc_id and what output makes.
 
     The result has these columns and then carry_0, carry_1, ..., in the order of carry.
     """
-    blocks = pack(docs, carry)
+    blocks = pack(docs, carry, block_bytes)
     buckets = bucket_count(blocks)
     # The blocks are shuffled once, by their number; all joins below use that exchange.
     texts = blocks.drop("digests", "bytes").join(copies(blocks), "block", "left")

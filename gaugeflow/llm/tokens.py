@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Entries that a Python worker keeps; words beyond them are encoded again in each batch.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 100_000
 _PIECE_BYTES = 2 << 20
 
 #: Letters whose lower case and composed form are one letter each, then plain punctuation. The
