@@ -16,6 +16,9 @@ from gaugeflow.llm.queries import vocabulary
 
 #: A text stays if the network gives one language at least this probability.
 LEAST_SCORE = 0.5
+#: Text that a task of the passage stage looks at together; tasks share their executor's memory with
+#: what earlier stages left there.
+_BLOCK_BYTES = 2 << 20
 #: Holds doc_id where a key of the rows takes its place.
 _ID = "_own_doc_id"
 
@@ -47,7 +50,7 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
     filled = common.row_keys(docs).withColumn("text", F.coalesce("text", F.lit("")))
     filled = filled.withColumnsRenamed({"doc_id": _ID, common.ROW_KEY: "doc_id"})
-    cut = factors.remove_repeats(filled, carry=(_ID, *others))
+    cut = factors.remove_repeats(filled, carry=(_ID, *others), block_bytes=_BLOCK_BYTES)
     cut = cut.drop("doc_id").withColumnRenamed(_ID, "doc_id")
     if "n_chars" in others:  # counted anew
         cut = cut.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
