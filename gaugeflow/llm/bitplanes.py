@@ -135,6 +135,8 @@ class ShardReader:
             start, k = start + len(part), k + 1
 
 
+#: Bytes of ids that a task reads back, about.
+READ_BYTES = 64 << 20
 INDEX_SCHEMA = "shard int, file string, doc_id long, shard_start long, n_tokens long"
 
 
@@ -207,12 +209,21 @@ def read_documents(index: DataFrame, folder: str) -> DataFrame:
             kept = [batch["doc_id"], batch["start"], batch["n_tokens"], pa.array(sums, pa.int64())]
             yield pa.RecordBatch.from_arrays(kept, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    near = index.repartition("file").sortWithinPartitions("file", "shard_start")
+    # As many tasks as there are ids to read; the index alone would look small to the engine.
+    total = index.agg(F.sum("n_tokens")).first()[0] or 0
+    tasks = max(1, 4 * total // READ_BYTES)
+    near = index.repartition(tasks, "file").sortWithinPartitions("file", "shard_start")
     return common.arrow_map(near, read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_ids(docs: DataFrame, vocabulary: str, **options) -> DataFrame:
-    """Writes the ids of all documents into shards in the shared folder and reads them back."""
+    """Writes the ids of all documents into shards in the shared folder and reads them back.
+
+    One row per row of (doc_id, text): doc_id, start, n_tokens, ids_crc32. A null or empty text has
+    just the end id (without one: no ids, and the checksum of nothing). Texts of any length are
+    encoded whole. Rows that share a doc_id are documents of their own, in any order among each
+    other; missing ids come first. An empty table gives no rows.
+    """
     folder = fresh_dir(docs.sparkSession, "planes")
     index = write_shards(docs, folder, vocabulary, **options)
     return read_documents(with_global_start(index), folder)
