@@ -73,3 +73,16 @@ def display_timestamp(instant: Column, zone: str = DEFAULTS.display_timezone) ->
 
 def hour_start(day: Column, hour: Column) -> Column:
     return F.timestamp_seconds(F.unix_timestamp(day.cast("timestamp")) + hour * F.lit(3600))
+
+
+#: Seconds of the units of a watermark's text.
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 24 * 3600}
+
+
+def interval_seconds(text: str) -> int:
+    """Seconds of an interval such as '10 minutes' or '1 hour 30 minutes'."""
+    parts = text.lower().split()
+    if not parts or len(parts) % 2:
+        raise ValueError(f"not an interval: {text!r}")
+    pairs = zip(parts[::2], parts[1::2], strict=True)
+    return sum(int(n) * _UNIT_SECONDS[unit.removesuffix("s")] for n, unit in pairs)

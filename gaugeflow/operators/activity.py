@@ -220,6 +220,11 @@ def _spans(fresh: DataFrame, latest: DataFrame) -> DataFrame:
     )
 
 
+def late_stations(new_facts: DataFrame, latest: DataFrame) -> DataFrame:
+    """The stations (station_key) that got a fact older than their latest row."""
+    return _spans(new_facts, latest).filter("_late").select("station_key")
+
+
 def has_late_facts(new_facts: DataFrame, latest: DataFrame) -> bool:
     """Whether some station got a fact older than its latest row (runs a job, one row back)."""
-    return not _spans(new_facts, latest).filter("_late").isEmpty()
+    return not late_stations(new_facts, latest).isEmpty()

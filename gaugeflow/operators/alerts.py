@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.operators.timeline import (
@@ -107,8 +107,13 @@ def alert_history(
     return as_alerts(flagged, F.col("_kind"), keep)
 
 
-def alert_transitions(facts: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """Snapshots at which a station becomes empty or critical, not those at which it stays so."""
+def alert_transitions(
+    facts: DataFrame, params: Params = DEFAULTS, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Snapshots at which a station becomes empty or critical, not those at which it stays so.
+
+    ``keep`` names further fact columns to carry through.
+    """
     states = {EMPTY: "_empty", CRITICAL: "_critical"}
     flagged = bucketed_rolling_avg(
         facts,
@@ -123,7 +128,53 @@ def alert_transitions(facts: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     entered = F.array_compact(
         F.array(*[F.when(F.col(f"rises_{flag}"), kind) for kind, flag in states.items()])
     )
-    return as_alerts(rises.withColumn("_kind", F.explode(entered)), F.col("_kind"))
+    return as_alerts(rises.withColumn("_kind", F.explode(entered)), F.col("_kind"), keep)
+
+
+def new_transitions(
+    recent: DataFrame, new_facts: DataFrame, late: DataFrame, params: Params = DEFAULTS
+) -> DataFrame:
+    """Transitions at the new facts of the stations that are not ``late`` (station_key).
+
+    The ``recent`` readings end at the station's latest row, so they hold the window and the flags
+    of the row before the first new one, and the windows of the new ones.
+    """
+    in_order = new_facts.join(late, "station_key", "left_anti")
+    before = recent.join(in_order.select("station_key").distinct(), "station_key", "left_semi")
+    rows = in_order.withColumn("_new", F.lit(True)).unionByName(
+        before.withColumn("_new", F.lit(False)), allowMissingColumns=True
+    )
+    return alert_transitions(rows, params, keep=["_new"]).filter("_new").drop("_new")
+
+
+def changed_dates(days: DataFrame, new_facts: DataFrame, late: DataFrame) -> DataFrame:
+    """Dates of late stations that decide their transitions anew: station_key, event_date, _anew.
+
+    ``days`` are the station days with the new facts. A late fact changes the windows of a quarter
+    of an hour, so the rows of its date and perhaps of the next, and the flags that the row after
+    them is compared with: ``_anew`` marks its date and the two that follow it for the station.
+    The others are only read: the station's date before each marked one, and the calendar date
+    before each of these, whose last windows reach into them.
+    """
+    key = ["station_key", "event_date"]
+    touched = new_facts.select(*key).distinct().withColumn("_touched", F.lit(True))
+    timeline = days.join(late, "station_key").select(*key).join(touched, key, "left")
+    in_order = Window.partitionBy("station_key").orderBy("event_date")
+    near = [F.col("_touched")] + [F.lag("_touched", k).over(in_order) for k in (1, 2)]
+    marked = timeline.withColumn("_anew", F.coalesce(*near, F.lit(False)))
+    leads = F.coalesce(F.lead("_anew").over(in_order), F.lit(False))
+    read = marked.withColumn("_leads", leads).filter("_anew OR _leads").select(*key, "_anew")
+    eve = read.select("station_key", F.date_sub("event_date", 1).alias("event_date"))
+    both = read.unionByName(eve.withColumn("_anew", F.lit(False)))
+    return both.groupBy(*key).agg(F.max("_anew").alias("_anew"))
+
+
+def transitions_anew(
+    facts: DataFrame, dates: DataFrame, params: Params = DEFAULTS
+) -> DataFrame:
+    """Transitions of the marked ``changed_dates``, from the facts of all of them."""
+    rows = facts.join(dates, ["station_key", "event_date"])
+    return alert_transitions(rows, params, keep=["_anew"]).filter("_anew").drop("_anew")
 
 
 def stamp(alerts: DataFrame, created_at: Column) -> DataFrame:

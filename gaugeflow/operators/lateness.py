@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Ingest batches up to which their watermarks, one number each, go along with every task.
+_FEW_BATCHES = 100_000
+
+
 def late_rows(
     df: DataFrame,
     batch: str,
@@ -15,7 +19,8 @@ def late_rows(
     """Rows at or behind the watermark of their ingest batch, with that watermark.
 
     The watermark of a batch is the newest event time of all earlier batches minus the delay; the
-    first batch has none. Computed on one row per batch and joined back without a hint.
+    first batch has none. The watermarks are computed first, on one row per batch. While these are
+    few, they are broadcast and the rows stay where they are; else both sides are shuffled.
     """
     earlier = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)
     watermarks = (
@@ -28,4 +33,16 @@ def late_rows(
             ).alias("watermark"),
         )
     )
+    found = watermarks.limit(_FEW_BATCHES + 1).collect()
+    if len(found) <= _FEW_BATCHES:
+        watermarks = F.broadcast(df.sparkSession.createDataFrame(found, watermarks.schema))
     return df.join(watermarks, batch).filter(F.col(ts) <= F.col("watermark"))
+
+
+def behind(df: DataFrame, newest_micros: int | None, delay_seconds: int) -> DataFrame:
+    """Rows of one batch at or behind its watermark, with it; none before the first watermark."""
+    if newest_micros is None:
+        return df.limit(0).withColumn("watermark", F.lit(None).cast("timestamp"))
+    watermark = F.timestamp_micros(F.lit(newest_micros - delay_seconds * 1_000_000))
+    marked = df.withColumn("watermark", watermark)
+    return marked.filter(F.col("snapshot_timestamp") <= F.col("watermark"))

@@ -15,18 +15,27 @@ from gaugeflow.operators.activity import (
     daily_usage_peaks,
     fold_activity,
     fold_station_days,
-    has_late_facts,
     hourly_activity,
+    late_stations,
     station_days,
 )
-from gaugeflow.operators.alerts import critical_stations, current_alerts, fold_critical, stamp
+from gaugeflow.operators.alerts import (
+    alert_transitions,
+    changed_dates,
+    critical_stations,
+    current_alerts,
+    fold_critical,
+    new_transitions,
+    stamp,
+    transitions_anew,
+)
 from gaugeflow.operators.ranking import UTILIZATION_ORDER, dense_rank_global
 from gaugeflow.operators.timeline import fold_latest, fold_recent, latest_status
 from gaugeflow.operators.upsert import restrict_to_spans
 from gaugeflow.operators.zones import geographic_imbalance, low_availability_zones
 from gaugeflow.params import DEFAULTS, Params
 from gaugeflow.schema import conform
-from gaugeflow.sources.store import INTERNAL, PUBLISHED, StationStore
+from gaugeflow.sources.store import INTERNAL, PUBLISHED, Dates, StationStore
 
 
 def together(spark: SparkSession, *tasks: Callable[[], Any]) -> list[Any]:
@@ -107,11 +116,12 @@ def refresh_all(
     """Rebuild and publish all tables from the whole fact history, then log current alerts."""
     facts = store.facts()
     version = _Version(store)
-    latest, activity, days = together(
+    latest, activity, *dates = together(
         store.spark,
         lambda: version.write("latest_station_status", latest_status(facts)),
         lambda: version.write("hourly_activity", hourly_activity(facts)),
-        lambda: store.write_station_days(station_days(facts)),
+        lambda: store.write_dates("station_days", station_days(facts), None),
+        lambda: store.write_dates("transitions", _dated(alert_transitions(facts, params)), None),
     )
     near = recent_history(latest, facts, params)
     none = store.spark.createDataFrame([], INTERNAL["recent_readings"])
@@ -120,7 +130,7 @@ def refresh_all(
         latest, activity, lambda: critical_stations(latest, recent, params), params
     )
     _log_alerts(store, latest, critical, run_id, batch_id, created_at)
-    store.publish(version.path, run_id, batch_id, None, True, None, days)
+    store.publish(version.path, run_id, batch_id, None, True, None, dates)
 
 
 def refresh_batch(
@@ -161,7 +171,7 @@ def refresh_batch(
             continue
         if first == (run_id, batch_id):
             break
-    for table in ("facts", "archive", "alerts"):
+    for table in ("facts", "archive", "alerts", "transitions"):
         store.compact(table, touched)
 
 
@@ -177,22 +187,34 @@ def _fold(
     fresh = store.facts_of([batch])
     dates = _dates(fresh)
     known = store.gold("latest_station_status")
-    known_days = store.station_days()
+    near = store.gold("recent_readings")
+    late = late_stations(fresh, known)
+    some_late = not late.isEmpty()
+    others = [one for one in pending if one != batch]
     history = days = None
-    if has_late_facts(fresh, known):
-        history, days = store.facts_without(*pending, days=dates), known_days
+    if some_late:
+        history, days = store.facts_without(*pending, days=dates), store.station_days()
     version = _Version(store)
-    latest, activity, new_days = together(
+
+    def transitions() -> Dates:
+        if some_late:
+            return _changed_transitions(store, near, fresh, late, others, params)
+        return store.write_dates("transitions", _dated(new_transitions(near, fresh, late, params)))
+
+    latest, activity, *brought = together(
         store.spark,
         lambda: version.write("latest_station_status", fold_latest(known, fresh)),
         lambda: version.write(
             "hourly_activity",
             fold_activity(store.gold("hourly_activity"), fresh, known, history, days),
         ),
-        lambda: store.write_station_days(fold_station_days(store.station_days(dates), fresh)),
+        lambda: store.write_dates(
+            "station_days", fold_station_days(store.station_days(dates), fresh), dates
+        ),
+        transitions,
     )
     recent = version.write(
-        "recent_readings", fold_recent(store.gold("recent_readings"), fresh, latest, params)
+        "recent_readings", fold_recent(near, fresh, latest, params)
     )
     stations = fresh.select("station_key").distinct()
     old = store.gold("critical_stations")
@@ -202,10 +224,42 @@ def _fold(
     # The alerts of stations without a new fact are in the log already.
     changed = [df.join(stations, "station_key", "left_semi") for df in (latest, critical)]
     _log_alerts(store, *changed, *batch, created_at)
-    store.publish(version.path, *batch, [batch], False, base, new_days)
+    store.publish(version.path, *batch, [batch], False, base, brought)
     return dates
 
 
+def _changed_transitions(
+    store: StationStore,
+    recent: DataFrame,
+    fresh: DataFrame,
+    late: DataFrame,
+    others: list[tuple[str, int]],
+    params: Params,
+) -> Dates:
+    """The transitions of a batch with late facts, with those that they change on their dates."""
+    touched = fresh.select("station_key", "event_date").distinct()
+    known = store.station_days().select(*touched.columns)
+    changed = changed_dates(known.unionByName(touched).distinct(), fresh, late)
+    # A row per station and date around the late facts.
+    changed = changed.persist()
+    try:
+        facts = store.facts_without(*others, days=_dates(changed))
+        anew = _dated(transitions_anew(facts, changed, params))
+        marked = changed.filter("_anew").withColumnRenamed("event_date", "alert_date")
+        instead = [d.isoformat() for (d,) in marked.select("alert_date").distinct().collect()]
+        keys = marked.select("station_key", "alert_date")
+        kept = store.transitions(instead).join(keys, keys.columns, "left_anti")
+        rows = kept.select(*anew.columns).unionByName(anew)
+        rows = rows.unionByName(_dated(new_transitions(recent, fresh, late, params)))
+        return store.write_dates("transitions", rows, instead)
+    finally:
+        changed.unpersist()
+
+
+def _dated(alerts: DataFrame) -> DataFrame:
+    return alerts.withColumn("alert_date", F.to_date("snapshot_timestamp"))
+
+
 def _log_alerts(
     store: StationStore,
     latest: DataFrame,

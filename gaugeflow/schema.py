@@ -146,12 +146,16 @@ GOLD = {
 # What the folds of later batches need besides the gold tables: the readings of the rolling window
 # that ends at each station's latest row, and the two edges of each station's dates.
 RECENT_READINGS = _pick(
-    FACT, "station_key", "event_date", "snapshot_timestamp", "utilization_rate"
+    FACT, "station_key", "event_date", "snapshot_timestamp", "bikes_available", "utilization_rate"
 )
 _EDGE = _pick(
     FACT, "station_key", "city", "event_date", "event_hour", "snapshot_timestamp",
     "bikes_available", "free_slots",
 )
+TRANSITIONS = T.StructType(
+    [*GOLD["station_alerts"].fields[:-1], T.StructField("alert_date", DATE, True)]
+)
+LATE_ROWS = T.StructType([*CLEAN.fields, T.StructField("watermark", INSTANT, True)])
 STATION_DAYS = _struct(station_key=TEXT, event_date=DATE, first_reading=_EDGE, last_reading=_EDGE)
 
 _SUMMARY = _struct(

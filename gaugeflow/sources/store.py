@@ -25,7 +25,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeflow.operators.upsert import absent_rows, day_spans, within_spans
-from gaugeflow.schema import ALERT_KEY, FACT, FACT_KEY, GOLD, RECENT_READINGS, STATION_DAYS
+from gaugeflow.schema import (
+    ALERT_KEY,
+    FACT,
+    FACT_KEY,
+    GOLD,
+    LATE_ROWS,
+    RECENT_READINGS,
+    STATION_DAYS,
+    TRANSITIONS,
+)
 from gaugeflow.sources import files
 from gaugeflow.sources.commits import CommitLog, Conflict
 
@@ -38,6 +47,8 @@ PUBLISHED = {
     **{name: schema for name, schema in GOLD.items() if name != "station_alerts"},
     "hourly_activity": ACTIVITY,
 }
+#: Batches of a run whose newest event time is kept.
+_BATCHES_KEPT = 20
 #: Tables of a version that only later folds read.
 INTERNAL = {"recent_readings": RECENT_READINGS}
 
@@ -57,10 +68,22 @@ APPENDED = {
     "alerts": Appended(
         T.StructType([*GOLD["station_alerts"].fields, _ALERT_DATE, _RUN, _BATCH]), "alert_date"
     ),
+    "late_rows": Appended(T.StructType([*LATE_ROWS.fields, _RUN, _BATCH]), "event_date"),
     "station_days": Appended(STATION_DAYS, "event_date"),
+    "transitions": Appended(TRANSITIONS, "alert_date"),
 }
 
 
+@dataclass(frozen=True)
+class Dates:
+    """Parts of a table that a version brings: of these dates, beside or in place of what is there."""
+
+    table: str
+    parts: dict[str, str]
+    #: Dates whose other parts go; None for those of all dates.
+    instead: frozenset[str] | None = frozenset()
+
+
 class StationStore:
     """Tables under one root folder. Run ids may hold letters, digits, dots, dashes, underscores."""
 
@@ -312,6 +335,35 @@ class StationStore:
 
         self._append("alerts", run_id, batch_id, _days(spans, "alert_date"), fresh)
 
+    # -- rows behind the watermark --------------------------------------------------------
+
+    def late_rows(self) -> DataFrame:
+        return self._rows("late_rows", self._state()).select(*LATE_ROWS.names, "batch_id")
+
+    def newest_before(self, run_id: str, batch_id: int) -> int | None:
+        """The newest event time (microseconds) in the run's batches before this one."""
+        known = self._state().get("newest", {}).get(run_id, [])
+        return max((at for number, at in known if number < batch_id), default=None)
+
+    def append_late_rows(
+        self, rows: DataFrame, run_id: str, batch_id: int, newest: int | None
+    ) -> None:
+        """Store the late rows of a batch and the newest event time up to its end.
+
+        The times of the last batches are kept, so that a repeated batch meets the same watermark.
+        """
+        self._append("late_rows", run_id, batch_id, [], lambda _: rows, alone=True)
+
+        def change(state: dict) -> dict:
+            known = state.setdefault("newest", {}).get(run_id, [])
+            others = [one for one in known if one[0] != batch_id]
+            if newest is not None:
+                others.append([batch_id, newest])
+            state["newest"][run_id] = sorted(others)[-_BATCHES_KEPT:]
+            return state
+
+        self._log.commit(change)
+
     # -- batches under way ----------------------------------------------------------------
 
     def announce(self, run_id: str, batch_id: int) -> None:
@@ -378,15 +430,26 @@ class StationStore:
         df.write.parquet(f"{version}/{table}")
         return self._table({"path": version}, table)
 
-    def write_station_days(self, rows: DataFrame) -> dict[str, str]:
-        """Write whole dates of the station days; they count once a version with them is out."""
-        part, found = self._write_part("station_days", rows)
-        return dict.fromkeys(found, part)
+    def write_dates(
+        self, table: str, rows: DataFrame, instead: Iterable[str] | None = ()
+    ) -> Dates:
+        """Write rows of a table that counts them once a version with them is published.
+
+        They come beside the table's other rows, but on the dates ``instead`` (None: on all) in
+        their place.
+        """
+        part, found = self._write_part(table, rows)
+        gone = None if instead is None else frozenset(instead)
+        return Dates(table, dict.fromkeys(found, part), gone)
 
     def station_days(self, days: Iterable[str] | None = None) -> DataFrame:
         """First and last reading of each station and date, as the current version has them."""
         return self._rows("station_days", self._state(), days)
 
+    def transitions(self, days: Iterable[str] | None = None) -> DataFrame:
+        """The snapshots at which stations became empty or critical, up to the current version."""
+        return self._rows("transitions", self._state(), days)
+
     def publish(
         self,
         version: str,
@@ -395,12 +458,12 @@ class StationStore:
         batches: list[tuple[str, int]] | None = None,
         rebuilt: bool = False,
         based_on: str | None = None,
-        station_days: dict[str, str] | None = None,
+        dates: Sequence[Dates] = (),
     ) -> None:
         """Make a complete version the current one.
 
         It holds ``batches`` besides what the version before it held or, when ``rebuilt``, besides
-        every stored batch. ``station_days`` are the parts of the dates that it has anew. Raises
+        every stored batch. ``dates`` are the parts that come with it (`write_dates`). Raises
         `Conflict` if the current version is not the one it was folded from (``based_on``; a
         rebuilt one is based on none). Versions past the kept ones, and folders of versions that
         were never published, are removed.
@@ -425,7 +488,8 @@ class StationStore:
             state["pending"] = {
                 key: days for key, days in pending.items() if not self._held(state, *_batch_of(key))
             }
-            _replace_days(state, station_days or {}, whole=rebuilt)
+            for change_of in dates:
+                _bring(state, change_of)
             return state
 
         kept = self._log.commit(change)["versions"]
@@ -477,13 +541,12 @@ def _replace(state: dict, table: str, own: list, parts: dict[str, str]) -> None:
         by_day.setdefault(day, []).append({"part": part, "by": own, "class": 0})
 
 
-def _replace_days(state: dict, parts: dict[str, str], whole: bool) -> None:
-    """Station days of these dates, in place of what the dates had (whole: in place of all)."""
-    by_day = state.setdefault("parts", {}).setdefault("station_days", {})
-    for day in list(by_day) if whole else [day for day in parts if day in by_day]:
-        _discard(state, [["station_days", day, e["part"]] for e in by_day.pop(day)])
-    for day, part in parts.items():
-        by_day[day] = [{"part": part, "by": None, "class": 0}]
+def _bring(state: dict, dates: Dates) -> None:
+    by_day = state.setdefault("parts", {}).setdefault(dates.table, {})
+    for day in list(by_day) if dates.instead is None else dates.instead:
+        _discard(state, [[dates.table, day, e["part"]] for e in by_day.pop(day, ())])
+    for day, part in dates.parts.items():
+        by_day.setdefault(day, []).append({"part": part, "by": None, "class": 0})
 
 
 def _with_batch(

@@ -9,7 +9,7 @@ from gaugeflow.params import DEFAULTS
 from gaugeflow.session import build_session
 from gaugeflow.sources.records import kafka_source_options, stream_json_folder, stream_topic
 from gaugeflow.sources.store import StationStore
-from gaugeflow.streaming.ingest import start
+from gaugeflow.streaming.ingest import start, start_late_rows
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -17,6 +17,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--root", required=True, help="folder of the tables")
     parser.add_argument("--checkpoint", required=True, help="progress of this run")
     parser.add_argument("--run-id", required=True, help="new with every new checkpoint")
+    parser.add_argument("--late-checkpoint", help="keep late rows too; progress of that query")
     parser.add_argument("--folder", help="read JSON lines landed here")
     parser.add_argument("--servers", help="read a topic from these brokers")
     parser.add_argument("--topic", default="station_status")
@@ -49,14 +50,20 @@ def main(arguments: list[str] | None = None) -> None:
                 options.servers, options.topic, options.starting_offsets, options.max_per_trigger
             ),
         )
-    start(
-        records,
-        StationStore(spark, options.root),
-        options.checkpoint,
-        options.run_id,
-        replace(DEFAULTS, **{name: getattr(options, name) for name in settings}),
-        options.available_now,
-    ).awaitTermination()
+    store = StationStore(spark, options.root)
+    params = replace(DEFAULTS, **{name: getattr(options, name) for name in settings})
+    queries = [
+        start(records, store, options.checkpoint, options.run_id, params, options.available_now)
+    ]
+    if options.late_checkpoint:
+        queries.append(
+            start_late_rows(
+                records, store, options.late_checkpoint, options.run_id, params,
+                options.available_now,
+            )
+        )
+    for query in queries:
+        query.awaitTermination()
 
 
 if __name__ == "__main__":

@@ -220,6 +220,15 @@ _SHOWN = """city, station_name, latitude, longitude, bikes_available, free_slots
  round(utilization_rate, 6) AS utilization_rate, zone_id, snapshot_timestamp, ingested_at"""
 _ALERT = """station_key, city, station_id, station_name, snapshot_timestamp, alert_type,
  alert_message, bikes_available, free_slots, round(utilization_rate, 6) AS utilization_rate"""
+_TRANSITIONS = f"""
+        SELECT {_ALERT} FROM history JOIN (
+          SELECT station_key, snapshot_timestamp,
+                 lag(empty_now) OVER o AS empty_before,
+                 lag(critical_now) OVER o AS critical_before
+          FROM flags WINDOW o AS (PARTITION BY station_key ORDER BY snapshot_timestamp)) p
+        USING (station_key, snapshot_timestamp)
+        WHERE NOT coalesce(CASE alert_type WHEN 'empty' THEN empty_before
+                           ELSE critical_before END, false)"""
 _RANKED = """station_key, network_id, city, station_id, station_name, latitude, longitude,
  bikes_available, free_slots, capacity, round(utilization_rate, 6) AS utilization_rate, zone_id,
  snapshot_timestamp, utilization_rank"""
@@ -347,6 +356,44 @@ STATEMENTS = {
     "incremental_latest": f"SELECT {_FACT} FROM latest",
     "incremental_activity": f"SELECT {_ACTIVITY} FROM activity",
     "incremental_critical": f"SELECT {_CRITICAL} FROM critical",
+    "incremental_transitions": _TRANSITIONS,
+    "incremental_gold": """
+        SELECT table_name, key, detail, seen_at, round(a, 6) AS first_value,
+               round(b, 6) AS second_value,
+               round(c, 6) AS third_value
+        FROM (
+          SELECT 'latest_station_status' AS table_name, station_key AS key, city AS detail,
+                 snapshot_timestamp AS seen_at, CAST(bikes_available AS DOUBLE) AS a,
+                 CAST(free_slots AS DOUBLE) AS b, CAST(utilization_rate AS DOUBLE) AS c FROM latest
+          UNION ALL
+          SELECT 'top_utilization_stations', station_key, zone_id, snapshot_timestamp,
+                 utilization_rank, capacity, utilization_rate FROM ranked
+          UNION ALL
+          SELECT 'low_availability_zones', city, zone_id, snapshot_timestamp, avg_bikes_available,
+                 station_count, CAST(shortage_flag AS INTEGER) FROM zones
+          UNION ALL
+          SELECT 'daily_usage_peaks', city, '', CAST(usage_date AS TIMESTAMP), usage_hour,
+                 estimated_activity, peak_rank FROM peaks
+          UNION ALL
+          SELECT 'hourly_activity', city, '', CAST(usage_date AS TIMESTAMP), usage_hour,
+                 estimated_activity, 0 FROM activity
+          UNION ALL
+          SELECT 'geographic_imbalance', city, zone_id, snapshot_timestamp, avg_capacity,
+                 zone_availability_ratio, imbalance_score FROM imbalance
+          UNION ALL
+          SELECT 'critical_stations', station_key, alert_level, snapshot_timestamp,
+                 bikes_available, rolling_15m_utilization, CAST(is_empty AS INTEGER)
+          FROM critical)""",
+    "stream_transitions": _TRANSITIONS,
+    "stream_late_rows": """
+        SELECT station_key, city, snapshot_timestamp, bikes_available, free_slots,
+               round(utilization_rate, 6) AS utilization_rate, watermark
+        FROM (SELECT *, arrival_id % 3 AS landing FROM valid) v
+        JOIN (SELECT landing, max(newest) OVER (ORDER BY landing ROWS BETWEEN UNBOUNDED PRECEDING
+                                                AND 1 PRECEDING) - INTERVAL 10 MINUTE AS watermark
+              FROM (SELECT arrival_id % 3 AS landing, max(snapshot_timestamp) AS newest
+                    FROM valid GROUP BY 1)) w USING (landing)
+        WHERE snapshot_timestamp <= watermark""",
     "stream_facts": """
         SELECT DISTINCT station_key, network_id, city, station_id, station_name, zone_id,
                snapshot_timestamp, event_date, event_hour FROM valid""",
@@ -378,15 +425,7 @@ STATEMENTS = {
     "alerts_critical": f"SELECT {_ALERT} FROM current_alerts WHERE alert_type = 'critical'",
     "alerts_all": f"SELECT {_ALERT} FROM current_alerts",
     "alert_history": f"SELECT {_ALERT} FROM history",
-    "alert_transitions": f"""
-        SELECT {_ALERT} FROM history JOIN (
-          SELECT station_key, snapshot_timestamp,
-                 lag(empty_now) OVER o AS empty_before,
-                 lag(critical_now) OVER o AS critical_before
-          FROM flags WINDOW o AS (PARTITION BY station_key ORDER BY snapshot_timestamp)) p
-        USING (station_key, snapshot_timestamp)
-        WHERE NOT coalesce(CASE alert_type WHEN 'empty' THEN empty_before
-                           ELSE critical_before END, false)""",
+    "alert_transitions": _TRANSITIONS,
     # serving
     "overview_metrics": """
         SELECT (SELECT count(*) FROM latest) AS total_stations,

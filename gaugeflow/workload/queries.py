@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -292,6 +294,23 @@ def refresh_gold(spark, sf_dir):
     return counts
 
 
+_STORES: dict[tuple[str, str, str], StationStore] = {}
+
+
+def _built_once(build: Callable[[SparkSession, str], StationStore]):
+    """The store of these tables, shared by the queries of one application that read it."""
+
+    def shared(spark: SparkSession, sf_dir: str) -> StationStore:
+        key = (spark.sparkContext.applicationId, build.__name__, sf_dir)
+        store = _STORES.get(key)
+        if store is None or store.current() is None:
+            store = _STORES[key] = build(spark, sf_dir)
+        return store
+
+    return shared
+
+
+@_built_once
 def _refreshed_in_parts(spark: SparkSession, sf_dir: str) -> StationStore:
     """A store after three micro-batches, each with rows older than the one before; the second is
     written twice and the third is cut short once before its tables are published."""
@@ -324,6 +343,42 @@ def incremental_critical(spark, sf_dir):
     return _refreshed_in_parts(spark, sf_dir).gold("critical_stations")
 
 
+@register
+def incremental_transitions(spark, sf_dir):
+    return _refreshed_in_parts(spark, sf_dir).transitions().drop("alert_date")
+
+
+@register
+def incremental_gold(spark, sf_dir):
+    """What each published table says of its keys, in one frame."""
+    store = _refreshed_in_parts(spark, sf_dir)
+    shown = {
+        "latest_station_status": "station_key, city, snapshot_timestamp, bikes_available, "
+        "free_slots, utilization_rate",
+        "top_utilization_stations": "station_key, zone_id, snapshot_timestamp, utilization_rank, "
+        "capacity, utilization_rate",
+        "low_availability_zones": "city, zone_id, snapshot_timestamp, avg_bikes_available, "
+        "station_count, int(shortage_flag)",
+        "daily_usage_peaks": "city, '', timestamp(usage_date), usage_hour, estimated_activity, "
+        "peak_rank",
+        "hourly_activity": "city, '', timestamp(usage_date), usage_hour, estimated_activity, 0",
+        "geographic_imbalance": "city, zone_id, snapshot_timestamp, avg_capacity, "
+        "zone_availability_ratio, imbalance_score",
+        "critical_stations": "station_key, alert_level, snapshot_timestamp, bikes_available, "
+        "rolling_15m_utilization, int(is_empty)",
+    }
+    names = ["key", "detail", "seen_at", "first_value", "second_value", "third_value"]
+    parts = [
+        store.gold(table).selectExpr(*columns.split(", ")).toDF(*names).select(
+            F.lit(table).alias("table_name"), "key", "detail", "seen_at",
+            *(F.col(name).cast("double").alias(name) for name in names[3:]),
+        )
+        for table, columns in shown.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@_built_once
 def _streamed(spark: SparkSession, sf_dir: str) -> StationStore:
     """A store after the streaming job took up the arrivals as they landed in three parts, stopping
     and resuming from its checkpoint in between."""
@@ -352,6 +407,43 @@ def stream_latest(spark, sf_dir):
     return latest.select("station_key", "city", "snapshot_timestamp")
 
 
+@register
+def stream_transitions(spark, sf_dir):
+    """The job's log of transitions, the even arrivals after the odd ones under a wide watermark,
+    so that half of the rows come late."""
+    winners = stations.facts_with_arrival(spark, sf_dir).select("arrival_id")
+    raw = stations.raw_snapshots(spark, sf_dir).join(winners, "arrival_id")
+    landing, checkpoint = fresh_dir(spark, "landing"), fresh_dir(spark, "progress")
+    store = StationStore(spark, fresh_dir(spark, "transitions"))
+    patient = replace(PARAMS, watermark="400 days")
+    for number in (1, 0):
+        part = raw.filter(F.col("arrival_id") % 2 == number)
+        part.select(*WIRE.names).write.mode("append").json(landing)
+        arriving = records.stream_json_folder(spark, landing)
+        query = ingest.start(arriving, store, checkpoint, "run", patient, available_now=True)
+        query.awaitTermination()
+    return store.transitions().drop("alert_date")
+
+
+@register
+def stream_late_rows(spark, sf_dir):
+    """The rows behind the watermark of three landings, each a third of all arrivals, kept by the
+    job's side output."""
+    raw = stations.raw_snapshots(spark, sf_dir)
+    landing, checkpoint = fresh_dir(spark, "landing"), fresh_dir(spark, "progress")
+    store = StationStore(spark, fresh_dir(spark, "late"))
+    for number in range(3):
+        part = raw.filter(F.col("arrival_id") % 3 == number)
+        part.select(*WIRE.names).write.mode("append").json(landing)
+        arriving = records.stream_json_folder(spark, landing)
+        query = ingest.start_late_rows(arriving, store, checkpoint, "run", PARAMS, True)
+        query.awaitTermination()
+    return store.late_rows().select(
+        "station_key", "city", "snapshot_timestamp", "bikes_available", "free_slots",
+        "utilization_rate", "watermark",
+    )
+
+
 # -- latest rows and what derives from them ------------------------------------------------
 
 

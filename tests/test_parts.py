@@ -10,12 +10,14 @@ from conftest import random_readings, reading, rows
 from pyspark.sql import functions as F
 from test_store import PARAMS, _batch, _check_gold, _created
 
+from gaugeflow.functions.timestamps import interval_seconds
 from gaugeflow.operators import activity, alerts, timeline
 from gaugeflow.plans.refresh import refresh_all, refresh_batch
 from gaugeflow.session import fresh_dir
 from gaugeflow.sources import files
 from gaugeflow.sources.commits import CommitLog, Conflict
 from gaugeflow.sources.store import StationStore
+from gaugeflow.streaming.ingest import late_row_writer
 
 DAY = 1440
 
@@ -129,13 +131,17 @@ def test_a_batch_opens_the_facts_of_its_dates_alone(spark, facts, monkeypatch):
         ([reading("1", 2 * DAY + 30, 3, 3), reading("2", 2 * DAY + 1, 0, 9)], {"2026-04-23"}),
         ([reading("1", -DAY, 5, 5), reading("3", 0, 1, 1)], {"2026-04-20", "2026-04-21"}),
     ]
+    # The transitions of a late station look at the dates around: two on and the ones before.
+    around = {"2026-04-21", "2026-04-22", "2026-04-23", "2026-04-24", "2026-04-25"}
     for number, (records, dates) in enumerate(steps, 1):
         del seen[:]
         refresh_batch(store, _batch(facts, number, *records), "run", number, PARAMS, _created())
-        assert set(seen) <= dates
+        assert set(seen) <= (dates if number == 1 else dates | around)
         with monkeypatch.context() as plain:
             plain.undo()
             _check_gold(store, store.facts())
+            turned = rows(alerts.alert_transitions(store.facts(), PARAMS))
+            assert rows(store.transitions().drop("alert_date")) == turned
     known = store.facts()
     assert rows(store.station_days()) == rows(activity.station_days(known))
 
@@ -160,6 +166,8 @@ def test_random_late_batches(spark, facts, seed):
     assert rows(store.station_days()) == rows(activity.station_days(known))
     latest = timeline.latest_status(known)
     every = rows(alerts.current_alerts(latest, alerts.critical_stations(latest, known, PARAMS)))
+    turned = alerts.alert_transitions(known, PARAMS)
+    assert rows(store.transitions().drop("alert_date")) == rows(turned)
     logged = set(rows(store.alerts().drop("created_at")))
     assert {row[:6] for row in every} <= {row[:6] for row in logged}
 
@@ -202,3 +210,42 @@ def test_two_writers_lose_nothing(spark, facts):
     assert known.select("station_key", "snapshot_timestamp").distinct().count() == 13
     assert store.pending() == []
     _check_gold(store, known)
+
+
+def test_only_the_dates_around_a_late_fact_are_opened(spark, facts, monkeypatch):
+    store = StationStore(spark, fresh_dir(spark, "around"))
+    days = [reading("1", d * DAY + 60, d % 3, 4) for d in range(10)]
+    refresh_batch(store, _batch(facts, 0, *days), "run", 0, PARAMS, _created())
+    seen = _spy(monkeypatch)
+    late = _batch(facts, 1, reading("1", 3 * DAY + 70, 0, 9))
+    refresh_batch(store, late, "run", 1, PARAMS, _created())
+    assert set(seen) <= {f"2026-04-{day}" for day in range(22, 27)}
+    turned = alerts.alert_transitions(store.facts(), PARAMS)
+    assert rows(store.transitions().drop("alert_date")) == rows(turned)
+    # The history of a rebuilt store is the same.
+    refresh_all(store, "run", 1, PARAMS, _created())
+    assert rows(store.transitions().drop("alert_date")) == rows(turned)
+
+
+def test_late_rows_go_to_a_table(spark, facts):
+    store = StationStore(spark, fresh_dir(spark, "late"))
+    write = late_row_writer(store, "run", PARAMS)
+    first = facts([reading("1", 60, 1, 1)])
+    second = facts([reading("1", 49, 2, 2), reading("1", 50, 3, 3), reading("1", 51, 4, 4)])
+    third = facts([reading("2", 80, 1, 1)])
+    for number, batch in enumerate([first, second, third]):
+        write(batch, number)
+    write(second, 1)  # again: the watermark is that of its own time
+    write(facts([]), 3)
+    write(facts([reading("2", 70, 6, 6)]), 4)
+    got = rows(store.late_rows(), "bikes_available", "batch_id")
+    assert got == [(2, 1), (3, 1), (6, 4)]
+    ends = {r.batch_id: r.watermark.strftime("%H:%M") for r in store.late_rows().collect()}
+    assert ends == {1: "09:50", 4: "10:10"}
+
+
+def test_intervals():
+    assert interval_seconds("10 minutes") == 600
+    assert interval_seconds("1 hour 30 minutes") == 5400
+    with pytest.raises(ValueError):
+        interval_seconds("soon")
