@@ -24,19 +24,38 @@ def _folding() -> Callable[[str | None], str]:
 fold_text = _folding()
 
 
-def fold_label(text: Column) -> Column:
+def _plain_letters() -> tuple[str, str]:
+    """Letters of the Latin blocks that fold to one ASCII character, and these characters."""
+    folded = {chr(code): fold_text(chr(code)) for code in range(0xC0, 0x250)}
+    single = {letter: plain for letter, plain in folded.items() if len(plain) == 1}
+    return "".join(single), "".join(single.values())
+
+
+_LETTERS = _plain_letters()
+_ASCII = "\\A[\\x00-\\x7F]*\\z"
+#: White space as Python has it, among ASCII.
+_SPACE_RUN = "[\\t-\\r\\x1C-\\x20]+"
+
+
+def fold_label(text: Column | str) -> Column:
     """Lower-case ASCII form with single spaces; null becomes the empty label.
 
-    Compatibility decomposition has no built-in counterpart, hence Arrow batches. Repeats inside
-    one batch are folded once.
+    ASCII and the accented letters of the Latin blocks are folded by built-in functions. Only texts
+    with other characters, whose compatibility decomposition has no built-in counterpart, go to
+    Python, in Arrow batches; repeats inside one batch are folded once.
     """
-    fold = fold_text
+    fold, text = fold_text, F.col(text) if isinstance(text, str) else text
 
     def fold_batch(labels: pd.Series) -> pd.Series:
-        return labels.map({value: fold(value) for value in labels.dropna().unique()}).fillna("")
+        folded = {value: fold(value) for value in labels.dropna().unique()}
+        return pd.Series([folded.get(value) for value in labels], dtype=object)
 
     fold_batch.__annotations__ = {"labels": pd.Series, "return": pd.Series}
-    return F.pandas_udf(fold_batch, T.StringType())(text)
+    plain = F.translate(text, *_LETTERS)
+    known = plain.rlike(_ASCII)
+    others = F.pandas_udf(fold_batch, T.StringType())(F.when(~known, text))
+    spaced = F.regexp_replace(F.lower(plain), _SPACE_RUN, " ")
+    return F.coalesce(F.when(known, F.btrim(spaced)), others, F.lit(""))
 
 
 def filled(text: Column) -> Column:

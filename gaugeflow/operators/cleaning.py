@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeflow.functions.geo import zone_id
 from gaugeflow.functions.timestamps import parse_timestamp
 from gaugeflow.params import DEFAULTS, Params
-from gaugeflow.schema import CLEAN
+from gaugeflow.schema import CLEAN, WIRE
 
 # Columns a record must carry, in the order the rejection report names them.
 REQUIRED = (
@@ -89,6 +90,27 @@ def clean_snapshots(
     )
 
 
+_UNREADABLE = "_unreadable"
+
+
+def reject_messages(messages: DataFrame) -> DataFrame:
+    """(raw, reason) of the messages (value) that decoding or cleaning drops, in one pass.
+
+    reason is the first rule that the record breaks, or 'unreadable' for a text that is no JSON
+    object of the declared kinds. raw is the whole text, so that a mended reader can take it again.
+    """
+    schema = T.StructType([*WIRE.fields, T.StructField(_UNREADABLE, T.StringType())])
+    raw = F.col("value").cast("string")
+    record = F.from_json(raw, schema, {"columnNameOfCorruptRecord": _UNREADABLE})
+    # A generator keeps the parsing from being repeated for each rule.
+    parsed = messages.select(raw.alias("raw"), F.explode(F.array(record)).alias("record"))
+    typed = _type_gauges(parsed.select("raw", "record.*")).withColumns(_times())
+    cases = " ".join(f"WHEN {rule} THEN '{name}'" for name, rule in FAULTS)
+    unreadable = F.col("raw").isNull() | F.col(_UNREADABLE).isNotNull()
+    reason = F.when(unreadable, "unreadable").otherwise(F.expr(f"CASE {cases} END"))
+    return typed.select("raw", reason.alias("reason")).filter("reason IS NOT NULL")
+
+
 def rejected_snapshots(df: DataFrame) -> DataFrame:
     """Records that cleaning drops, with the first rule each one breaks."""
     cases = " ".join(f"WHEN {rule} THEN '{name}'" for name, rule in FAULTS)

@@ -156,6 +156,7 @@ TRANSITIONS = T.StructType(
     [*GOLD["station_alerts"].fields[:-1], T.StructField("alert_date", DATE, True)]
 )
 LATE_ROWS = T.StructType([*CLEAN.fields, T.StructField("watermark", INSTANT, True)])
+REJECTED = _struct(raw=TEXT, reason=TEXT, rejected_on=DATE)
 STATION_DAYS = _struct(station_key=TEXT, event_date=DATE, first_reading=_EDGE, last_reading=_EDGE)
 
 _SUMMARY = _struct(

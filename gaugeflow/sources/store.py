@@ -32,6 +32,7 @@ from gaugeflow.schema import (
     GOLD,
     LATE_ROWS,
     RECENT_READINGS,
+    REJECTED,
     STATION_DAYS,
     TRANSITIONS,
 )
@@ -69,6 +70,7 @@ APPENDED = {
         T.StructType([*GOLD["station_alerts"].fields, _ALERT_DATE, _RUN, _BATCH]), "alert_date"
     ),
     "late_rows": Appended(T.StructType([*LATE_ROWS.fields, _RUN, _BATCH]), "event_date"),
+    "rejected": Appended(T.StructType([*REJECTED.fields, _RUN, _BATCH]), "rejected_on"),
     "station_days": Appended(STATION_DAYS, "event_date"),
     "transitions": Appended(TRANSITIONS, "alert_date"),
 }
@@ -364,6 +366,15 @@ class StationStore:
 
         self._log.commit(change)
 
+    def append_rejected(self, rows: DataFrame, run_id: str, batch_id: int) -> None:
+        """Keep the (raw, reason) of a batch, dated today; a repeated batch replaces its own."""
+        dated = rows.withColumn("rejected_on", F.current_date())
+        self._append("rejected", run_id, batch_id, [], lambda _: dated, alone=True)
+
+    def rejected(self, days: Iterable[str] | None = None) -> DataFrame:
+        """raw, reason, rejected_on, run_id, batch_id of rejected messages, all or of some dates."""
+        return self._rows("rejected", self._state(), days)
+
     # -- batches under way ----------------------------------------------------------------
 
     def announce(self, run_id: str, batch_id: int) -> None:

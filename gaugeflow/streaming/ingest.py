@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from gaugeflow.functions.timestamps import interval_seconds
-from gaugeflow.operators.cleaning import clean_snapshots
+from gaugeflow.operators.cleaning import clean_snapshots, reject_messages
 from gaugeflow.operators.dedupe import transform_snapshots
 from gaugeflow.operators.lateness import behind
 from gaugeflow.params import DEFAULTS, Params
@@ -94,6 +94,32 @@ def start_late_rows(
     return _triggered(writer, params, available_now).start()
 
 
+def start_rejected(
+    messages: DataFrame,
+    store: StationStore,
+    checkpoint: str,
+    run_id: str,
+    params: Params = DEFAULTS,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Start the dead-letter output: messages (value) that give no fact, with the reason.
+
+    To replay some, decode their raw text again: ``store.rejected(days)`` has it by date.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store.append_rejected(batch, run_id, batch_id)
+
+    writer = (
+        reject_messages(messages)
+        .writeStream.queryName(f"{QUERY_NAME}_rejected")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+    )
+    return _triggered(writer, params, available_now).start()
+
+
 def _triggered(
     writer: DataStreamWriter, params: Params, available_now: bool
 ) -> DataStreamWriter:

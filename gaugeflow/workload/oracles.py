@@ -298,6 +298,15 @@ STATEMENTS = {
     "zone_grid": """
         SELECT arrival_id, printf('%.2f', round(latitude, 2)) || '_'
                || printf('%.2f', round(longitude, 2)) AS zone_id FROM raw""",
+    "rejected_records": """
+        SELECT arrival_id, station_key, reason FROM (
+          SELECT *, CASE WHEN snapshot_timestamp IS NULL THEN 'missing snapshot_timestamp'
+                      WHEN ingested_at IS NULL THEN 'missing ingested_at'
+                      WHEN bikes_available IS NULL THEN 'missing bikes_available'
+                      WHEN free_slots IS NULL THEN 'missing free_slots'
+                      WHEN bikes_available < 0 THEN 'negative bikes_available'
+                      WHEN free_slots < 0 THEN 'negative free_slots' END AS reason
+          FROM typed) WHERE reason IS NOT NULL""",
     "reject_reasons": """
         SELECT reason, count(*) AS rejected_rows FROM (
           SELECT CASE WHEN snapshot_timestamp IS NULL THEN 'missing snapshot_timestamp'
@@ -567,6 +576,12 @@ STATEMENTS = {
                           ORDER BY score, length(trim(city)), lower(name), position) AS nth,
                      count(*) OVER (PARTITION BY requested_city) AS candidates FROM hits)
         WHERE nth = 1""",
+    "catalog_targets": """
+        SELECT requested_city, city, id AS network_id, name AS network_name, href
+        FROM (SELECT *, row_number() OVER (PARTITION BY requested_city
+                          ORDER BY score, length(trim(city)), lower(name), position) AS nth
+              FROM hits)
+        WHERE nth = 1""",
     "unmatched_cities": """
         SELECT requested_city FROM wishes
         WHERE requested_city NOT IN (SELECT requested_city FROM hits)""",

@@ -165,6 +165,22 @@ def reject_reasons(spark, sf_dir):
     return cleaning.count_reject_reasons(stations.raw_snapshots(spark, sf_dir))
 
 
+@register
+def rejected_records(spark, sf_dir):
+    """The dead letters of the arrivals, stored in two batches, the second one twice."""
+    messages = records.encode_records(stations.raw_snapshots(spark, sf_dir))
+    store = StationStore(spark, fresh_dir(spark, "rejected"))
+    arrival = F.get_json_object("value", "$.arrival_id").cast("bigint")
+    for number in (0, 1, 1):
+        batch = messages.filter(arrival % 2 == number)
+        store.append_rejected(cleaning.reject_messages(batch), "run", number)
+    return store.rejected().select(
+        F.get_json_object("raw", "$.arrival_id").cast("bigint").alias("arrival_id"),
+        F.get_json_object("raw", "$.station_key").alias("station_key"),
+        "reason",
+    )
+
+
 @register
 def dedupe_snapshots(spark, sf_dir):
     return stations.facts_with_arrival(spark, sf_dir)
@@ -771,6 +787,24 @@ def match_networks(spark, sf_dir):
     )
 
 
+@register
+def catalog_targets(spark, sf_dir):
+    """Targets from landed catalog documents, saved, and taken again when the next one is broken."""
+    page = F.floor(F.col("position") / _STATIONS_PER_DOCUMENT)
+    location = F.struct("city", "country").alias("location")
+    network = F.struct("id", "name", "href", location)
+    pages = stations.catalog(spark, sf_dir).groupBy(page.alias("page"))
+    landed, broken = fresh_dir(spark, "catalog"), fresh_dir(spark, "broken")
+    pages.agg(F.collect_list(network).alias("networks")).drop("page").write.json(landed)
+    spark.createDataFrame([("<html>too many requests</html>",)], "value string").write.text(broken)
+    saved = fresh_dir(spark, "targets")
+    for path in (landed, broken, f"{landed}-missing"):
+        found = documents.discover_targets(
+            spark, path, stations.REQUESTED, saved, stations.CATALOG_PARAMS, one_per_file=False
+        )
+    return found
+
+
 @register
 def unmatched_cities(spark, sf_dir):
     return networks.unmatched_cities(

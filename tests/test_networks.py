@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import json
+
 import pytest
-from conftest import rows
+from conftest import rows, wire
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.text import fold_label, fold_text
+from gaugeflow.operators.cleaning import reject_messages
 from gaugeflow.operators.networks import (
     match_networks,
     normalize_payload,
@@ -13,6 +16,8 @@ from gaugeflow.operators.networks import (
 )
 from gaugeflow.schema import NETWORK_TARGET, SNAPSHOT_DOCUMENT, STATION_PAYLOAD, WIRE
 from gaugeflow.sources import documents, records
+from gaugeflow.sources.store import StationStore
+from gaugeflow.streaming.ingest import start_rejected
 
 
 @pytest.fixture
@@ -167,3 +172,59 @@ def test_connector_options():
     limited = records.kafka_source_options("b", "t", max_offsets_per_trigger=5)
     assert limited["maxOffsetsPerTrigger"] == "5"
     assert records.jdbc_options("jdbc:x", "gold", "u", "p", "d")["truncate"] == "true"
+
+
+def test_targets_that_cannot_stand_in_replace_nothing(catalog, spark, tmp_path):
+    path = str(tmp_path / "targets")
+    good = resolve_targets(catalog(NETWORKS), ["Nantes"])
+    documents.save_targets(good, path)
+    for bad in (good.limit(0), good.unionByName(good), good.withColumn("network_id", F.lit(None))):
+        with pytest.raises(RuntimeError):
+            documents.save_targets(bad, path)
+    assert rows(documents.saved_targets(spark, path)) == rows(good)
+
+
+def test_a_broken_catalog_falls_back(catalog, spark, tmp_path):
+    landed, saved = tmp_path / "catalog", str(tmp_path / "targets")
+    landed.mkdir()
+    with pytest.raises(RuntimeError):
+        documents.discover_targets(spark, str(tmp_path / "none"), ["Nantes"], saved)
+    city = {"city": "Nantes", "country": "FR"}
+    network = {"id": "n1", "name": "N", "href": "/networks/n1", "location": city}
+    (landed / "1.json").write_text(json.dumps({"networks": [network]}))
+    found = documents.discover_targets(spark, str(landed), ["Nantes"], saved)
+    assert rows(found, "network_id") == [("n1",)]
+    (landed / "1.json").write_text("429 too many requests")
+    for path in (landed, tmp_path / "none"):
+        assert rows(documents.discover_targets(spark, str(path), ["Nantes"], saved)) == rows(found)
+
+
+def test_labels_without_python_equal_those_with_it(spark):
+    texts = [chr(code) for code in range(0x250)] + ["Île-de-France\x1f  Œuvre", "ﬁn Ǆ", "東京 A", "", None]
+    texts += [f"x{a}{b} " for a in "éßİĲŉ" for b in "Åøſ\u0301"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = frame.select("text", fold_label(F.col("text")).alias("label")).collect()
+    assert {r.text: r.label for r in found} == {t: fold_text(t) for t in texts}
+
+
+def test_rejected_messages_keep_their_text(spark, tmp_path):
+    texts = [
+        json.dumps(wire()), json.dumps(wire(bikes_available=-1)), "{broken", None, "[]",
+        json.dumps(wire(timestamp="soon")), json.dumps(wire(latitude="far")), "{}",
+    ]
+    landing = tmp_path / "in"
+    landing.mkdir()
+    (landing / "0.txt").write_text("\n".join(t for t in texts if t is not None))
+    frame = spark.createDataFrame([(t,) for t in texts], "value string")
+    expected = {
+        texts[1]: "negative bikes_available", "{broken": "unreadable", None: "unreadable",
+        "[]": "unreadable", texts[5]: "missing snapshot_timestamp", texts[6]: "unreadable",
+        "{}": "missing station_key",
+    }
+    assert {r.raw: r.reason for r in reject_messages(frame).collect()} == expected
+    store = StationStore(spark, str(tmp_path / "store"))
+    messages = spark.readStream.text(str(landing))
+    query = start_rejected(messages, store, str(tmp_path / "c"), "run", available_now=True)
+    query.awaitTermination()
+    del expected[None]
+    assert {r.raw: r.reason for r in store.rejected().collect()} == expected
