@@ -1,8 +1,9 @@
-"""Word passages that an earlier document has, by exact lookup of windows of words.
+"""Word passages that an earlier document has, by relative Lempel-Ziv parsing.
 
 The slices of a bucket are its reference block, indexed by their windows of words. Each slice is
-walked greedily against what earlier documents put into the block, but a factor is no longer than a
-slice, and its length decides nothing: every window gets the earliest document with the same words.
+parsed greedily against what earlier documents put into the block: where a window has such a source,
+the factor goes on as long as the next words agree, and all windows inside it are repeated. Windows
+across the end of a factor are looked up one by one, and may start the next factor.
 """
 
 from __future__ import annotations
@@ -49,6 +50,7 @@ def index_windows(codes: np.ndarray, start: np.ndarray, words: int) -> tuple[np.
 
 
 def earliest(bucket: repeats.Bucket, words: int = WORDS) -> np.ndarray:
+    """An earlier document that has each window, or its own one."""
     codes = word_codes(bucket.data)
     n_words = bucket.windows + words - 1
     first_word = np.cumsum(n_words) - n_words
@@ -83,8 +85,9 @@ def earliest(bucket: repeats.Bucket, words: int = WORDS) -> np.ndarray:
             going, a, b = going[inside], a[inside], b[inside]
             going = going[codes[a] == codes[b]]
             more[going] += 1
+        # The factor decides for all windows inside it.
         covered = repeats.ranges(window[hit], more + 1)
-        found[covered] = docs[source[covered]]
+        found[covered] = np.repeat(docs[from_window[hit]], more + 1)
         step = np.ones(len(active), np.int64)
         step[hit] += more
         at[active] += step

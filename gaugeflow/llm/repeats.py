@@ -14,7 +14,7 @@ all slices that could share a window meet in one bucket. Nothing compares all pa
    document in the block. A passage that a third of all documents share is one slice per block.
    Distinct windows of a hot minimiser go one by one, dealt over several buckets by their content.
 5. a bucket compares the windows of its slices (the part in which the operators differ) and sends
-   back the earliest document of each window that has an earlier one.
+   back an earlier document of each window that has one.
 6. `resolve`: a block marks these windows in its texts.
 
 Buckets grow in number with the corpus. Within a task, memory follows one block or one bucket.
@@ -589,7 +589,7 @@ class Bucket:
     docs: np.ndarray
 
 
-#: For every window of the bucket, slice by slice, the earliest document that has it.
+#: For every window of the bucket, slice by slice, an earlier document that has it, or the own one.
 Earliest = Callable[[Bucket], np.ndarray]
 
 _ANSWERS = "block long, ordinals binary, offsets binary, counts binary, docs binary"

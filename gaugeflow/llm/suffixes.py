@@ -1,7 +1,10 @@
-"""Byte strings that an earlier document has, by grouping equal windows of bytes.
+"""Byte strings that an earlier document has, by longest previous factors in suffix order.
 
-Within a bucket, windows are sorted by their bytes, so that equal ones lie together, and each gets the
-smallest document among its equals. No factor longer than a window is looked for.
+Within a bucket, the suffixes that begin its windows are sorted by their first bytes, as many as a
+window has. A suffix's longest previous factor is the longer of the prefixes that it shares with the
+nearest suffix before it and the nearest after it, in this order, that belong to an earlier document;
+each is the least of the common prefixes of neighbours on the way. Prefixes count up to the length of
+a window: a factor that reaches it is repeated, and no removal asks for more.
 """
 
 from __future__ import annotations
@@ -29,36 +32,67 @@ def _words_at(data: np.ndarray) -> np.ndarray:
 
 
 def suffix_order(words: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the suffixes that begin at start, by their first `length` bytes, and whether each
-    shares all of them with the one before it."""
+    """Order of the suffixes that begin at start, by their first `length` bytes, and how many of
+    these each shares with the one before it."""
     offsets = [*range(0, length - 7, 8)]
     if length % 8:
         offsets.append(length - 8)
     keys = [words[start + offset] for offset in offsets]
     order = np.lexsort(keys[::-1])
-    shares = np.ones(len(order), bool)
-    shares[:1] = False
-    for key in keys:
+    common_prefix = np.zeros(len(order), np.int32)
+    open_ones = np.arange(1, len(order))
+    for offset, key in zip(offsets, keys, strict=True):
         held = key[order]
-        shares[1:] &= held[1:] == held[:-1]
-    return order, shares
-
-
-def earlier_neighbours(docs: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Smallest document at an earlier and at a later place in suffix order, among the places that
-    share the whole length; the own one where there is none.
-
-    docs: ranks of documents in suffix order. Going through the places, the smallest so far starts
-    anew where a place shares nothing with the one before.
+        differs = held[open_ones] ^ held[open_ones - 1]
+        # Leading equal bytes of big-endian numbers.
+        equal = np.zeros(len(differs), np.int32)
+        for size in range(1, 9):
+            equal += differs >> np.uint64(64 - 8 * size) == 0
+        common_prefix[open_ones] = np.minimum(offset + equal, length)
+        open_ones = open_ones[differs == 0]
+    return order, common_prefix
+
+
+def previous_smaller(
+    docs: np.ndarray, common_prefix: np.ndarray, length: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each place, the nearest earlier place with a smaller document, and their common prefix.
+
+    docs, common_prefix: by place in suffix order. Every place points to one before it, with no
+    smaller document in between, and jumps to what that one points to until its document is smaller
+    too; the jumps double. A place whose common prefix has fallen below length stops and has 0.
     """
-    group = np.cumsum(~shares)
-    span = int(docs.max(initial=0)) + 1
-    before = np.minimum.accumulate(docs - group * span) + group * span
-    after = np.minimum.accumulate((docs + group * span)[::-1])[::-1] - group * span
-    return before, after
+    found = np.arange(-1, len(docs) - 1)
+    shared = common_prefix.copy()
+    shared[:1] = 0
+    going = np.flatnonzero(shared >= length)
+    going = going[docs[found[going]] >= docs[going]]
+    while len(going):
+        at = found[going]
+        least, farther = np.minimum(shared[going], shared[at]), found[at]
+        shared[going], found[going] = least, farther
+        going = going[least >= length]
+        going = going[docs[found[going]] >= docs[going]]
+    return found, np.where(shared >= length, shared, 0)
+
+
+def longest_previous_factors(
+    docs: np.ndarray, common_prefix: np.ndarray, length: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Length, 0 if under `length`, and document of the longest factor of each suffix that also
+    begins in an earlier document; the own document where there is none."""
+    before, shared_before = previous_smaller(docs, common_prefix, length)
+    # Seen from the other end, the common prefix belongs to the place after.
+    mirrored = np.append(common_prefix[1:], 0)[::-1]
+    after, shared_after = previous_smaller(docs[::-1], mirrored, length)
+    after, shared_after = len(docs) - 1 - after[::-1], shared_after[::-1]
+    factor = np.maximum(shared_before, shared_after)
+    place = np.where(shared_before >= shared_after, before, after)
+    return factor, np.where(factor >= length, docs[np.minimum(place, len(docs) - 1)], docs)
 
 
 def earliest(bucket: repeats.Bucket, length: int = LENGTH) -> np.ndarray:
+    """An earlier document that has each window, or its own one."""
     words = _words_at(bucket.data)
     first = np.cumsum(bucket.sizes) - bucket.sizes
     start = repeats.ranges(first, bucket.windows)
@@ -71,10 +105,10 @@ def earliest(bucket: repeats.Bucket, length: int = LENGTH) -> np.ndarray:
     part = (mixed % np.uint64(max(parts, 1))).astype(np.int32)
     for k in range(parts):
         own = np.flatnonzero(part == k)
-        order, shares = suffix_order(words, start[own], length)
+        order, common_prefix = suffix_order(words, start[own], length)
         if len(order):
-            before, after = earlier_neighbours(ranks[own[order]], shares)
-            found[own[order]] = np.minimum(before, after)
+            _, source = longest_previous_factors(ranks[own[order]], common_prefix, length)
+            found[own[order]] = source
     return known[found]
 
 
