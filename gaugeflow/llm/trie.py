@@ -210,12 +210,17 @@ def _rolled(rows: DataFrame, aggregates: str) -> DataFrame:
     rows: key, depth, next (the id where t8 is there) and t1-t8. Groups that end beyond the turns
     of a shorter row are no prefixes; neither is a further block without a turn.
     """
-    columns = ", ".join(_T)
+    # The id after a whole block goes with its last turn, so that nothing but numbers is aggregated.
+    columns, last = ", ".join(_T), _T[-1]
     rolled = rows.sparkSession.sql(
-        f"SELECT key, depth, {columns}, {BLOCK} - bit_count(grouping_id()) AS level, "
-        f"max(next) AS next, {aggregates} FROM {{rows}} GROUP BY key, depth, ROLLUP({columns})",
+        f"SELECT key, depth, {columns}, next, bit_count(grouping_id()) AS missing, {aggregates} "
+        f"FROM {{rows}} GROUP BY key, depth, "
+        f"ROLLUP({', '.join(_T[:-1])}, ({last}, next))",
         rows=rows,
     )
+    # Of the nine rolled up columns the last two come and go together.
+    shorter = BLOCK + 1 - F.col("missing")
+    rolled = rolled.withColumn("level", F.when(F.col("missing") == 0, BLOCK).otherwise(shorter))
     level = F.col("level")
     there = F.get(F.array(*_T), level - 1).isNotNull() | ((level == 0) & (F.col("depth") == 0))
     own = F.when(level == 0, F.col("key")).when(level == BLOCK, F.col("next"))
