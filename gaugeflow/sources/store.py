@@ -95,7 +95,7 @@ class StationStore:
         root: str,
         keep_versions: int = 5,
         merge_at: int = 8,
-        retain_seconds: int = 24 * 3600,
+        retain_seconds: int = 3600,
     ) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
