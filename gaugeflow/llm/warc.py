@@ -161,6 +161,10 @@ def write_archive(
     return common.stored(common.arrow_map(ready, write, INDEX_SCHEMA), "warc-index")
 
 
+#: Bytes of records that a task reads, about.
+READ_BYTES = 16 << 20
+
+
 def coalesce_ranges(
     places: list[tuple[int, int]], gap: int, most: int
 ) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
@@ -211,7 +215,10 @@ def read_records(
                 start = end
 
     stretch = F.expr(f"offset div {64 << 20}")
-    near = index.select("file", "offset", "length").repartition(F.col("file"), stretch)
+    # As many tasks as there are records to read; the index alone would look small to the engine.
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = 1 + total // READ_BYTES
+    near = index.select("file", "offset", "length").repartition(tasks, F.col("file"), stretch)
     return common.arrow_map(near.sortWithinPartitions("file", "offset"), read, RECORD_SCHEMA)
 
 
@@ -225,8 +232,9 @@ def archive_pages(
 
     A null html is an empty payload and a null url an empty one. Among equal payloads of at least
     100 bytes the smallest page_id is the response; rows that repeat it with the same payload are
-    responses too. A page without an id never refers to another and is not referred to. An empty
-    table gives no rows.
+    responses too. A page without an id never refers to another and is not referred to. A page of
+    any length is one record, built in memory. Other columns are ignored, whatever their names. An
+    empty table gives no rows.
     """
     narrow = pages.select(
         F.col(id_col).cast("long").alias("page_id"),
