@@ -166,7 +166,8 @@ def digest_repeats(docs: DataFrame, words: int = WORDS) -> DataFrame:
     A word goes if a window of `words` words that covers it also starts in a document with a
     smaller doc_id; texts are judged as they came. Null, empty and blank texts have no words; texts
     with fewer words than a window stay whole. Rows with one doc_id are never each other's source; a
-    null doc_id counts as the largest. An empty table gives no rows.
+    null doc_id counts as the largest. Texts are read whole; one longer than a block is a block of
+    its own. Other columns are ignored. An empty table gives no rows.
     """
     return repeats.without_repeats(
         docs, _shape(words), lambda bucket: earliest(bucket, words), _digest, SCHEMA

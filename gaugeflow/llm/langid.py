@@ -275,8 +275,9 @@ def identify(
     """doc_id, held_out, lang_pred, score of every row, by a network learned from the labelled ones.
 
     Labels are used outside the held-out fold alone, and a prediction sees the text and nothing
-    else. Repeated rows are predicted each for itself; a null doc_id is in no fold. Without any
-    labelled text everything is `und`. An empty table gives no rows.
+    else. Repeated rows are predicted each for itself; a null doc_id is in no fold. A text of any
+    length counts with all its windows. Without any labelled text everything is `und`. Other columns
+    are ignored. An empty table gives no rows.
     """
     narrow = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),

@@ -216,7 +216,8 @@ def pack(
 
     A null text is empty: its only id is the end id. Without an end id, an empty document has one
     piece of length 0, which no sequence holds: its sequence_id is null. Rows that share a doc_id
-    are packed each for itself. An empty table gives no rows.
+    are packed each for itself. Texts of any length are encoded whole, in parts. Other columns are
+    ignored. An empty table gives no rows.
     """
     pieces = common.stored(cut_pieces(docs, vocabulary, capacity, end_id), "pieces")
     counts = np.zeros(capacity + 1, np.int64)

@@ -218,7 +218,8 @@ def judge(
 
     A null text has no words and fails the base rules. A null language or source is a group of
     its own. Rows with the same doc_id are judged each for itself; other columns of the input are not
-    read. Every document that passes the base rules counts in the sketches, and one that lies
+    read. A text of any length is judged whole; its words are one row's array. Every document that
+    passes the base rules counts in the sketches, and one that lies
     outside a fence of its group is not kept. An empty table gives no rows.
     """
     narrow = docs.select(

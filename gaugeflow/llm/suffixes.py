@@ -167,7 +167,8 @@ def digest_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     A byte goes if a string of `length` bytes that covers it also starts in a document with a
     smaller doc_id; texts are judged as they came. Null and empty texts, and texts shorter than
     that, stay whole. Rows with one doc_id are never each other's source; a null doc_id counts as
-    the largest. An empty table gives no rows.
+    the largest. Texts are read whole; one longer than a block is a block of its own. Other columns
+    are ignored. An empty table gives no rows.
     """
     return repeats.without_repeats(
         docs, _shape(length), lambda bucket: earliest(bucket, length), _digest, SCHEMA
