@@ -24,7 +24,11 @@ _ID = "_own_doc_id"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts that are null, have no letter, or in which no language has half the score."""
+    """Rejects texts that are null, have no letter, or in which no language has half the score.
+
+    Rows that share a doc_id, or have none, are judged each for itself. Without any labelled text
+    nothing can be told, and every row is rejected.
+    """
     texts, labels = langid.training_sample(docs.select("doc_id", "text", "lang"))
     network = langid.train(texts, labels) if texts else None
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
@@ -58,13 +62,19 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that contain a benchmark item."""
+    """Rejects documents that contain a benchmark item, row by row, with or without a doc_id.
+
+    A null or empty text contains none and stays; items of fewer than five words match nothing.
+    """
     benchmark = common.table(spark, sf_dir, "benchmark")
     return decontaminate.decontaminate(docs, benchmark).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every piece of every document in sequences of 2048 ids."""
+    """The place of every piece of every document in sequences of 2048 ids.
+
+    A null or empty text is its end id alone; rows that share a doc_id are packed each for itself.
+    """
     return packing.pack(common.ids_and_texts(docs), vocabulary(), capacity=2048, end_id=0)
 
 
