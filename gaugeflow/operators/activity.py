@@ -140,7 +140,8 @@ def fold_activity(
     fresh = new_facts.select(*columns)
     spans = _spans(fresh, latest)
     before = (
-        latest.join(spans.filter(~F.col("_late")), "station_key", "left_semi").select(*columns)
+        latest.join(spans.filter(~F.col("_late")).hint("merge"), "station_key", "left_semi")
+        .select(*columns)
     )
     if history is not None:
         late = spans.filter("_late")
@@ -164,7 +165,7 @@ def fold_activity(
 def _between(history: DataFrame, late: DataFrame) -> DataFrame:
     """Of each late station, the rows from the one before its first new fact to the one after its
     last."""
-    touched = history.join(late, "station_key")
+    touched = history.join(late.hint("merge"), "station_key")
     at, row = F.col("snapshot_timestamp"), F.struct(*history.columns)
     inside = touched.filter(at.between(F.col("_first"), F.col("_last"))).select(*history.columns)
     edges = (
@@ -186,9 +187,10 @@ def _touched_dates(
     """Of each late station, the rows of the dates of its new facts, and the nearest reading on
     either side of each such date."""
     key = ["station_key", "event_date"]
-    touched = fresh.select(*key).distinct().join(late.select("station_key"), "station_key")
-    whole = history.join(touched, key, "left_semi")
-    known = days.join(late.select("station_key"), "station_key")
+    stations = late.select("station_key").hint("merge")
+    touched = fresh.select(*key).distinct().join(stations, "station_key")
+    whole = history.join(touched.hint("merge"), key, "left_semi")
+    known = days.join(stations, "station_key")
     timeline = known.join(touched.withColumn("_touched", F.lit(True)), key, "full_outer")
     in_order = Window.partitionBy("station_key").orderBy("event_date")
     follows = F.lag("_touched").over(in_order).alias("_follows")
@@ -215,7 +217,7 @@ def _spans(fresh: DataFrame, latest: DataFrame) -> DataFrame:
             F.min("snapshot_timestamp").alias("_first"),
             F.max("snapshot_timestamp").alias("_last"),
         )
-        .join(known, "station_key", "left")
+        .join(known.hint("merge"), "station_key", "left")
         .withColumn("_late", F.coalesce(F.col("_first") < F.col("_known"), F.lit(False)))
     )
 

@@ -74,6 +74,7 @@ def fold_critical(
 ) -> DataFrame:
     """Critical stations after more facts: those of the ``touched`` stations (station_key) anew
     from their ``recent`` readings, the others as they were."""
+    touched = touched.hint("merge")
     kept = critical.join(touched, "station_key", "left_anti")
     anew = latest.join(touched, "station_key", "left_semi")
     return kept.unionByName(critical_stations(anew, recent, params).select(*kept.columns))
@@ -139,8 +140,9 @@ def new_transitions(
     The ``recent`` readings end at the station's latest row, so they hold the window and the flags
     of the row before the first new one, and the windows of the new ones.
     """
-    in_order = new_facts.join(late, "station_key", "left_anti")
-    before = recent.join(in_order.select("station_key").distinct(), "station_key", "left_semi")
+    in_order = new_facts.join(late.hint("merge"), "station_key", "left_anti")
+    stations = in_order.select("station_key").distinct().hint("merge")
+    before = recent.join(stations, "station_key", "left_semi")
     rows = in_order.withColumn("_new", F.lit(True)).unionByName(
         before.withColumn("_new", F.lit(False)), allowMissingColumns=True
     )
@@ -158,7 +160,8 @@ def changed_dates(days: DataFrame, new_facts: DataFrame, late: DataFrame) -> Dat
     """
     key = ["station_key", "event_date"]
     touched = new_facts.select(*key).distinct().withColumn("_touched", F.lit(True))
-    timeline = days.join(late, "station_key").select(*key).join(touched, key, "left")
+    known = days.join(late.hint("merge"), "station_key").select(*key)
+    timeline = known.join(touched.hint("merge"), key, "left")
     in_order = Window.partitionBy("station_key").orderBy("event_date")
     near = [F.col("_touched")] + [F.lag("_touched", k).over(in_order) for k in (1, 2)]
     marked = timeline.withColumn("_anew", F.coalesce(*near, F.lit(False)))
@@ -173,7 +176,7 @@ def transitions_anew(
     facts: DataFrame, dates: DataFrame, params: Params = DEFAULTS
 ) -> DataFrame:
     """Transitions of the marked ``changed_dates``, from the facts of all of them."""
-    rows = facts.join(dates, ["station_key", "event_date"])
+    rows = facts.join(dates.hint("merge"), ["station_key", "event_date"])
     return alert_transitions(rows, params, keep=["_anew"]).filter("_anew").drop("_anew")
 
 

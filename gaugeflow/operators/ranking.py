@@ -42,7 +42,7 @@ def _with_ranks(df: DataFrame, ranked: DataFrame, keys: list[str], output: str)
     same = reduce(
         Column.__and__, [F.col(name).eqNullSafe(F.col(f"_key_{name}")) for name in keys]
     )
-    return df.join(named, same).select(*df.columns, output)
+    return df.join(named.hint("merge"), same).select(*df.columns, output)
 
 
 def dense_rank_global(

@@ -52,12 +52,11 @@ def restrict_to_spans(
 def absent_rows(incoming: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``incoming`` whose key is not stored yet; ``incoming`` is unique on the key.
 
-    The stored rows are first reduced to the keys that come in. That side of the join is the
-    incoming batch, so while the batch is small enough to be broadcast the stored table is scanned
-    without a shuffle; the anti join then meets no more rows than the batch has.
+    Both sides meet by a shuffle of the keys: neither has a bound that would let it go through the
+    driver as a broadcast.
     """
     keys = list(keys)
-    known = stored.select(*keys).join(incoming.select(*keys), keys, "left_semi")
+    known = stored.select(*keys).hint("merge")
     return incoming.join(known, keys, "left_anti").select(*incoming.columns)
 
 

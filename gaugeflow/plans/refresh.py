@@ -216,7 +216,7 @@ def _fold(
     recent = version.write(
         "recent_readings", fold_recent(near, fresh, latest, params)
     )
-    stations = fresh.select("station_key").distinct()
+    stations = fresh.select("station_key").distinct().hint("merge")
     old = store.gold("critical_stations")
     critical = version.derive(
         latest, activity, lambda: fold_critical(old, latest, recent, stations, params), params
@@ -247,7 +247,7 @@ def _changed_transitions(
         anew = _dated(transitions_anew(facts, changed, params))
         marked = changed.filter("_anew").withColumnRenamed("event_date", "alert_date")
         instead = [d.isoformat() for (d,) in marked.select("alert_date").distinct().collect()]
-        keys = marked.select("station_key", "alert_date")
+        keys = marked.select("station_key", "alert_date").hint("merge")
         kept = store.transitions(instead).join(keys, keys.columns, "left_anti")
         rows = kept.select(*anew.columns).unionByName(anew)
         rows = rows.unionByName(_dated(new_transitions(recent, fresh, late, params)))
