@@ -61,11 +61,12 @@ def dense_rank_global(
     spark = df.sparkSession
     scratch = scratch or fresh_dir(spark, "ranked-keys")
     keys = [name for name, _ in order]
-    ranges = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Unless their number is given, small ranges that follow each other become one at run time.
+    ranges = [partitions] if partitions else []
     (
         df.select(*keys)
         .distinct()
-        .repartitionByRange(ranges, *_sorting(order))
+        .repartitionByRange(*ranges, *_sorting(order))
         .withColumn("_range", F.spark_partition_id())
         .write.parquet(scratch)
     )

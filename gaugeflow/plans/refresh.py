@@ -152,10 +152,15 @@ def refresh_batch(
     ``batch`` itself is read once, for the archive; all later steps read the archived rows. So a
     stream's stateful operator runs once per micro-batch, and losing an executor later does not
     bring it back. If another writer publishes meanwhile, the batch is folded into its version.
+
+    A batch without rows, as a stream has one after each landing to drop old state, writes no table.
     """
     if store.holds(run_id, batch_id):
         return
     archived = store.append_archive(batch, run_id, batch_id)
+    if store.current() and not store.has_archived(run_id, batch_id) and not store.pending():
+        store.hold(run_id, batch_id)
+        return
     store.append_facts(archived, run_id, batch_id)
     touched = set()
     while pending := store.pending():

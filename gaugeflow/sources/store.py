@@ -320,6 +320,11 @@ class StationStore:
             self._append("archive", run_id, batch_id, [], lambda _: batch, alone=True)
         return self._own_rows("archive", run_id, batch_id).select(*FACT.names)
 
+    def has_archived(self, run_id: str, batch_id: int) -> bool:
+        """Whether the archive has a part of this batch alone (runs no job)."""
+        own = [run_id, batch_id]
+        return any(entry["by"] == own for _, entry in self._entries(self._state(), "archive", None))
+
     def archive(self) -> DataFrame:
         return self._rows("archive", self._state()).select(*FACT.names)
 
@@ -510,6 +515,16 @@ class StationStore:
             if len(name) == 32 and name not in current:
                 files.delete(self.spark, f"{self.root}/gold/{name}")
 
+    def hold(self, run_id: str, batch_id: int) -> None:
+        """Count a batch without rows as held by the current version, whose tables it leaves alone."""
+
+        def change(state: dict) -> dict:
+            newest = state["versions"][0]
+            newest["holds"] = _with_batch(newest["holds"], run_id, batch_id)
+            return state
+
+        self._log.commit(change)
+
     def _table(self, version: dict | None, table: str) -> DataFrame:
         schema = (PUBLISHED | INTERNAL)[table]
         if version is None:
