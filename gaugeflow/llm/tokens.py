@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import zlib
@@ -63,28 +64,38 @@ class WordEncoder:
         return ids
 
     def _word(self, part: str) -> list[int]:
-        shown = "".join(map(self.letters.__getitem__, part.encode()))
+        # Letters of ASCII are written as they are.
+        if part.isascii():
+            shown = part
+        else:
+            shown = "".join(map(self.letters.__getitem__, part.encode()))
         return [token.id for token in self.model.tokenize(shown)]
 
     def _encode(self, word: str) -> list[int]:
         plain = _PLAIN.fullmatch(word)
         if not plain:
             return self._whole(word)
-        ids = self._remembered(plain[1].lower(), self._word)
-        return ids + self._remembered(plain[2], self._whole) if plain[2] else ids
-
-    def _add(self, ids: list[int]) -> int:
-        """Stores the ids of one word at the next free place; batches give back what is not kept."""
-        while self.n_ids + len(ids) > len(self.flat):
+        letters, marks = plain.groups()
+        letters = letters.lower()
+        ids = self.known.get(letters) or self._remembered(letters, self._word)
+        return ids + self._remembered(marks, self._whole) if marks else ids
+
+    def _add(self, words: list[list[int]]) -> np.ndarray:
+        """Stores the ids of words at the next free places; returns how many ids each word has."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        ends = self.n_ids + np.cumsum(lengths)
+        n_ids, n_slots = self.n_ids + int(lengths.sum()), self.n_slots + len(words)
+        while n_ids > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        if self.n_slots == len(self.start):
+        while n_slots > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.length = np.concatenate([self.length, np.zeros_like(self.length)])
-        self.flat[self.n_ids : self.n_ids + len(ids)] = ids
-        self.start[self.n_slots], self.length[self.n_slots] = self.n_ids, len(ids)
-        self.n_ids += len(ids)
-        self.n_slots += 1
-        return self.n_slots - 1
+        ids = itertools.chain.from_iterable(words)
+        self.flat[self.n_ids : n_ids] = np.fromiter(ids, np.uint32, n_ids - self.n_ids)
+        self.start[self.n_slots : n_slots] = ends - lengths
+        self.length[self.n_slots : n_slots] = lengths
+        self.n_ids, self.n_slots = n_ids, n_slots
+        return lengths
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts together and how many each text has. Nulls count as empty."""
@@ -92,17 +103,17 @@ class WordEncoder:
         parts = pc.split_pattern(spaced, " ")
         per_text = pc.list_value_length(parts).to_numpy(zero_copy_only=False)
         coded = parts.flatten().dictionary_encode()
-        vocabulary = coded.dictionary.to_pylist()
-        slots = np.fromiter(
-            (self.slot.get(word, -1) for word in vocabulary), np.int64, len(vocabulary)
-        )
-        keep_ids, keep_slots = self.n_ids, self.n_slots
-        for place in np.flatnonzero(slots < 0):
-            word = vocabulary[place]
-            slots[place] = self._add(self._encode(word))
-            if len(self.slot) < self.cached:
-                self.slot[word] = slots[place]
-                keep_ids, keep_slots = self.n_ids, self.n_slots
+        vocabulary = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = map(self.slot.get, vocabulary, itertools.repeat(-1))
+        slots = np.fromiter(known, np.int64, len(vocabulary))
+        places = np.flatnonzero(slots < 0)
+        fresh = [vocabulary[place] for place in places.tolist()]
+        # What goes beyond the kept words is given back at the end of the batch.
+        kept = fresh[: max(0, self.cached - len(self.slot))]
+        keep_ids, keep_slots = self.n_ids, self.n_slots + len(kept)
+        slots[places] = np.arange(self.n_slots, self.n_slots + len(fresh))
+        self.slot.update(zip(kept, range(self.n_slots, keep_slots), strict=True))
+        keep_ids += int(self._add([self._encode(word) for word in fresh])[: len(kept)].sum())
         used = slots[coded.indices.to_numpy(zero_copy_only=False)]
         length = self.length[used]
         ends = np.cumsum(length)

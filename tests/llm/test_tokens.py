@@ -131,3 +131,23 @@ def test_sequences(spark, documents):
     packed = packing.pack(docs, vocabulary(), capacity=8)
     made = packing.sequence_ids(docs, packed, vocabulary(), 0).collect()
     assert sum(len(r.ids) for r in made) == 7
+
+
+def test_new_words_of_a_batch_are_stored_at_once(monkeypatch):
+    calls = []
+    add = tokens.WordEncoder._add
+    monkeypatch.setattr(
+        tokens.WordEncoder, "_add", lambda self, words: calls.append(words) or add(self, words)
+    )
+    text = " ".join(f"wörd{n} Word{n}, x{n}" for n in range(3000))
+    for cached in (0, 7, 100_000):
+        calls.clear()
+        encoder = tokens.WordEncoder(vocabulary(), cached)
+        for _ in range(2):
+            ids, counts = encoder.encode(pa.array([text, None, "", "Word1, word1"]))
+            whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+            last = encoder.tokenizer.encode("Word1, word1", add_special_tokens=False).ids
+            assert ids.tolist() == whole + last
+            assert counts.tolist() == [len(whole), 0, 0, len(last)]
+        assert len(calls) == 2 and len(calls[0]) > 9000
+        assert encoder.n_slots == len(encoder.slot) <= cached
