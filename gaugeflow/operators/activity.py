@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,49 +43,55 @@ def hourly_activity(facts: DataFrame) -> DataFrame:
     movement across the hour edge is then found on those summaries. The history is shuffled once,
     by (station, hour), so no station forms one large group.
     """
-    station_hour = Window.partitionBy("station_key", "_hour").orderBy("snapshot_timestamp")
-    reading = F.struct(*_GAUGES)
-    earlier = F.lag(reading).over(station_hour)
-    later = F.lead(F.lit(1)).over(station_hour)
-    opens, closes = F.col("_earlier").isNull(), F.col("_later").isNull()
-    rows = (
-        facts.select(
-            "station_key",
-            "city",
-            F.col("event_date").alias("usage_date"),
-            F.col("event_hour").alias("usage_hour"),
-            "snapshot_timestamp",
-            *_GAUGES,
-            time_bucket(F.col("snapshot_timestamp"), 3600).alias("_hour"),
+    return _hourly(facts, {"true": 1})
+
+
+def _hourly(facts: DataFrame, signs: dict[str, int]) -> DataFrame:
+    """Movement by city, date and hour, summed with a sign over several timelines of the stations.
+
+    ``signs`` has for each timeline the condition of the rows that belong to it.
+    """
+    readings = f"struct({', '.join(_GAUGES)})"
+    in_hour = "IGNORE NULLS OVER (PARTITION BY station_key, _hour ORDER BY snapshot_timestamp)"
+    timelines = list(enumerate(signs.items()))
+    neighbours, summaries, carried, edges = {}, [], {}, []
+    for n, (belongs, sign) in timelines:
+        neighbours[f"_earlier_{n}"] = F.expr(f"lag(IF({belongs}, {readings}, NULL)) {in_hour}")
+        neighbours[f"_later_{n}"] = F.expr(f"lead(IF({belongs}, 1, NULL)) {in_hour}")
+        earlier, own = F.col(f"_earlier_{n}"), F.expr(belongs)
+        opens, closes = own & earlier.isNull(), own & F.col(f"_later_{n}").isNull()
+        moved = _movement(
+            {name: F.col(name) for name in _GAUGES}, {name: earlier[name] for name in _GAUGES}
         )
-        .withColumn("_earlier", earlier)
-        .withColumn("_later", later)
-    )
-    summaries = rows.groupBy("station_key", "_hour", *_HOUR).agg(
-        F.sum(
-            _movement(
-                {name: F.col(name) for name in _GAUGES},
-                {name: F.col("_earlier")[name] for name in _GAUGES},
-            )
-        ).alias("_inner"),
-        *[F.max(F.when(opens, F.col(name))).alias(f"_opening_{name}") for name in _GAUGES],
-        *[F.max(F.when(closes, F.col(name))).alias(f"_closing_{name}") for name in _GAUGES],
-        F.bool_or(closes).alias("_closes"),
-    )
-    past_hours = (
-        Window.partitionBy("station_key")
-        .orderBy("_hour")
-        .rangeBetween(Window.unboundedPreceding, -1)
-    )
-    closing = F.when(F.col("_closes"), F.struct(*[f"_closing_{name}" for name in _GAUGES]))
-    carried = F.last(closing, ignorenulls=True).over(past_hours)
-    edge = _movement(
-        {name: F.col(f"_opening_{name}") for name in _GAUGES},
-        {name: F.col("_carried")[f"_closing_{name}"] for name in _GAUGES},
+        summaries += [
+            F.sum(F.when(own, moved)).alias(f"_inner_{n}"),
+            *[F.max(F.when(opens, F.col(name))).alias(f"_opening_{n}_{name}") for name in _GAUGES],
+            *[F.max(F.when(closes, F.col(name))).alias(f"_closing_{n}_{name}") for name in _GAUGES],
+            F.bool_or(closes).alias(f"_closes_{n}"),
+        ]
+        past_hours = (
+            Window.partitionBy("station_key")
+            .orderBy("_hour")
+            .rangeBetween(Window.unboundedPreceding, -1)
+        )
+        closing = F.struct(*[F.col(f"_closing_{n}_{name}").alias(name) for name in _GAUGES])
+        closing = F.when(F.col(f"_closes_{n}"), closing)
+        carried[f"_carried_{n}"] = F.last(closing, ignorenulls=True).over(past_hours)
+        edge = _movement(
+            {name: F.col(f"_opening_{n}_{name}") for name in _GAUGES},
+            {name: F.col(f"_carried_{n}")[name] for name in _GAUGES},
+        )
+        parts = [F.coalesce(part, F.lit(0.0)) for part in (F.col(f"_inner_{n}"), edge)]
+        edges.append(F.lit(sign) * reduce(Column.__add__, parts))
+    rows = facts.withColumn("_hour", time_bucket(F.col("snapshot_timestamp"), 3600)).withColumns(
+        {"usage_date": F.col("event_date"), "usage_hour": F.col("event_hour")}
     )
     return (
-        summaries.withColumn("_carried", carried)
-        .withColumn("_moved", F.col("_inner") + F.coalesce(edge, F.lit(0.0)))
+        rows.withColumns(neighbours)
+        .groupBy("station_key", "_hour", *_HOUR)
+        .agg(*summaries)
+        .withColumns(carried)
+        .withColumn("_moved", reduce(Column.__add__, edges))
         .groupBy(*_HOUR)
         .agg(F.sum("_moved").alias("estimated_activity"))
     )
@@ -150,13 +158,10 @@ def fold_activity(
         else:
             around = _touched_dates(history.select(*columns), fresh, days, late)
         before = before.unionByName(around)
-    removed = hourly_activity(before).withColumn(
-        "estimated_activity", -F.col("estimated_activity")
-    )
-    added = hourly_activity(before.unionByName(fresh))
+    known, new = (df.withColumn("_known", F.lit(b)) for df, b in ((before, True), (fresh, False)))
+    change = _hourly(known.unionByName(new), {"true": 1, "_known": -1})
     return (
-        activity.unionByName(removed)
-        .unionByName(added)
+        activity.unionByName(change)
         .groupBy(*_HOUR)
         .agg(F.sum("estimated_activity").alias("estimated_activity"))
     )

@@ -165,11 +165,11 @@ class StationStore:
         run_id: str,
         batch_id: int,
         days: list[str],
-        rows: Callable[[DataFrame], DataFrame],
+        rows: Callable[[DataFrame | None], DataFrame],
         alone: bool = False,
         pending: bool = False,
     ) -> None:
-        """Stores what ``rows`` makes of the table's other rows on these dates.
+        """Stores what ``rows`` makes of the table's other rows on these dates (None: there are none).
 
         alone: the rows do not depend on the others, so these are not read.
         """
@@ -181,7 +181,7 @@ class StationStore:
 
         def write() -> bool:
             known = [] if alone else others(self._state())
-            fresh = rows(self._read_parts(table, known))
+            fresh = rows(self._read_parts(table, known) if known else None)
             fresh = fresh.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id)})
             part, found = self._write_part(table, fresh)
 
@@ -307,7 +307,9 @@ class StationStore:
         spans = day_spans(batch, "event_date", "snapshot_timestamp")
         days = _days(spans, "event_date")
 
-        def fresh(others: DataFrame) -> DataFrame:
+        def fresh(others: DataFrame | None) -> DataFrame:
+            if others is None:
+                return batch.drop("batch_id")
             known = within_spans(others, spans, "event_date", "snapshot_timestamp")
             return absent_rows(batch.drop("batch_id"), known, FACT_KEY)
 
@@ -336,7 +338,9 @@ class StationStore:
         dated = alerts.withColumn("alert_date", F.to_date("snapshot_timestamp"))
         spans = day_spans(dated, "alert_date", "snapshot_timestamp")
 
-        def fresh(others: DataFrame) -> DataFrame:
+        def fresh(others: DataFrame | None) -> DataFrame:
+            if others is None:
+                return dated
             known = within_spans(others, spans, "alert_date", "snapshot_timestamp")
             return absent_rows(dated, known, ALERT_KEY)
 
